@@ -13,6 +13,10 @@ from pyspark.sql import types as T
 # on tables with thousands of columns. Wider tables run one column-pruned scan per chunk.
 COLUMNS_PER_PASS = 200
 
+# First-level groups when the sketches of all tasks are merged in two levels: with n tasks no
+# task merges more than the larger of 512 and n / 512 sketches.
+MERGE_GROUPS = 512
+
 
 def col(name: str) -> Column:
     """Reference a top-level column literally called ``name`` (dots and back-ticks included)."""
@@ -43,6 +47,11 @@ def is_orderable(dtype: T.DataType) -> bool:
     return not isinstance(dtype, (T.MapType, T.VariantType))
 
 
+def merge_group() -> Column:
+    """Grouping key that spreads the partial results of tasks over the first merge level."""
+    return (F.spark_partition_id() % MERGE_GROUPS).alias("merge_group")
+
+
 def _same_name(df: DataFrame):
     if df.sparkSession.conf.get("spark.sql.caseSensitive", "false").lower() == "true":
         return lambda name: name
@@ -104,4 +113,4 @@ def pin(df: DataFrame) -> DataFrame:
 
     Only for reports whose size is bounded by the number of columns of a table.
     """
-    return df.sparkSession.createDataFrame(df.collect(), df.schema)
+    return df.sparkSession.createDataFrame(df.toArrow(), df.schema)

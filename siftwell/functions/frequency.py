@@ -8,13 +8,21 @@ top values are all small aggregates of this one table.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Row, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from siftwell.functions.columns import col, is_float, is_nested
+from siftwell.functions.columns import (
+    COLUMNS_PER_PASS,
+    col,
+    is_float,
+    is_nested,
+    merge_group,
+)
 
 KEYS = ("col_id", "num", "real", "txt")
 
@@ -101,6 +109,36 @@ def distinct_counts(freq: DataFrame) -> DataFrame:
     return freq.groupBy("col_id").agg(F.count_if(F.col("freq") > 0).alias("distinct_count"))
 
 
+def approx_distinct_counts(
+    df: DataFrame, fields: Sequence[T.StructField], relative_error: float
+) -> DataFrame:
+    """``(col_id, distinct_count)`` estimated by HyperLogLog sketches, without shuffling values.
+
+    ``relative_error`` is the standard error. Sketches are merged in two levels, so that no
+    task merges those of all tasks.
+    """
+    log_k = int(min(21, max(4, math.ceil(math.log2((1.04 / relative_error) ** 2)))))
+    parts = []
+    for start in range(0, len(fields), COLUMNS_PER_PASS):
+        chunk = range(start, min(start + COLUMNS_PER_PASS, len(fields)))
+        sketches, estimates = [], []
+        for i in chunk:
+            value = col(fields[i].name)
+            if isinstance(fields[i].dataType, (T.MapType, T.VariantType)):
+                value = _json(value, fields[i].dataType)
+            hashed = F.when(value.isNotNull(), F.xxhash64(value))
+            sketches.append(F.hll_sketch_agg(hashed, log_k).alias(f"s{i}"))
+            estimates.append(
+                F.struct(
+                    F.lit(i).alias("col_id"),
+                    F.hll_sketch_estimate(F.hll_union_agg(f"s{i}")).alias("distinct_count"),
+                )
+            )
+        merged = df.groupBy(merge_group()).agg(*sketches)
+        parts.append(merged.agg(F.array(*estimates).alias("e")).select(F.inline("e")))
+    return reduce(DataFrame.unionByName, parts)
+
+
 def top_values(
     freq: DataFrame, k: int, only: Sequence[int] | None = None, within: Sequence[str] = ()
 ) -> DataFrame:

@@ -18,10 +18,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from siftwell.functions.columns import COLUMNS_PER_PASS, col
+from siftwell.functions.columns import COLUMNS_PER_PASS, col, merge_group
 
-# First-level merge groups: 512 x 512 tasks are merged with at most 512 sketches per task.
-MERGE_GROUPS = 512
 # Rows strictly inside a bracket that one ranking task may hold.
 RANKABLE_ROWS = 1_000_000
 # Normalised rank error aimed at when a bracket is proposed, and the margin taken on each side.
@@ -48,9 +46,9 @@ def _sketch(
     k = sketch_size(error)
     for start in range(0, len(values), COLUMNS_PER_PASS):
         chunk = range(start, min(start + COLUMNS_PER_PASS, len(values)))
-        per_group = df.groupBy(
-            (F.spark_partition_id() % MERGE_GROUPS).alias("merge_group")
-        ).agg(*[F.kll_sketch_agg_double(values[i], k).alias(f"s{i}") for i in chunk])
+        per_group = df.groupBy(merge_group()).agg(
+            *[F.kll_sketch_agg_double(values[i], k).alias(f"s{i}") for i in chunk]
+        )
         merged = per_group.agg(*[F.kll_merge_agg_double(f"s{i}", k).alias(f"s{i}") for i in chunk])
         row = merged.select(
             *[

@@ -11,8 +11,8 @@ from pyspark.sql import types as T
 
 from siftwell.functions.columns import col, is_numeric, one_row_per_column, pin
 from siftwell.functions.frequency import (
+    approx_distinct_counts,
     distinct_counts,
-    encode,
     top_values,
     value_frequencies,
     value_text,
@@ -24,13 +24,11 @@ from siftwell.operators.score import quality_score
 TOP_VALUES = 3
 
 
-def column_stats(
-    df: DataFrame, usable: Mapping[str, Column] | None = None, approx_rsd: float | None = None
-) -> DataFrame:
+def column_stats(df: DataFrame, usable: Mapping[str, Column] | None = None) -> DataFrame:
     """Counts, range and moments of every column from one aggregate, one row per column.
 
     ``usable`` adds ``usable_count``, the non-null count of another form of each column (such as
-    the one without null markers). ``approx_rsd`` adds ``distinct_count`` by HyperLogLog++.
+    the one without null markers).
     """
     rows = F.count("*")
     records = []
@@ -51,10 +49,6 @@ def column_stats(
         ]
         if usable is not None:
             record.append(F.count(usable[f.name]).alias("usable_count"))
-        if approx_rsd is not None:
-            if isinstance(f.dataType, (T.MapType, T.VariantType)):
-                value = encode(value, f.dataType)[2]
-            record.append(F.approx_count_distinct(value, approx_rsd).alias("distinct_count"))
         records.append(F.struct(*record))
     return one_row_per_column(df, records)
 
@@ -107,7 +101,7 @@ def shape_of(columns: DataFrame) -> DataFrame:
     )
 
 
-def build_columns(stats: DataFrame, distinct: DataFrame | None, top: DataFrame) -> DataFrame:
+def build_columns(stats: DataFrame, distinct: DataFrame, top: DataFrame) -> DataFrame:
     """Assemble ``column_profile`` rows from the partial reports.
 
     All inputs have at most a few rows per column of the profiled table, which bounds the
@@ -119,11 +113,8 @@ def build_columns(stats: DataFrame, distinct: DataFrame | None, top: DataFrame)
             lambda t: F.struct(t["value"].alias("value"), t["count"].alias("count")),
         ).alias("top_values")
     )
-    if distinct is not None:
-        stats = stats.join(
-            F.broadcast(distinct.select("col_id", "distinct_count")), "col_id", "left"
-        )
-    full = stats.join(F.broadcast(lists), "column_name", "left")
+    counts = F.broadcast(distinct.select("col_id", "distinct_count"))
+    full = stats.join(counts, "col_id", "left").join(F.broadcast(lists), "column_name", "left")
     rows, nulls = F.col("row_count"), F.col("null_count")
     return full.select(
         "col_id",
@@ -150,21 +141,20 @@ def profile(
     approx_rsd: float = 0.05,
     uniqueness: str = "nonempty",
 ) -> ProfileResult:
-    """Profile a table in two scans whatever its width; every report stays lazy.
+    """Profile a table in few scans whatever its width; every report stays lazy.
 
-    ``distinct="approx"`` counts distinct values by HyperLogLog++ inside the statistics pass, so
-    numeric columns need no shuffle at all.
+    ``distinct="approx"`` estimates distinct counts by HyperLogLog with a standard error of
+    ``approx_rsd``. Then only the values of non-numeric columns are shuffled, for the top values.
     """
     if distinct not in ("exact", "approx"):
         raise ValueError("distinct must be 'exact' or 'approx'")
     fields = df.schema.fields
     other = [i for i, f in enumerate(fields) if not is_numeric(f.dataType)]
     if distinct == "approx":
-        stats, counts = column_stats(df, approx_rsd=approx_rsd), None
-        counted = [fields[i] for i in other]
-        ranked = range(len(other))
+        counts = approx_distinct_counts(df, fields, approx_rsd)
+        counted, ranked = [fields[i] for i in other], range(len(other))
     else:
-        stats, counted, ranked = column_stats(df), fields, other
+        counted, ranked = fields, other
     if counted:
         freq = value_frequencies(df, counted)
         if distinct == "exact":
@@ -175,7 +165,7 @@ def profile(
             [], "column_name string, rank int, value string, count bigint"
         )
     return ProfileResult(
-        columns=build_columns(stats, counts, top),
+        columns=build_columns(column_stats(df), counts, top),
         top_values=top,
         issues=validate(df, Contract.of(contract)),
         shape=df.agg(F.count("*").alias("total_rows")).withColumn(

@@ -236,47 +236,42 @@ class QualityRun:
         return {i for i, f in enumerate(df.schema.fields) if f.name in named and is_numeric(f.dataType)}
 
     def _reports(self, df, stats, cleaning, outliers, cleaned, before, after):
-        rows = F.col("row_count")
+        rows, usable = F.col("row_count"), F.col("usable_count")
         audit_before = stats.select(
             "column_name",
-            (rows - F.col("usable_count")).alias("null_count"),
-            percent(rows - F.col("usable_count"), rows).alias("null_pct"),
+            (rows - usable).alias("null_count"),
+            percent(rows - usable, rows).alias("null_pct"),
             "row_count",
         )
+        removed = 0
         if outliers.action == "remove":
             audit_after = pin(null_audit(cleaned))
-            removed = pin(outliers.removal_counts(cleaned)).select("rows_removed")
+            removed = outliers.removal_counts(cleaned).first()["rows_removed"]
         else:
-            kept = F.col("column_name").isin(cleaned.columns)
-            audit_after = after.columns.where(kept).select(
+            # Flags and caps leave rows and nulls as they are.
+            audit_after = after.columns.where(F.col("column_name").isin(cleaned.columns)).select(
                 "column_name", "null_count", "null_pct", "row_count"
             )
-            removed = df.sparkSession.range(1).select(F.lit(0).cast("bigint").alias("rows_removed"))
-        rows_after = audit_after.agg(F.coalesce(F.max("row_count"), F.lit(0))).first()[0]
+        audited = audit_after.collect()
+        rows_after = audited[0]["row_count"] if audited else 0
         rows_in = cleaning.row_count
         if self.config.drop_row_threshold is not None:
             rows_in = cleaning.prepared(df).count()
-        spark = df.sparkSession
-        summary = pin(
-            cleaning.summary(
-                df,
-                spark.range(1).select(
-                    F.lit(rows_in).cast("bigint").alias("row_count"),
-                    F.lit(rows_after).cast("bigint").alias("distinct_count"),
-                ),
-            )
+
+        # One local row to select literals from, without a job.
+        one = df.sparkSession.sql("VALUES (0)")
+        long = lambda n, name: F.lit(n).cast("bigint").alias(name)
+        summary = cleaning.summary(
+            df, one.select(long(rows_in, "row_count"), long(rows_after, "distinct_count"))
         )
         pre_score, post_score = pin(before.score), pin(after.score)
-        score = lambda frame: F.lit(frame.first()["quality_score"])
-        run_summary = pin(
-            summary.select(
-                "*",
-                F.lit(removed.first()[0]).cast("bigint").alias("outlier_rows_removed"),
-                score(pre_score).alias("quality_score_before"),
-                score(post_score).alias("quality_score_after"),
-                F.lit(outliers.method).alias("outlier_method"),
-                F.lit(outliers.action).alias("outlier_action"),
-            )
+        run_summary = summary.select(
+            "*",
+            long(removed, "outlier_rows_removed"),
+            F.lit(pre_score.first()["quality_score"]).alias("quality_score_before"),
+            F.lit(post_score.first()["quality_score"]).alias("quality_score_after"),
+            F.lit(outliers.method).alias("outlier_method"),
+            F.lit(outliers.action).alias("outlier_action"),
         )
         return {
             "pre_column_profile": before.columns,
