@@ -152,14 +152,14 @@ class Imputer:
             return {}
         row = df.agg(*[F.avg(col(f.name)).alias(f"m{i}") for i, f in enumerate(fields)]).first()
         return {
-            f.name: None if row[i] is None else F.lit(row[i]).cast(f.dataType)
+            f.name: None if row[i] is None else _number(row[i], f.dataType)
             for i, f in enumerate(fields)
         }
 
     def _medians(self, df: DataFrame, fields: list[T.StructField]) -> dict[str, Column | None]:
         found = quantiles(df, [f.name for f in fields], [0.5], self.relative_error)
         return {
-            f.name: F.lit(found[f.name][0]).cast(f.dataType) if found[f.name] else None
+            f.name: _number(found[f.name][0], f.dataType) if found[f.name] else None
             for f in fields
         }
 
@@ -184,6 +184,11 @@ class Imputer:
         return literals, bad
 
 
+def _number(value, dtype: T.DataType) -> Column:
+    """Literal of a numeric type; integer types take the value truncated."""
+    return F.lit(int(value) if isinstance(dtype, T.IntegralType) else value).cast(dtype)
+
+
 def count_nulls(df: DataFrame) -> dict[str, int]:
     from siftwell.operators.nulls import null_audit
 
