@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from siftwell.catalog.inputs import DIRTY_EVENTS, DIRTY_ORDERS, dirty_events, dirty_orders, table
 from siftwell.catalog.registry import query
-from siftwell.functions.columns import col, one_row_per_column
+from siftwell.functions.columns import one_row_per_column
 from siftwell.operators.outliers import OutlierDetector
 
 LINE_NUMBERS = ["l_linenumber", "l_quantity", "l_extendedprice", "l_discount", "l_tax"]
@@ -124,18 +124,15 @@ def outlier_iqr_sketched(spark, folder):
         # Undo lower = q1 - 1.5 r, upper = q3 + 1.5 r with r = q3 - q1.
         reach = (fence.upper - fence.lower) / 4
         q1, q3 = fence.lower + 1.5 * reach, fence.upper - 1.5 * reach
-        value, slack = col(fence.column), 1e-6
-        share = lambda test: F.count_if(test) / F.count(value)
-        within = lambda q, p: (share(value < q - slack) <= p + 0.01) & (
-            share(value <= q + slack) >= p - 0.01
+        c, slack = fence.column, 1e-6
+        share = lambda test: f"count_if({c} {test}D) / count({c})"
+        within = lambda q, p: (
+            f"{share(f'< {q - slack!r}')} <= {p + 0.01} "
+            f"AND {share(f'<= {q + slack!r}')} >= {p - 0.01}"
         )
         records.append(
-            F.struct(
-                F.lit(fence.column).alias("column_name"),
-                F.count(value).alias("value_count"),
-                within(q1, 0.25).alias("q1_within"),
-                within(q3, 0.75).alias("q3_within"),
-            )
+            f"struct('{c}' AS column_name, count({c}) AS value_count, "
+            f"{within(q1, 0.25)} AS q1_within, {within(q3, 0.75)} AS q3_within)"
         )
     return one_row_per_column(lines, records)
 

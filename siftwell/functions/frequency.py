@@ -18,41 +18,45 @@ from pyspark.sql import types as T
 
 from siftwell.functions.columns import (
     COLUMNS_PER_PASS,
-    col,
     is_float,
     is_nested,
     merge_group,
+    one_row_per_column,
+    sql_name,
 )
 
 KEYS = ("col_id", "num", "real", "txt")
 
 
-def _json(value: Column, dtype: T.DataType) -> Column:
+def _json(value: str, dtype: T.DataType) -> str:
     if isinstance(dtype, T.MapType):
-        value = F.map_from_entries(F.array_sort(F.map_entries(value)))
-    return F.when(value.isNotNull(), F.to_json(value, {"ignoreNullFields": "false"}))
+        entries = f"map_from_entries(array_sort(map_entries({value})))"
+    else:
+        entries = value
+    text = f"to_json({entries}, map('ignoreNullFields', 'false'))"
+    return f"CASE WHEN {value} IS NOT NULL THEN {text} END"
 
 
-def encode(value: Column, dtype: T.DataType) -> tuple[Column | None, Column | None, Column | None]:
-    """The ``(num, real, txt)`` slots of a value; equal slots mean equal values."""
+def encode(value: str, dtype: T.DataType) -> tuple[str | None, str | None, str | None]:
+    """SQL of the ``(num, real, txt)`` slots of a value; equal slots mean equal values."""
     if isinstance(dtype, T.BooleanType):
-        return value.cast("int").cast("bigint"), None, None
+        return f"CAST(CAST({value} AS INT) AS BIGINT)", None, None
     if isinstance(dtype, T.IntegralType):
-        return value.cast("bigint"), None, None
+        return f"CAST({value} AS BIGINT)", None, None
     if isinstance(dtype, T.DateType):
-        return F.unix_date(value).cast("bigint"), None, None
+        return f"CAST(unix_date({value}) AS BIGINT)", None, None
     if isinstance(dtype, T.TimestampType):
-        return F.unix_micros(value), None, None
+        return f"unix_micros({value})", None, None
     if is_float(dtype):
-        return None, value.cast("double"), None
+        return None, f"CAST({value} AS DOUBLE)", None
     if isinstance(dtype, T.DecimalType):
         # The text is exact, the double in front of it makes ties order by size.
-        return None, value.cast("double"), value.cast("string")
+        return None, f"CAST({value} AS DOUBLE)", f"CAST({value} AS STRING)"
     if isinstance(dtype, T.BinaryType):
-        return None, None, F.hex(value)
+        return None, None, f"hex({value})"
     if is_nested(dtype):
         return None, None, _json(value, dtype)
-    return None, None, value.cast("string")
+    return None, None, f"CAST({value} AS STRING)"
 
 
 def decode(num: Column, real: Column, txt: Column, dtype: T.DataType) -> Column:
@@ -84,16 +88,15 @@ def value_frequencies(df: DataFrame, fields: Sequence[T.StructField]) -> DataFra
 
     ``col_id`` is the position in ``fields``.
     """
-    types = ("bigint", "double", "string")
-    cells: list[Column] = []
+    nothing = [f"CAST(NULL AS {t})" for t in ("BIGINT", "DOUBLE", "STRING")]
+    cells: list[str] = []
     for i, field in enumerate(fields):
-        slots = encode(col(field.name), field.dataType)
-        cells.append(F.lit(i))
-        cells += [
-            F.lit(None).cast(t) if slot is None else slot for slot, t in zip(slots, types)
-        ]
+        slots = encode(sql_name(field.name), field.dataType)
+        cells += [str(i), *[slot or null for slot, null in zip(slots, nothing)]]
     return (
-        df.select(F.stack(F.lit(len(fields)), *cells).alias(*KEYS))
+        df.selectExpr(f"stack({len(fields)}, {', '.join(cells)}) AS ({', '.join(KEYS)})")
+        # Known not to be null, or joins on it would add a filter and spoil the shared shuffle.
+        .withColumn("col_id", F.coalesce("col_id", F.lit(-1)))
         .where(F.col("num").isNotNull() | F.col("real").isNotNull() | F.col("txt").isNotNull())
         .groupBy(*KEYS)
         .agg(F.count("*").alias("freq"))
@@ -123,19 +126,15 @@ def approx_distinct_counts(
         chunk = range(start, min(start + COLUMNS_PER_PASS, len(fields)))
         sketches, estimates = [], []
         for i in chunk:
-            value = col(fields[i].name)
+            value = sql_name(fields[i].name)
             if isinstance(fields[i].dataType, (T.MapType, T.VariantType)):
                 value = _json(value, fields[i].dataType)
-            hashed = F.when(value.isNotNull(), F.xxhash64(value))
-            sketches.append(F.hll_sketch_agg(hashed, log_k).alias(f"s{i}"))
+            hashed = f"CASE WHEN {value} IS NOT NULL THEN xxhash64({value}) END"
+            sketches.append(F.expr(f"hll_sketch_agg({hashed}, {log_k}) AS s{i}"))
             estimates.append(
-                F.struct(
-                    F.lit(i).alias("col_id"),
-                    F.hll_sketch_estimate(F.hll_union_agg(f"s{i}")).alias("distinct_count"),
-                )
+                f"struct({i} AS col_id, hll_sketch_estimate(hll_union_agg(s{i})) AS distinct_count)"
             )
-        merged = df.groupBy(merge_group()).agg(*sketches)
-        parts.append(merged.agg(F.array(*estimates).alias("e")).select(F.inline("e")))
+        parts.append(one_row_per_column(df.groupBy(merge_group()).agg(*sketches), estimates))
     return reduce(DataFrame.unionByName, parts)
 
 

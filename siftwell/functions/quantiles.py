@@ -15,10 +15,10 @@ import math
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from siftwell.functions.columns import COLUMNS_PER_PASS, col, merge_group
+from siftwell.functions.columns import COLUMNS_PER_PASS, col, merge_group, sql_double, sql_name
 
 # Rows strictly inside a bracket that one ranking task may hold.
 RANKABLE_ROWS = 1_000_000
@@ -32,32 +32,31 @@ def sketch_size(relative_error: float) -> int:
     return int(min(65535, max(200, math.ceil((2.3 / (relative_error / 4)) ** (1 / 0.97)))))
 
 
-def _finite(value: Column) -> Column:
-    """As double, with NaN as null: neither takes a rank."""
-    value = value.cast("double")
-    return F.when(~F.isnan(value), value)
+def _ranked(name: str) -> str:
+    """SQL of a column as double, with NaN as null: neither takes a rank."""
+    value = f"CAST({sql_name(name)} AS DOUBLE)"
+    return f"CASE WHEN NOT isnan({value}) THEN {value} END"
 
 
 def _sketch(
-    df: DataFrame, values: Sequence[Column], ranks: Sequence[Sequence[float]], error: float
+    df: DataFrame, values: Sequence[str], ranks: Sequence[Sequence[float]], error: float
 ) -> list[list[float]]:
-    """Approximate quantiles of expressions: one list per expression, empty if all null."""
+    """Approximate quantiles of SQL expressions: one list per expression, empty if all null."""
     out: list[list[float]] = []
     k = sketch_size(error)
     for start in range(0, len(values), COLUMNS_PER_PASS):
         chunk = range(start, min(start + COLUMNS_PER_PASS, len(values)))
         per_group = df.groupBy(merge_group()).agg(
-            *[F.kll_sketch_agg_double(values[i], k).alias(f"s{i}") for i in chunk]
+            *[F.expr(f"kll_sketch_agg_double({values[i]}, {k}) AS s{i}") for i in chunk]
         )
-        merged = per_group.agg(*[F.kll_merge_agg_double(f"s{i}", k).alias(f"s{i}") for i in chunk])
-        row = merged.select(
+        merged = per_group.agg(
+            *[F.expr(f"kll_merge_agg_double(s{i}, {k}) AS s{i}") for i in chunk]
+        )
+        wanted = {i: f"array({', '.join(sql_double(float(r)) for r in ranks[i])})" for i in chunk}
+        row = merged.selectExpr(
             *[
-                F.when(
-                    F.kll_sketch_get_n_double(f"s{i}") > 0,
-                    F.kll_sketch_get_quantile_double(
-                        f"s{i}", F.array(*[F.lit(float(r)) for r in ranks[i]])
-                    ),
-                ).alias(f"q{i}")
+                f"CASE WHEN kll_sketch_get_n_double(s{i}) > 0 "
+                f"THEN kll_sketch_get_quantile_double(s{i}, {wanted[i]}) END AS q{i}"
                 for i in chunk
             ]
         ).first()
@@ -83,18 +82,15 @@ class _Search:
     empty: bool = False
 
     @property
-    def value(self) -> Column:
-        return _finite(col(self.column))
-
-    @property
-    def inside(self) -> Column:
-        """The value if it lies strictly inside the bracket, else null."""
-        v = self.value
+    def inside(self) -> str:
+        """SQL of the value if it lies strictly inside the bracket, else null."""
+        value = f"CAST({sql_name(self.column)} AS DOUBLE)"
+        tests = [f"NOT isnan({value})"]
         if self.lo is not None:
-            v = F.when(self.value > F.lit(self.lo), v)
+            tests.append(f"{value} > {sql_double(self.lo)}")
         if self.hi is not None:
-            v = F.when(self.value < F.lit(self.hi), v)
-        return v
+            tests.append(f"{value} < {sql_double(self.hi)}")
+        return f"CASE WHEN {' AND '.join(tests)} THEN {value} END"
 
     @property
     def done(self) -> bool:
@@ -138,13 +134,13 @@ def _settle(df: DataFrame, searches: list[_Search], brackets: list[tuple[float,
     for i, (s, (lo, hi)) in enumerate(zip(searches, brackets)):
         v = s.inside
         counts += [
-            F.count(v).alias(f"n{i}"),
-            F.count_if(v < F.lit(lo)).alias(f"below{i}"),
-            F.count_if(v <= F.lit(lo)).alias(f"to_lo{i}"),
-            F.count_if(v < F.lit(hi)).alias(f"to_hi{i}"),
-            F.count_if(v <= F.lit(hi)).alias(f"through{i}"),
+            f"count({v}) AS n{i}",
+            f"count_if({v} < {sql_double(lo)}) AS below{i}",
+            f"count_if({v} <= {sql_double(lo)}) AS to_lo{i}",
+            f"count_if({v} < {sql_double(hi)}) AS to_hi{i}",
+            f"count_if({v} <= {sql_double(hi)}) AS through{i}",
         ]
-    row = df.agg(*counts).first()
+    row = df.agg(*[F.expr(c) for c in counts]).first()
     for i, (s, (lo, hi)) in enumerate(zip(searches, brackets)):
         if s.inner is None:
             s.rank = max(1, math.ceil(s.probability * row[f"n{i}"]))
@@ -167,11 +163,12 @@ def _settle(df: DataFrame, searches: list[_Search], brackets: list[tuple[float,
 
 def _rank_inside(df: DataFrame, searches: list[_Search]) -> None:
     """Finish searches whose brackets hold few enough rows for one task each."""
-    cells = [c for i, s in enumerate(searches) for c in (F.lit(i), s.inside)]
+    cells = ", ".join(f"{i}, {s.inside}" for i, s in enumerate(searches))
     window = Window.partitionBy("search").orderBy("value")
-    rank = F.element_at(F.array(*[F.lit(s.rank) for s in searches]), F.col("search") + 1)
+    ranks = ", ".join(f"{s.rank}L" for s in searches)
+    rank = F.expr(f"element_at(array({ranks}), search + 1)")
     rows = (
-        df.select(F.stack(F.lit(len(searches)), *cells).alias("search", "value"))
+        df.selectExpr(f"stack({len(searches)}, {cells}) AS (search, value)")
         .where(F.col("value").isNotNull())
         .groupBy("search", "value")
         .agg(F.count("*").alias("freq"))
@@ -227,6 +224,6 @@ def quantiles(
     if relative_error == 0:
         return exact_quantiles(df, columns, probabilities)
     found = _sketch(
-        df, [_finite(col(c)) for c in columns], [probabilities] * len(columns), relative_error
+        df, [_ranked(c) for c in columns], [probabilities] * len(columns), relative_error
     )
     return dict(zip(columns, found))

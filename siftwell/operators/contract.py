@@ -6,11 +6,11 @@ from collections.abc import Mapping
 from dataclasses import dataclass, field
 
 from pyspark.errors import PySparkException
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from siftwell.functions.columns import col, find_fields
+from siftwell.functions.columns import find_fields, sql_name, sql_text
 
 ISSUE = (
     "struct<kind:string,column_name:string,expected:string,actual:string,"
@@ -57,15 +57,12 @@ def type_matches(expected: str, actual: T.DataType) -> bool:
     return parsed.simpleString() == actual.simpleString()
 
 
-def _issue(kind: str, name: str, expected=None, actual=None, nulls=None, message=None) -> Column:
-    text = lambda v: F.lit(v).cast("string")
-    return F.struct(
-        text(kind).alias("kind"),
-        text(name).alias("column_name"),
-        text(expected).alias("expected"),
-        text(actual).alias("actual"),
-        (F.lit(nulls) if not isinstance(nulls, Column) else nulls).cast("bigint").alias("null_count"),
-        (text(message) if not isinstance(message, Column) else message).alias("message"),
+def _issue(kind: str, name: str, message: str, expected=None, actual=None, nulls="NULL") -> str:
+    """SQL of one issue; ``message`` and ``nulls`` are SQL themselves."""
+    return (
+        f"struct({sql_text(kind)} AS kind, {sql_text(name)} AS column_name, "
+        f"{sql_text(expected)} AS expected, {sql_text(actual)} AS actual, "
+        f"CAST({nulls} AS BIGINT) AS null_count, {message} AS message)"
     )
 
 
@@ -86,36 +83,32 @@ def validate(
         present, _ = find_fields(df, [name])
         if not present:
             message = f"MISSING column: '{name}' (expected type={expected})"
-            before.append(_issue("missing", name, expected, message=message))
+            before.append(_issue("missing", name, sql_text(message), expected))
         elif not type_matches(expected, present[0].dataType):
             actual = str(present[0].dataType)
             message = f"TYPE MISMATCH '{name}': expected={expected}, got={actual}"
-            before.append(_issue("type_mismatch", name, expected, actual, message=message))
+            before.append(_issue("type_mismatch", name, sql_text(message), expected, actual))
     for name, allowed in contract.nullable.items():
         present, _ = find_fields(df, [name])
         if present and not allowed:
             actual_name = present[0].name
-            nulls = (
-                F.count("*") - F.count(col(actual_name))
-                if null_counts is None
-                else F.lit(null_counts[actual_name])
-            )
-            message = F.concat(
-                F.lit(f"NON-NULLABLE VIOLATION '{name}': "),
-                F.format_number(nulls, 0),
-                F.lit(" null values found"),
-            )
-            rules.append(_issue("null_violation", name, nulls=nulls, message=message))
+            if null_counts is None:
+                nulls = f"count(*) - count({sql_name(actual_name)})"
+            else:
+                nulls = str(null_counts[actual_name])
+            head = sql_text(f"NON-NULLABLE VIOLATION '{name}': ")
+            message = f"concat({head}, format_number({nulls}, 0), ' null values found')"
+            rules.append(_issue("null_violation", name, message, nulls=nulls))
     if contract.columns:
         known = {f.name for f in find_fields(df, contract.columns)[0]}
         for name in df.columns:
             if name not in known:
                 message = f"UNEXPECTED column: '{name}' (not in expected schema)"
-                after.append(_issue("unexpected", name, message=message))
+                after.append(_issue("unexpected", name, sql_text(message)))
 
-    as_array = lambda issues: F.array(*issues).cast(f"array<{ISSUE}>")
-    broken = F.filter(as_array(rules), lambda issue: issue["null_count"] > 0)
-    issues = F.concat(as_array(before), broken, as_array(after)).alias("issues")
+    as_array = lambda issues: f"CAST(array({', '.join(issues)}) AS array<{ISSUE}>)"
+    broken = f"filter({as_array(rules)}, issue -> issue.null_count > 0)"
+    issues = F.expr(f"concat({as_array(before)}, {broken}, {as_array(after)})").alias("issues")
     scan = rules and null_counts is None
     found = df.agg(issues) if scan else df.sparkSession.range(1).select(issues)
     return found.select(F.posexplode("issues").alias("pos", "issue")).select(

@@ -18,6 +18,7 @@ from siftwell.functions.columns import (
     is_nested,
     is_numeric,
     literal_rows,
+    sql_name,
 )
 from siftwell.functions.frequency import decode_row, top_values, value_frequencies
 from siftwell.functions.quantiles import quantiles
@@ -49,12 +50,13 @@ class ImputeModel:
         literals = {f.column: f.literal for f in self.fills if f.literal is not None}
         out = []
         for field in df.schema.fields:
-            value = col(field.name)
+            value = sql_name(field.name)
             if field.name in literals:
                 if is_float(field.dataType):
-                    value = F.when(~F.isnan(value), value)
-                value = F.coalesce(value, literals[field.name]).alias(field.name)
-            out.append(value)
+                    value = f"CASE WHEN NOT isnan({value}) THEN {value} END"
+                out.append(F.coalesce(F.expr(value), literals[field.name]).alias(field.name))
+            else:
+                out.append(value)
         return df.select(*out)
 
     def plan(self, spark: SparkSession) -> DataFrame:

@@ -3,8 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
-from functools import reduce
-from operator import add
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -19,6 +17,8 @@ from siftwell.functions.columns import (
     is_numeric,
     is_text,
     one_row_per_column,
+    sql_name,
+    sql_text,
 )
 
 # Texts that stand for a missing value unless the caller gives others.
@@ -47,18 +47,17 @@ def markers_for(dtype: T.DataType, markers: Iterable[str]) -> list[str]:
 
 def without_markers(
     field: T.StructField, markers: Sequence[str] | None = None, nan_is_null: bool = False
-) -> Column:
-    """A column with its null markers (and NaN if asked) turned into null."""
+) -> str:
+    """SQL of a column with its null markers (and NaN if asked) turned into null."""
     markers = DEFAULT_NULL_MARKERS if markers is None else markers
-    value = col(field.name)
-    dtype = field.dataType
-    if nan_is_null and is_float(dtype):
-        return F.when(~F.isnan(value), value)
-    hits = markers_for(dtype, markers)
+    value = sql_name(field.name)
+    if nan_is_null and is_float(field.dataType):
+        return f"CASE WHEN NOT isnan({value}) THEN {value} END"
+    hits = markers_for(field.dataType, markers)
     if not hits:
         return value
-    text = value if is_text(dtype) else value.cast("string")
-    return F.when(~text.isin(hits), value)
+    text = value if is_text(field.dataType) else f"CAST({value} AS STRING)"
+    return f"CASE WHEN {text} NOT IN ({', '.join(map(sql_text, hits))}) THEN {value} END"
 
 
 def normalize_nulls(
@@ -70,29 +69,27 @@ def normalize_nulls(
     empty list switches the step off. Numeric columns pass through; with ``nan_is_null`` a
     float NaN counts as missing too.
     """
-    return df.select(
-        *[without_markers(f, markers, nan_is_null).alias(f.name) for f in df.schema.fields]
+    return df.selectExpr(
+        *[
+            f"{without_markers(f, markers, nan_is_null)} AS {sql_name(f.name)}"
+            for f in df.schema.fields
+        ]
     )
 
 
-def percent(part: Column, whole: Column) -> Column:
-    """Share in percent to two decimals, 0 for an empty whole."""
-    return F.coalesce(F.round(F.try_divide(part * 100, whole), 2), F.lit(0.0))
+def percent(part: str, whole: str) -> str:
+    """SQL of a share in percent to two decimals, 0 for an empty whole."""
+    return f"coalesce(round(try_divide(({part}) * 100, {whole}), 2), 0.0D)"
 
 
 def null_audit(df: DataFrame) -> DataFrame:
     """``column_name, null_count, null_pct, row_count`` per column, from one aggregate."""
-    rows = F.count("*")
     records = []
     for name in df.columns:
-        nulls = rows - F.count(col(name))
+        nulls = f"count(*) - count({sql_name(name)})"
         records.append(
-            F.struct(
-                F.lit(name).alias("column_name"),
-                nulls.alias("null_count"),
-                percent(nulls, rows).alias("null_pct"),
-                rows.alias("row_count"),
-            )
+            f"struct({sql_text(name)} AS column_name, {nulls} AS null_count, "
+            f"{percent(nulls, 'count(*)')} AS null_pct, count(*) AS row_count)"
         )
     return one_row_per_column(df, records)
 
@@ -121,12 +118,9 @@ def drop_sparse_columns(
 
 def nulls_per_row(names: Sequence[str]) -> Column:
     """Number of null cells of a row; sums in chunks so that wide rows do not nest deeply."""
-    cells = [col(n).isNull().cast("int") for n in names]
-    sums = [
-        reduce(add, cells[i : i + COLUMNS_PER_PASS])
-        for i in range(0, len(cells), COLUMNS_PER_PASS)
-    ]
-    return reduce(add, sums, F.lit(0))
+    cells = [f"CAST({sql_name(n)} IS NULL AS INT)" for n in names]
+    chunks = [cells[i : i + COLUMNS_PER_PASS] for i in range(0, len(cells), COLUMNS_PER_PASS)]
+    return F.expr(" + ".join(["0"] + [f"({' + '.join(chunk)})" for chunk in chunks]))
 
 
 def drop_sparse_rows(df: DataFrame, max_nulls: int, columns: Sequence[str] | None = None) -> DataFrame:

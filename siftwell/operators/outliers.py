@@ -4,21 +4,20 @@ from __future__ import annotations
 
 import math
 from collections.abc import Sequence
-from dataclasses import dataclass, field
-from functools import reduce
-from operator import and_
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from siftwell.functions.columns import (
     COLUMNS_PER_PASS,
-    col,
     find_fields,
     is_numeric,
     literal_rows,
     one_row_per_column,
+    sql_double,
+    sql_name,
+    sql_text,
 )
 from siftwell.functions.quantiles import quantiles
 
@@ -42,20 +41,24 @@ class Fence:
     status: str = "checked"
 
     @property
-    def value(self) -> Column:
-        return col(self.column)
+    def is_outlier(self) -> str:
+        """SQL; null for null values. NaN sorts above every number, so it is an outlier."""
+        value = sql_name(self.column)
+        return f"({value} < {sql_double(self.lower)} OR {value} > {sql_double(self.upper)})"
 
     @property
-    def is_outlier(self) -> Column:
-        """Null for null values; NaN sorts above every number, so it is an outlier."""
-        return (self.value < F.lit(self.lower)) | (self.value > F.lit(self.upper))
+    def clipped(self) -> str:
+        value = sql_name(self.column)
+        raised = f"greatest(CAST({value} AS DOUBLE), {sql_double(self.lower)})"
+        return f"CASE WHEN {value} IS NOT NULL THEN least({raised}, {sql_double(self.upper)}) END"
 
     @property
-    def clipped(self) -> Column:
-        inside = F.least(
-            F.greatest(self.value.cast("double"), F.lit(self.lower)), F.lit(self.upper)
+    def limits(self) -> str:
+        """SQL fields that describe the fence in reports."""
+        return (
+            f"{str(self.lower is not None and self.lower == self.upper).lower()} AS degenerate, "
+            f"{sql_text(self.status)} AS status"
         )
-        return F.when(self.value.isNotNull(), inside)
 
 
 @dataclass(frozen=True)
@@ -71,28 +74,28 @@ class OutlierModel:
 
     def _kept(self) -> Column:
         """Rows that ``remove`` keeps: no checked value may be an outlier or, by default, null."""
-        tests = [F.coalesce(~f.is_outlier, F.lit(self.keep_nulls)) for f in self.checked]
-        return reduce(and_, tests, F.lit(True))
+        keep = str(self.keep_nulls).lower()
+        tests = [f"coalesce(NOT {f.is_outlier}, {keep})" for f in self.checked]
+        return F.expr(" AND ".join(tests or ["true"]))
 
     def transform(self, df: DataFrame) -> DataFrame:
         """Apply the action: one projection or one filter, lazy, no shuffle."""
         if self.action == "remove":
             return df.where(self._kept())
         if self.action == "flag":
-            return df.withColumns({f.column + FLAG_SUFFIX: f.is_outlier for f in self.checked})
+            flags = {f.column + FLAG_SUFFIX: F.expr(f.is_outlier) for f in self.checked}
+            return df.withColumns(flags)
         clipped = {f.column: f.clipped for f in self.checked}
-        return df.select(*[clipped.get(c, col(c)).alias(c) for c in df.columns])
+        names = [(c, sql_name(c)) for c in df.columns]
+        return df.selectExpr(*[f"{clipped.get(c, quoted)} AS {quoted}" for c, quoted in names])
 
     def bounds(self, spark: SparkSession) -> DataFrame:
         """Unrounded fences. ``degenerate`` marks fences that allow one single value."""
         records = [
-            F.struct(
-                F.lit(f.column).alias("column_name"),
-                F.lit(self.method).alias("method"),
-                F.lit(f.lower).cast("double").alias("lower_bound"),
-                F.lit(f.upper).cast("double").alias("upper_bound"),
-                F.lit(f.lower is not None and f.lower == f.upper).alias("degenerate"),
-                F.lit(f.status).alias("status"),
+            F.expr(
+                f"struct({sql_text(f.column)} AS column_name, '{self.method}' AS method, "
+                f"{sql_double(f.lower)} AS lower_bound, {sql_double(f.upper)} AS upper_bound, "
+                f"{f.limits})"
             )
             for f in self.fences
         ]
@@ -106,21 +109,15 @@ class OutlierModel:
                 "column_name string, method string, action string, lower_bound double, "
                 "upper_bound double, outlier_count bigint, degenerate boolean, status string",
             )
-        records = [
-            F.struct(
-                F.lit(f.column).alias("column_name"),
-                F.lit(self.method).alias("method"),
-                F.lit(self.action).alias("action"),
-                F.round(F.lit(f.lower).cast("double"), 4).alias("lower_bound"),
-                F.round(F.lit(f.upper).cast("double"), 4).alias("upper_bound"),
-                (F.lit(None) if f.lower is None else F.count_if(f.is_outlier))
-                .cast("bigint")
-                .alias("outlier_count"),
-                F.lit(f.lower is not None and f.lower == f.upper).alias("degenerate"),
-                F.lit(f.status).alias("status"),
+        records = []
+        for f in self.fences:
+            count = "CAST(NULL AS BIGINT)" if f.lower is None else f"count_if({f.is_outlier})"
+            records.append(
+                f"struct({sql_text(f.column)} AS column_name, '{self.method}' AS method, "
+                f"'{self.action}' AS action, round({sql_double(f.lower)}, 4) AS lower_bound, "
+                f"round({sql_double(f.upper)}, 4) AS upper_bound, {count} AS outlier_count, "
+                f"{f.limits})"
             )
-            for f in self.fences
-        ]
         return one_row_per_column(df, records)
 
     def removal_counts(self, df: DataFrame) -> DataFrame:
@@ -186,11 +183,14 @@ class OutlierDetector:
         for start in range(0, len(names), COLUMNS_PER_PASS):
             chunk = names[start : start + COLUMNS_PER_PASS]
             row = df.agg(
-                *[F.avg(col(n)).cast("double").alias(f"m{i}") for i, n in enumerate(chunk)],
-                *[F.stddev_samp(col(n)).alias(f"s{i}") for i, n in enumerate(chunk)],
+                *[
+                    F.expr(f"CAST({f}({sql_name(n)}) AS DOUBLE) AS {f[0]}{i}")
+                    for i, n in enumerate(chunk)
+                    for f in ("avg", "stddev_samp")
+                ]
             ).first()
             for i, name in enumerate(chunk):
-                mean, spread = row[f"m{i}"], row[f"s{i}"]
+                mean, spread = row[f"a{i}"], row[f"s{i}"]
                 if not spread or not math.isfinite(spread):
                     fences[name] = Fence(name, None, None, "skipped: no spread")
                 else:

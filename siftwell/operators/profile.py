@@ -5,11 +5,17 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, replace
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from siftwell.functions.columns import col, is_numeric, one_row_per_column, pin
+from siftwell.functions.columns import (
+    is_numeric,
+    one_row_per_column,
+    pin,
+    sql_name,
+    sql_text,
+)
 from siftwell.functions.frequency import (
     approx_distinct_counts,
     distinct_counts,
@@ -24,38 +30,39 @@ from siftwell.operators.score import quality_score
 TOP_VALUES = 3
 
 
-def column_stats(df: DataFrame, usable: Mapping[str, Column] | None = None) -> DataFrame:
+def column_stats(df: DataFrame, usable: Mapping[str, str] | None = None) -> DataFrame:
     """Counts, range and moments of every column from one aggregate, one row per column.
 
-    ``usable`` adds ``usable_count``, the non-null count of another form of each column (such as
-    the one without null markers).
+    ``usable`` adds ``usable_count``, the non-null count of another form (SQL) of each column,
+    such as the one without null markers.
     """
-    rows = F.count("*")
     records = []
     for i, f in enumerate(df.schema.fields):
-        value = col(f.name)
-        number = value if is_numeric(f.dataType) else F.lit(None).cast("double")
+        value = sql_name(f.name)
+        moment = lambda f_: f"CAST({f_}({value}) AS DOUBLE)"
+        if not is_numeric(f.dataType):
+            moment = lambda f_: "CAST(NULL AS DOUBLE)"
         record = [
-            F.lit(i).alias("col_id"),
-            F.lit(f.name).alias("column_name"),
-            F.lit(str(f.dataType)).alias("data_type"),
-            F.lit(f.nullable).alias("nullable"),
-            rows.alias("row_count"),
-            (rows - F.count(value)).alias("null_count"),
-            F.min(number).cast("double").alias("min"),
-            F.max(number).cast("double").alias("max"),
-            F.avg(number).cast("double").alias("mean"),
-            F.stddev_samp(number).alias("stddev"),
+            f"{i} AS col_id",
+            f"{sql_text(f.name)} AS column_name",
+            f"{sql_text(str(f.dataType))} AS data_type",
+            f"{str(f.nullable).lower()} AS nullable",
+            "count(*) AS row_count",
+            f"count(*) - count({value}) AS null_count",
+            f"{moment('min')} AS min",
+            f"{moment('max')} AS max",
+            f"{moment('avg')} AS mean",
+            f"{moment('stddev_samp')} AS stddev",
         ]
         if usable is not None:
-            record.append(F.count(usable[f.name]).alias("usable_count"))
-        records.append(F.struct(*record))
+            record.append(f"count({usable[f.name]}) AS usable_count")
+        records.append(f"struct({', '.join(record)})")
     return one_row_per_column(df, records)
 
 
 def top_value_rows(top: DataFrame, fields: Sequence[T.StructField]) -> DataFrame:
     """``column_name, rank, value, count`` of ranked frequency rows, values as text."""
-    names = F.array(*[F.lit(f.name) for f in fields])
+    names = F.expr(f"array({', '.join(sql_text(f.name) for f in fields)})")
     return top.select(
         F.element_at(names, F.col("col_id") + 1).alias("column_name"),
         "rank",
@@ -115,7 +122,6 @@ def build_columns(stats: DataFrame, distinct: DataFrame, top: DataFrame) -> Data
     )
     counts = F.broadcast(distinct.select("col_id", "distinct_count"))
     full = stats.join(counts, "col_id", "left").join(F.broadcast(lists), "column_name", "left")
-    rows, nulls = F.col("row_count"), F.col("null_count")
     return full.select(
         "col_id",
         "column_name",
@@ -123,9 +129,9 @@ def build_columns(stats: DataFrame, distinct: DataFrame, top: DataFrame) -> Data
         "nullable",
         "row_count",
         "null_count",
-        percent(nulls, rows).alias("null_pct"),
+        F.expr(percent("null_count", "row_count")).alias("null_pct"),
         F.coalesce("distinct_count", F.lit(0)).alias("distinct_count"),
-        percent(rows - nulls, rows).alias("completeness_pct"),
+        F.expr(percent("row_count - null_count", "row_count")).alias("completeness_pct"),
         "min",
         "max",
         F.round("mean", 4).alias("mean"),

@@ -236,11 +236,10 @@ class QualityRun:
         return {i for i, f in enumerate(df.schema.fields) if f.name in named and is_numeric(f.dataType)}
 
     def _reports(self, df, stats, cleaning, outliers, cleaned, before, after):
-        rows, usable = F.col("row_count"), F.col("usable_count")
-        audit_before = stats.select(
+        audit_before = stats.selectExpr(
             "column_name",
-            (rows - usable).alias("null_count"),
-            percent(rows - usable, rows).alias("null_pct"),
+            "row_count - usable_count AS null_count",
+            f"{percent('row_count - usable_count', 'row_count')} AS null_pct",
             "row_count",
         )
         removed = 0

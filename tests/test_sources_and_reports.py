@@ -49,37 +49,35 @@ def test_reports_keep_null_fields(spark, tmp_path):
     assert {r["column_name"]: r["null_count"] for r in lines} == {"column_name": 0, "fill_value": 1}
 
 
-def test_shared_folder_prefers_the_session_setting(spark, tmp_path):
+class FakeSession:
+    """Stands for sessions of other clusters: the setting cannot change while Spark runs."""
+
+    def __init__(self, setting=None, master="yarn", context_folder=None):
+        self.conf = {"spark.checkpoint.dir": setting} if setting else {}
+        self.sparkContext = self
+        self.master, self.applicationId = master, "app"
+        self.getCheckpointDir = lambda: context_folder
+
+
+def test_shared_folder_prefers_the_session_setting(spark):
+    assert shared_folder(FakeSession("hdfs:///shared/", context_folder="/other")) == "hdfs:///shared"
+    assert shared_folder(FakeSession(context_folder="/other")) == "/other"
     assert shared_folder(spark) == shared_folder(spark)
-    spark.conf.set("spark.checkpoint.dir", str(tmp_path))
-    try:
-        assert shared_folder(spark) == str(tmp_path)
-        assert work_path(spark, "x") != work_path(spark, "x")
-        stored, path = materialize(spark.range(5).toDF("n"), "five")
-        assert path.startswith(str(tmp_path)) and stored.count() == 5
-        discard(spark, path)
-        assert list(tmp_path.iterdir()) == []
-    finally:
-        spark.conf.unset("spark.checkpoint.dir")
+    assert work_path(spark, "x") != work_path(spark, "x")
 
 
 def test_cluster_without_shared_folder_is_refused():
-    class Context:
-        master = "yarn"
-        applicationId = "a"
-
-        def getCheckpointDir(self):
-            return None
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        shared_folder(FakeSession())
 
-    class Conf:
-        def get(self, key, default):
-            return default
 
-    class Session:
-        conf, sparkContext = Conf(), Context()
+def test_work_tables(spark):
+    import os
 
-    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
-        shared_folder(Session())
+    stored, path = materialize(spark.range(5).toDF("n"), "five")
+    assert path.startswith(shared_folder(spark)) and stored.count() == 5
+    discard(spark, path)
+    assert not os.path.exists(path)
 
 
 def test_hours(column):
