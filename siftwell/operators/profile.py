@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from dataclasses import dataclass, replace
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -90,22 +90,19 @@ class ProfileResult:
         return quality_score(self.columns, self.issues, self.uniqueness)
 
     def pinned(self) -> ProfileResult:
-        """Run every report once. Their size depends on the number of columns only."""
-        columns = pin(self.columns)
-        return replace(
-            self,
-            columns=columns,
-            top_values=pin(self.top_values),
-            issues=pin(self.issues),
-            shape=shape_of(columns),
-        )
+        """Run the reports once. Their size depends on the number of columns only."""
+        return pinned_profile(pin(self.columns), pin(self.issues), self.uniqueness)
 
 
-def shape_of(columns: DataFrame) -> DataFrame:
-    return columns.agg(
+def pinned_profile(columns: DataFrame, issues: DataFrame, uniqueness: str) -> ProfileResult:
+    """All reports of a profile from its pinned column rows and issues."""
+    ranked = columns.select("column_name", F.posexplode("top_values").alias("pos", "top"))
+    shape = columns.agg(
         F.coalesce(F.max("row_count"), F.lit(0)).alias("total_rows"),
         F.count("*").alias("total_columns"),
     )
+    top = ranked.select("column_name", (F.col("pos") + 1).alias("rank"), "top.*")
+    return ProfileResult(columns, top, issues, shape, uniqueness)
 
 
 def build_columns(stats: DataFrame, distinct: DataFrame, top: DataFrame) -> DataFrame:

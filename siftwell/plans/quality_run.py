@@ -48,8 +48,8 @@ from siftwell.operators.profile import (
     ProfileResult,
     build_columns,
     column_stats,
+    pinned_profile,
     profile,
-    shape_of,
     top_value_rows,
 )
 from siftwell.plans.config import RunConfig
@@ -149,8 +149,7 @@ class QualityRun:
         outliers = detector.fit(cleaned)
         result = outliers.transform(cleaned)
 
-        contract = config.expected_schema if config.validate_after else None
-        after = profile(result, contract, uniqueness=config.uniqueness).pinned()
+        after = self._profile_after(result)
         reports = self._reports(df, stats, cleaning, outliers, cleaned, before, after)
         model = QualityRunModel(
             config, cleaning, outliers, before, after, cleaned, result, reports, work_table,
@@ -220,15 +219,15 @@ class QualityRun:
         top = top_value_rows(top_values(values.drop("rank"), TOP_VALUES, other), fields)
         contract = Contract.of(self.config.expected_schema)
         nulls = {r["column_name"]: r["null_count"] for r in stats.collect()}
+        issues = validate(df, contract, nulls)
         columns = pin(build_columns(stats, distinct, top))
-        before = ProfileResult(
-            columns=columns,
-            top_values=pin(top),
-            issues=pin(validate(df, contract, nulls)),
-            shape=shape_of(columns),
-            uniqueness=self.config.uniqueness,
-        )
-        return before, modes
+        return pinned_profile(columns, issues, self.config.uniqueness), modes
+
+    def _profile_after(self, result: DataFrame) -> ProfileResult:
+        columns = pin(profile(result).columns)
+        contract = Contract.of(self.config.expected_schema if self.config.validate_after else None)
+        nulls = {r["column_name"]: r["null_count"] for r in columns.collect()}
+        return pinned_profile(columns, validate(result, contract, nulls), self.config.uniqueness)
 
     def _numeric_modes(self, df: DataFrame) -> set[int]:
         strategies = self.config.imputation_strategies
