@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from siftwell.catalog.inputs import DIRTY_ORDERS, FILLED_ORDERS, dirty_orders
+from siftwell.catalog.inputs import FILLED_ORDERS, dirty_orders
 from siftwell.catalog.profiles import CONTRACT, ISSUES, PROFILE, TYPES
 from siftwell.catalog.registry import query
 from siftwell.plans.config import RunConfig
