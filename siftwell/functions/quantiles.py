@@ -22,8 +22,10 @@ from siftwell.functions.columns import COLUMNS_PER_PASS, col, merge_group, sql_d
 
 # Rows strictly inside a bracket that one ranking task may hold.
 RANKABLE_ROWS = 1_000_000
-# Normalised rank error aimed at when a bracket is proposed, and the margin taken on each side.
-BRACKET_ERROR = 0.001
+# Brackets checked per aggregate, with five counts each.
+SEARCHES_PER_PASS = 100
+# Share of ranks that a bracket spans on each side of the wanted one. Its sketch is four times as
+# fine with 99 % confidence, and wrong brackets are found by the exact counts.
 BRACKET_MARGIN = 0.004
 
 
@@ -117,7 +119,7 @@ def _propose(df: DataFrame, searches: list[_Search]) -> list[tuple[float, float]
         ]
         for group in groups
     ]
-    found = _sketch(df, values, ranks, BRACKET_ERROR)
+    found = _sketch(df, values, ranks, BRACKET_MARGIN)
     brackets = {}
     for group, quantiles in zip(groups, found):
         for i, s in enumerate(group):
@@ -191,8 +193,9 @@ def exact_quantiles(
     while pending:
         brackets = _propose(needed, pending)
         active = [(s, b) for s, b in zip(pending, brackets) if not s.empty]
-        if active:
-            _settle(needed, [s for s, _ in active], [b for _, b in active])
+        for start in range(0, len(active), SEARCHES_PER_PASS):
+            chunk = active[start : start + SEARCHES_PER_PASS]
+            _settle(needed, [s for s, _ in chunk], [b for _, b in chunk])
         small = [s for s in pending if not s.done and s.inner <= RANKABLE_ROWS]
         for start in range(0, len(small), COLUMNS_PER_PASS):
             _rank_inside(needed, small[start : start + COLUMNS_PER_PASS])
