@@ -7,7 +7,7 @@ from collections.abc import Callable, Iterable, Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 #: White space of every word rule here: space, tab, line feed, vertical tab, form feed, return.
@@ -45,6 +45,33 @@ def map_rows(
     return frame.mapInArrow(run, schema)
 
 
+def own_columns(docs: DataFrame, struct: str = "d") -> list[Column]:
+    """The columns of ``docs`` out of a struct that holds them all."""
+    return [F.col(f"{struct}.`{c.replace('`', '``')}`") for c in docs.columns]
+
+
+def owned_rows(docs: DataFrame, keepers: DataFrame) -> DataFrame:
+    """The rows of ``docs`` named by ``keep_id`` and ``text_sha256``, one for each name.
+
+    Of rows that share identifier and text, the first by the remaining columns stays (map columns
+    have no order and are passed over).
+    """
+    marked = docs.select(
+        F.struct("*").alias("d"),
+        F.sha2(F.coalesce(docs["text"], F.lit("")), 256).alias("sha"),
+        docs["doc_id"].alias("key"),
+    )
+    found = marked.join(
+        keepers,
+        (F.col("sha") == F.col("text_sha256")) & F.col("key").eqNullSafe(F.col("keep_id")),
+    )
+    order = [c for c, (_, kind) in zip(own_columns(docs), docs.dtypes) if "map<" not in kind]
+    first = Window.partitionBy("sha", "key").orderBy(*order)
+    return (
+        found.withColumn("nth", F.row_number().over(first)).where("nth = 1").select(*own_columns(docs))
+    )
+
+
 class WordHashes(dict):
     """64-bit hash of each word, remembered; forgets all beyond ``limit`` words."""
 

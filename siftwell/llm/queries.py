@@ -5,6 +5,7 @@ from __future__ import annotations
 from siftwell.llm.exact_dedup import exact_groups
 from siftwell.llm.mixing import mix_sources
 from siftwell.llm.registry import ORACLES, QUERIES, query
+from siftwell.llm.simhash import simhash_groups
 
 __all__ = ["ORACLES", "QUERIES"]
 
@@ -13,6 +14,11 @@ def table(spark, folder: str, name: str):
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+@query("op3_simhash")
+def op3_simhash(spark, folder):
+    return simhash_groups(table(spark, folder, "documents"))
+
+
 @query(
     "op5_mixing",
     r"""WITH sizes AS (
