@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from siftwell.llm.exact_dedup import exact_groups
 from siftwell.llm.mixing import mix_sources
+from siftwell.llm.quality import quality_scores
 from siftwell.llm.registry import ORACLES, QUERIES, query
+from siftwell.llm.secrets import secret_spans
 from siftwell.llm.simhash import simhash_groups
 
 __all__ = ["ORACLES", "QUERIES"]
@@ -19,6 +21,11 @@ def op3_simhash(spark, folder):
     return simhash_groups(table(spark, folder, "documents"))
 
 
+@query("op4_quality")
+def op4_quality(spark, folder):
+    return quality_scores(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
 @query(
     "op5_mixing",
     r"""WITH sizes AS (
@@ -77,3 +84,8 @@ def op5_mixing(spark, folder):
 )
 def op6_exact_dedup(spark, folder):
     return exact_groups(table(spark, folder, "documents"))
+
+
+@query("op8_secrets")
+def op8_secrets(spark, folder):
+    return secret_spans(table(spark, folder, "documents"))
