@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 from siftwell.llm.exact_dedup import exact_groups
+from siftwell.llm.fingerprint import fingerprint_edits
 from siftwell.llm.mixing import mix_sources
+from siftwell.llm.pieces import encode_texts
 from siftwell.llm.quality import quality_scores
 from siftwell.llm.registry import ORACLES, QUERIES, query
 from siftwell.llm.secrets import secret_spans
@@ -16,6 +18,16 @@ def table(spark, folder: str, name: str):
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+@query("op1_fingerprint")
+def op1_fingerprint(spark, folder):
+    return fingerprint_edits(table(spark, folder, "documents"))
+
+
+@query("op2_sentencepiece")
+def op2_sentencepiece(spark, folder):
+    return encode_texts(table(spark, folder, "documents"))
+
+
 @query("op3_simhash")
 def op3_simhash(spark, folder):
     return simhash_groups(table(spark, folder, "documents"))
