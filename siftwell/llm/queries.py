@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from siftwell.llm.chat import format_chats
 from siftwell.llm.exact_dedup import exact_groups
 from siftwell.llm.fingerprint import fingerprint_edits
 from siftwell.llm.mixing import mix_sources
@@ -101,3 +102,8 @@ def op6_exact_dedup(spark, folder):
 @query("op8_secrets")
 def op8_secrets(spark, folder):
     return secret_spans(table(spark, folder, "documents"))
+
+
+@query("op9_chat_formatting")
+def op9_chat_formatting(spark, folder):
+    return format_chats(table(spark, folder, "conversations"))
