@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 from siftwell.llm.chat import format_chats
 from siftwell.llm.exact_dedup import exact_groups
 from siftwell.llm.fingerprint import fingerprint_edits
@@ -11,6 +13,7 @@ from siftwell.llm.quality import quality_scores
 from siftwell.llm.registry import ORACLES, QUERIES, query
 from siftwell.llm.secrets import secret_spans
 from siftwell.llm.simhash import simhash_groups
+from siftwell.llm.substring_dedup import remove_repeats
 
 __all__ = ["ORACLES", "QUERIES"]
 
@@ -99,6 +102,13 @@ def op6_exact_dedup(spark, folder):
     return exact_groups(table(spark, folder, "documents"))
 
 
+@query("op7_substring_dedup")
+def op7_substring_dedup(spark, folder):
+    kept = remove_repeats(table(spark, folder, "documents"))
+    kept_sha256 = F.sha2("kept_text", 256).alias("kept_sha256")
+    return kept.select("doc_id", "n_words", "n_removed", "repeats", kept_sha256)
+
+
 @query("op8_secrets")
 def op8_secrets(spark, folder):
     return secret_spans(table(spark, folder, "documents"))
