@@ -18,10 +18,10 @@ from collections.abc import Iterable, Iterator
 from itertools import batched
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from siftwell.llm.frames import plain_texts, text_bytes
+from siftwell.llm.frames import owned_rows, plain_texts, text_bytes
 
 PARTIAL = "n_bytes int, content long, body binary, keep_id long, members long"
 OWNERS = "text_sha256 string, keep_id long, group_size long"
@@ -202,17 +202,4 @@ def exact_groups(docs: DataFrame, budget: int = 48 << 20) -> DataFrame:
 
 def drop_exact_duplicates(docs: DataFrame, budget: int = 48 << 20) -> DataFrame:
     """The documents that own their text, all columns kept."""
-    owners = text_owners(docs, budget)
-    own = [F.col(f"d.`{c.replace('`', '``')}`") for c in docs.columns]
-    marked = docs.select(
-        F.struct("*").alias("d"),
-        F.sha2(F.coalesce(F.col("text"), F.lit("")), 256).alias("sha"),
-        F.col("doc_id").alias("key"),
-    )
-    owned = marked.join(
-        owners, (F.col("sha") == owners["text_sha256"]) & F.col("key").eqNullSafe(owners["keep_id"])
-    )
-    rest = [c for c, kind in docs.dtypes if c not in ("doc_id", "text") and "map<" not in kind]
-    order = [F.col(f"d.`{c.replace('`', '``')}`") for c in rest] or [F.col("key")]
-    first = Window.partitionBy("sha", "key").orderBy(*order)
-    return owned.withColumn("nth", F.row_number().over(first)).where("nth = 1").select(*own)
+    return owned_rows(docs, text_owners(docs, budget))
