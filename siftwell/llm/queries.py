@@ -8,6 +8,7 @@ from siftwell.llm.chat import format_chats
 from siftwell.llm.exact_dedup import exact_groups
 from siftwell.llm.fingerprint import fingerprint_edits
 from siftwell.llm.mixing import mix_sources
+from siftwell.llm.mixing_lm import lm_scores
 from siftwell.llm.pieces import encode_texts
 from siftwell.llm.quality import quality_scores
 from siftwell.llm.registry import ORACLES, QUERIES, query
@@ -117,3 +118,8 @@ def op8_secrets(spark, folder):
 @query("op9_chat_formatting")
 def op9_chat_formatting(spark, folder):
     return format_chats(table(spark, folder, "conversations"))
+
+
+@query("op10_lm_scoring")
+def op10_lm_scoring(spark, folder):
+    return lm_scores(table(spark, folder, "documents"))
