@@ -13,7 +13,6 @@ from pyspark.sql import DataFrame, SparkSession
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 from siftwell import (  # noqa: E402
-    DEFAULT_NULL_MARKERS,
     QualityRun,
     QualityRunModel,
     cast_columns,
@@ -25,26 +24,42 @@ from siftwell import (  # noqa: E402
 
 # Column names, types and settings of the collision data set.
 COUNTS = [
-    f"number_of_{who}_{harm}"
-    for who in ("persons", "pedestrians", "cyclist", "motorist")
-    for harm in ("injured", "killed")
+    "number_of_persons_injured",
+    "number_of_persons_killed",
+    "number_of_pedestrians_injured",
+    "number_of_pedestrians_killed",
+    "number_of_cyclist_injured",
+    "number_of_cyclist_killed",
+    "number_of_motorist_injured",
+    "number_of_motorist_killed",
 ]
 TYPES = {
-    **dict.fromkeys(COUNTS, "bigint"),
+    "number_of_persons_injured": "bigint",
+    "number_of_persons_killed": "bigint",
+    "number_of_pedestrians_injured": "bigint",
+    "number_of_pedestrians_killed": "bigint",
+    "number_of_cyclist_injured": "bigint",
+    "number_of_cyclist_killed": "bigint",
+    "number_of_motorist_injured": "bigint",
+    "number_of_motorist_killed": "bigint",
     "latitude": "double",
     "longitude": "double",
     "collision_id": "bigint",
 }
 SETTINGS = {
-    "null_representations": [*DEFAULT_NULL_MARKERS, "UNKNOWN", "Unspecified"],
+    "null_representations": [
+        "N/A", "null", "None", "", "Unknown", "n/a", "NA", "NaN", "UNKNOWN", "Unspecified",
+    ],
     "drop_col_threshold": 0.80,
     "imputation_strategies": {
-        **dict.fromkeys(
-            ["borough", "zip_code", "on_street_name", "contributing_factor_vehicle_1",
-             "vehicle_type_code1"],
-            "mode",
-        ),
-        **dict.fromkeys(["latitude", "longitude", "number_of_persons_injured"], "median"),
+        "borough": "mode",
+        "zip_code": "mode",
+        "latitude": "median",
+        "longitude": "median",
+        "on_street_name": "mode",
+        "contributing_factor_vehicle_1": "mode",
+        "vehicle_type_code1": "mode",
+        "number_of_persons_injured": "median",
         "number_of_persons_killed": "constant",
     },
     "fill_values": {"number_of_persons_killed": 0},
@@ -63,8 +78,12 @@ SETTINGS = {
     "iqr_multiplier": 1.5,
     "expected_schema": {
         "columns": {
-            **dict.fromkeys(["crash_date", "crash_time", "borough", "zip_code"], "StringType"),
-            **dict.fromkeys(["latitude", "longitude"], "DoubleType"),
+            "crash_date": "StringType",
+            "crash_time": "StringType",
+            "borough": "StringType",
+            "zip_code": "StringType",
+            "latitude": "DoubleType",
+            "longitude": "DoubleType",
             "collision_id": "LongType",
             "number_of_persons_injured": "LongType",
             "number_of_persons_killed": "LongType",
@@ -89,11 +108,10 @@ def collision_reports(clean: DataFrame) -> dict[str, DataFrame]:
 
 def process(spark: SparkSession, source: str, target: str) -> QualityRunModel:
     records = cast_columns(read_text_csv(spark, source), TYPES)
-    model = QualityRun.from_dict(SETTINGS).fit(records)
-    write_csv(model.result, f"{target}/clean")
-    model.write_reports(f"{target}/quality")
-    write_reports(collision_reports(model.result), f"{target}/analytics")
-    model.release()
+    with QualityRun.from_dict(SETTINGS).fit(records) as model:
+        write_csv(model.result, f"{target}/clean")
+        model.write_reports(f"{target}/quality")
+        write_reports(collision_reports(model.result), f"{target}/analytics")
     return model
 
 

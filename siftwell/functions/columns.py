@@ -75,22 +75,43 @@ def merge_group() -> Column:
     return (F.spark_partition_id() % MERGE_GROUPS).alias("merge_group")
 
 
+def stacked_sketches(per_group: DataFrame, ids: Iterable[int]) -> DataFrame:
+    """``col_id, sketch`` rows of a first merge level that holds a sketch ``s<id>`` for each column.
+
+    Merged by ``col_id``, the sketches of different columns go to different tasks.
+    """
+    ids = list(ids)
+    cells = ", ".join(f"{i}, s{i}" for i in ids)
+    stacked = per_group.selectExpr(f"stack({len(ids)}, {cells}) AS (col_id, sketch)")
+    return stacked.where(F.col("sketch").isNotNull())
+
+
 def _same_name(df: DataFrame):
     if df.sparkSession.conf.get("spark.sql.caseSensitive", "false").lower() == "true":
         return lambda name: name
     return str.lower
 
 
-def find_fields(df: DataFrame, names: Iterable[str]) -> tuple[list[T.StructField], list[str]]:
-    """Split requested names into the table's fields (in request order) and absent names.
+class FieldLookup:
+    """Fields of a table by name, matched the way Spark resolves names.
 
-    Names match the way Spark itself resolves them, i.e. by ``spark.sql.caseSensitive``.
+    That is by ``spark.sql.caseSensitive``, asked once for all look-ups.
     """
-    fold = _same_name(df)
-    by_name = {fold(f.name): f for f in df.schema.fields}
+
+    def __init__(self, df: DataFrame):
+        self._fold = _same_name(df)
+        self._fields = {self._fold(f.name): f for f in df.schema.fields}
+
+    def __call__(self, name: str) -> T.StructField | None:
+        return self._fields.get(self._fold(name))
+
+
+def find_fields(df: DataFrame, names: Iterable[str]) -> tuple[list[T.StructField], list[str]]:
+    """Split requested names into the table's fields (in request order) and absent names."""
+    lookup = FieldLookup(df)
     present, absent, seen = [], [], set()
     for name in names:
-        field = by_name.get(fold(name))
+        field = lookup(name)
         if field is None:
             absent.append(name)
         elif field.name not in seen:
@@ -101,12 +122,9 @@ def find_fields(df: DataFrame, names: Iterable[str]) -> tuple[list[T.StructField
 
 def by_field(df: DataFrame, settings: dict) -> dict:
     """Re-key a ``{column: setting}`` mapping by the table's own spelling; drop absent columns."""
-    out = {}
-    for name, setting in settings.items():
-        present, _ = find_fields(df, [name])
-        if present:
-            out[present[0].name] = setting
-    return out
+    lookup = FieldLookup(df)
+    found = ((lookup(name), setting) for name, setting in settings.items())
+    return {field.name: setting for field, setting in found if field is not None}
 
 
 def one_row_per_column(df: DataFrame, records: Sequence[str]) -> DataFrame:

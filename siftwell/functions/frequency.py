@@ -2,8 +2,10 @@
 
 Every value is stacked into a narrow row ``(col_id, num, real, txt)``, with the value in the
 slot that suits its type, and counted. Spark combines equal values before the shuffle, so a
-value that fills a third of a column travels as one row per task. Distinct counts, modes and
-top values are all small aggregates of this one table.
+value that fills a third of a column travels as one row per task. A text of more than
+``LONG_BYTES`` bytes is represented by its first characters and its SHA-256, so the shuffle never
+carries whole documents; the few that end up in a report are looked up afterwards. Distinct
+counts, modes and top values are all small aggregates of this one table.
 """
 
 from __future__ import annotations
@@ -21,22 +23,92 @@ from siftwell.functions.columns import (
     is_float,
     is_nested,
     merge_group,
-    one_row_per_column,
     sql_name,
+    sql_text,
+    stacked_sketches,
 )
 
+# Standard error of the largest HyperLogLog sketch, of 2^21 registers.
+LEAST_SKETCH_ERROR = 1.04 / 2**10.5
+
 KEYS = ("col_id", "num", "real", "txt")
 
 
+# A text that needs more bytes is keyed by its start and its digest. The key is longer than any
+# text that stands for itself, so the two never meet.
+LONG_BYTES = 120
+START_CHARACTERS = 64
+
+# Times inside nested values, to the microsecond.
+JSON_OPTIONS = (
+    "map('ignoreNullFields', 'false', "
+    "'timestampFormat', 'yyyy-MM-dd HH:mm:ss.SSSSSSXXX', "
+    "'timestampNTZFormat', 'yyyy-MM-dd HH:mm:ss.SSSSSS')"
+)
+
+
+def _has_float(dtype: T.DataType) -> bool:
+    if isinstance(dtype, T.ArrayType):
+        return _has_float(dtype.elementType)
+    if isinstance(dtype, T.MapType):
+        return _has_float(dtype.keyType) or _has_float(dtype.valueType)
+    if isinstance(dtype, T.StructType):
+        return any(_has_float(f.dataType) for f in dtype.fields)
+    return is_float(dtype)
+
+
+def _without_minus_zero(value: str, dtype: T.DataType, depth: int = 0) -> str:
+    """SQL of a value whose negative zeros, at any depth, are zeros."""
+    if not _has_float(dtype):
+        return value
+    inner = f"x{depth}"
+    if isinstance(dtype, T.ArrayType):
+        return f"transform({value}, {inner} -> {_without_minus_zero(inner, dtype.elementType, depth + 1)})"
+    if isinstance(dtype, T.MapType):
+        # Keys are normalised by Spark itself.
+        changed = _without_minus_zero(inner, dtype.valueType, depth + 1)
+        return f"transform_values({value}, (k{depth}, {inner}) -> {changed})"
+    if isinstance(dtype, T.StructType):
+        parts = [
+            f"{sql_text(f.name)}, {_without_minus_zero(f'{value}.{sql_name(f.name)}', f.dataType, depth)}"
+            for f in dtype.fields
+        ]
+        return f"CASE WHEN {value} IS NOT NULL THEN named_struct({', '.join(parts)}) END"
+    return f"({value} + 0)"
+
+
 def _json(value: str, dtype: T.DataType) -> str:
+    entries = _without_minus_zero(value, dtype)
     if isinstance(dtype, T.MapType):
-        entries = f"map_from_entries(array_sort(map_entries({value})))"
-    else:
-        entries = value
-    text = f"to_json({entries}, map('ignoreNullFields', 'false'))"
+        entries = f"map_from_entries(array_sort(map_entries({entries})))"
+    text = f"to_json({entries}, {JSON_OPTIONS})"
     return f"CASE WHEN {value} IS NOT NULL THEN {text} END"
 
 
+def full_text(value: str, dtype: T.DataType) -> str:
+    """SQL of the text of a value of a type that is kept in the ``txt`` slot."""
+    if isinstance(dtype, T.BinaryType):
+        return f"hex({value})"
+    if is_nested(dtype):
+        return _json(value, dtype)
+    return f"CAST({value} AS STRING)"
+
+
+def _key_text(text: str) -> str:
+    """SQL of the key of a text: itself, or its start and digest."""
+    key = f"concat(substring({text}, 1, {START_CHARACTERS}), sha2({text}, 256))"
+    return f"CASE WHEN octet_length({text}) > {LONG_BYTES} THEN {key} ELSE {text} END"
+
+
+def is_long(txt: Column) -> Column:
+    """Whether a ``txt`` slot stands for a longer text."""
+    return F.octet_length(txt) > LONG_BYTES
+
+
+def may_be_long(dtype: T.DataType) -> bool:
+    return encode("x", dtype)[2] is not None and not isinstance(dtype, T.DecimalType)
+
+
 def encode(value: str, dtype: T.DataType) -> tuple[str | None, str | None, str | None]:
     """SQL of the ``(num, real, txt)`` slots of a value; equal slots mean equal values."""
     if isinstance(dtype, T.BooleanType):
@@ -52,15 +124,11 @@ def encode(value: str, dtype: T.DataType) -> tuple[str | None, str | None, str |
     if isinstance(dtype, T.DecimalType):
         # The text is exact, the double in front of it makes ties order by size.
         return None, f"CAST({value} AS DOUBLE)", f"CAST({value} AS STRING)"
-    if isinstance(dtype, T.BinaryType):
-        return None, None, f"hex({value})"
-    if is_nested(dtype):
-        return None, None, _json(value, dtype)
-    return None, None, f"CAST({value} AS STRING)"
+    return None, None, _key_text(full_text(value, dtype))
 
 
 def decode(num: Column, real: Column, txt: Column, dtype: T.DataType) -> Column:
-    """Inverse of :func:`encode` for every non-nested type."""
+    """Inverse of :func:`encode` for every non-nested type, given whole texts."""
     if isinstance(dtype, T.BooleanType):
         return num.cast("boolean")
     if isinstance(dtype, T.IntegralType):
@@ -83,18 +151,23 @@ def decode_row(row: Row, dtype: T.DataType) -> Column:
     return decode(F.lit(row["num"]), F.lit(row["real"]), F.lit(row["txt"]), dtype)
 
 
-def value_frequencies(df: DataFrame, fields: Sequence[T.StructField]) -> DataFrame:
+def value_frequencies(
+    df: DataFrame, fields: Sequence[T.StructField], only: Sequence[int] | None = None
+) -> DataFrame:
     """``(col_id, num, real, txt, freq)``: how often each non-null value occurs.
 
-    ``col_id`` is the position in ``fields``.
+    ``col_id`` is the position in ``fields``; ``only`` names the positions to count.
     """
     nothing = [f"CAST(NULL AS {t})" for t in ("BIGINT", "DOUBLE", "STRING")]
+    counted = list(range(len(fields)) if only is None else only)
     cells: list[str] = []
-    for i, field in enumerate(fields):
-        slots = encode(sql_name(field.name), field.dataType)
+    for i in counted:
+        slots = encode(sql_name(fields[i].name), fields[i].dataType)
         cells += [str(i), *[slot or null for slot, null in zip(slots, nothing)]]
+    if not counted:
+        cells, df = ["0", *nothing], df.limit(0)
     return (
-        df.selectExpr(f"stack({len(fields)}, {', '.join(cells)}) AS ({', '.join(KEYS)})")
+        df.selectExpr(f"stack({max(1, len(counted))}, {', '.join(cells)}) AS ({', '.join(KEYS)})")
         # Known not to be null, or joins on it would add a filter and spoil the shared shuffle.
         .withColumn("col_id", F.coalesce("col_id", F.lit(-1)))
         .where(F.col("num").isNotNull() | F.col("real").isNotNull() | F.col("txt").isNotNull())
@@ -117,25 +190,31 @@ def approx_distinct_counts(
 ) -> DataFrame:
     """``(col_id, distinct_count)`` estimated by HyperLogLog sketches, without shuffling values.
 
-    ``relative_error`` is the standard error. Sketches are merged in two levels, so that no
-    task merges those of all tasks.
+    ``relative_error`` is the standard error, at least ``LEAST_SKETCH_ERROR``. Sketches are merged
+    in two levels, so that no task merges those of all tasks.
     """
-    log_k = int(min(21, max(4, math.ceil(math.log2((1.04 / relative_error) ** 2)))))
+    if not relative_error >= LEAST_SKETCH_ERROR:
+        raise ValueError(
+            f"no sketch has a standard error of {relative_error}; the least is "
+            f"{LEAST_SKETCH_ERROR:.2g}, count exactly below it"
+        )
+    log_k = max(4, math.ceil(math.log2((1.04 / relative_error) ** 2)))
     parts = []
     for start in range(0, len(fields), COLUMNS_PER_PASS):
         chunk = range(start, min(start + COLUMNS_PER_PASS, len(fields)))
-        sketches, estimates = [], []
+        sketches = []
         for i in chunk:
             value = sql_name(fields[i].name)
             if isinstance(fields[i].dataType, (T.MapType, T.VariantType)):
                 value = _json(value, fields[i].dataType)
-            hashed = f"CASE WHEN {value} IS NOT NULL THEN xxhash64({value}) END"
+            else:
+                value = _without_minus_zero(value, fields[i].dataType)
+            hashed = f"CASE WHEN {sql_name(fields[i].name)} IS NOT NULL THEN xxhash64({value}) END"
             sketches.append(F.expr(f"hll_sketch_agg({hashed}, {log_k}) AS s{i}"))
-            estimates.append(
-                f"struct({i} AS col_id, hll_sketch_estimate(hll_union_agg(s{i})) AS distinct_count)"
-            )
-        parts.append(one_row_per_column(df.groupBy(merge_group()).agg(*sketches), estimates))
-    return reduce(DataFrame.unionByName, parts)
+        merged = stacked_sketches(df.groupBy(merge_group()).agg(*sketches), chunk)
+        parts.append(merged.groupBy("col_id").agg(F.expr("hll_union_agg(sketch)").alias("sketch")))
+    every = reduce(DataFrame.unionByName, parts)
+    return every.select("col_id", F.expr("hll_sketch_estimate(sketch)").alias("distinct_count"))
 
 
 def top_values(
@@ -143,6 +222,8 @@ def top_values(
 ) -> DataFrame:
     """The ``k`` most frequent values per column, ties by value ascending, with ``rank``.
 
+    Long texts are ordered by their first characters, then by digest.
+
     Spark limits each task to ``k`` rows per column before the shuffle (``WindowGroupLimit``),
     so a column with billions of distinct values sends only ``k`` rows per task. ``only`` names
     the columns to rank, ``within`` splits each column's ranking further.
@@ -157,6 +238,32 @@ def top_values(
     return freq.withColumn("rank", F.row_number().over(window)).where(F.col("rank") <= k)
 
 
+def with_full_texts(rows: DataFrame, df: DataFrame, fields: Sequence[T.StructField]) -> DataFrame:
+    """Frequency rows, a few for each column, with whole texts in place of their keys.
+
+    Costs a scan only if one of them is long; else the join has nothing to look up and is dropped.
+    """
+    ids = [i for i, f in enumerate(fields) if may_be_long(f.dataType)]
+    if not ids:
+        return rows
+    cells = []
+    for i in ids:
+        text = full_text(sql_name(fields[i].name), fields[i].dataType)
+        cells.append(f"{i}, {text}")
+    texts = df.selectExpr(f"stack({len(ids)}, {', '.join(cells)}) AS (id, full)")
+    texts = texts.where(is_long(F.col("full"))).withColumn("key", F.expr(_key_text("full")))
+    # At most as many rows as the report has.
+    wanted = rows.where(is_long(F.col("txt"))).select(F.col("col_id").alias("w_id"), F.col("txt").alias("w_txt"))
+    found = (
+        texts.join(F.broadcast(wanted), (F.col("id") == F.col("w_id")) & (F.col("key") == F.col("w_txt")))
+        .groupBy("id", "key")
+        .agg(F.min("full").alias("full"))
+    )
+    same = (F.col("col_id") == F.col("id")) & (F.col("txt") == F.col("key"))
+    joined = rows.join(F.broadcast(found), same, "left").drop("id", "key")
+    return joined.withColumn("txt", F.coalesce("full", "txt")).drop("full")
+
+
 def value_text(fields: Sequence[T.StructField]) -> Column:
     """Spark's text of the value in a frequency row, whatever its column's type."""
     num, real, txt = F.col("num"), F.col("real"), F.col("txt")

@@ -6,19 +6,31 @@ has to merge the sketches of all tasks.
 Exact (``relative_error=0``): sketches only *propose* a bracket around the wanted rank. Exact
 counts then decide whether an end of the bracket is the answer or how many rows lie strictly
 inside. While too many do, the bracket is sketched again; a frequent value becomes a bracket
-end and drops out. What remains is a bounded slice that a window can rank.
+end and drops out. What remains is a bounded slice that a window can rank. Values are compared
+in their own type, so integers and decimals beyond the precision of doubles keep all digits.
 """
 
 from __future__ import annotations
 
+import decimal
 import math
 from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from siftwell.functions.columns import COLUMNS_PER_PASS, col, merge_group, sql_double, sql_name
+from siftwell.functions.columns import (
+    COLUMNS_PER_PASS,
+    col,
+    merge_group,
+    sql_double,
+    sql_name,
+    stacked_sketches,
+)
+
+Number = int | float | decimal.Decimal
 
 # Rows strictly inside a bracket that one ranking task may hold.
 RANKABLE_ROWS = 1_000_000
@@ -27,42 +39,86 @@ SEARCHES_PER_PASS = 100
 # Share of ranks that a bracket spans on each side of the wanted one. Its sketch is four times as
 # fine with 99 % confidence, and wrong brackets are found by the exact counts.
 BRACKET_MARGIN = 0.004
+# Largest parameter that KLL sketches take.
+LARGEST_SKETCH = 65535
+
+
+def sketch_size(relative_error: float) -> int | None:
+    """KLL ``k`` whose 99 % rank error is a quarter of ``relative_error`` (about 2.3 / k^0.97).
+
+    None if no sketch is that fine, which is below an error of about 0.0002.
+    """
+    k = max(200, math.ceil((2.3 / (relative_error / 4)) ** (1 / 0.97)))
+    return k if k <= LARGEST_SKETCH else None
+
 
+def is_whole(dtype: T.DataType) -> bool:
+    return isinstance(dtype, T.IntegralType)
 
-def sketch_size(relative_error: float) -> int:
-    """KLL ``k`` whose 99 % rank error is a quarter of ``relative_error`` (about 2.3 / k^0.97)."""
-    return int(min(65535, max(200, math.ceil((2.3 / (relative_error / 4)) ** (1 / 0.97)))))
 
+def sql_number(value: Number | None, dtype: T.DataType) -> str:
+    """SQL literal of a value in the type it is compared in."""
+    if is_whole(dtype):
+        # The lowest long has no literal of its own.
+        return f"CAST('{value}' AS BIGINT)"
+    if isinstance(dtype, T.DecimalType):
+        return f"CAST('{value}' AS {dtype.simpleString()})"
+    return sql_double(value)
 
-def _ranked(name: str) -> str:
-    """SQL of a column as double, with NaN as null: neither takes a rank."""
+
+def _ranked(name: str, dtype: T.DataType) -> str:
+    """SQL of a column in the type it is compared in, with NaN as null: neither takes a rank."""
+    if is_whole(dtype):
+        return f"CAST({sql_name(name)} AS BIGINT)"
+    if isinstance(dtype, T.DecimalType):
+        return sql_name(name)
     value = f"CAST({sql_name(name)} AS DOUBLE)"
     return f"CASE WHEN NOT isnan({value}) THEN {value} END"
 
 
 def _sketch(
-    df: DataFrame, values: Sequence[str], ranks: Sequence[Sequence[float]], error: float
-) -> list[list[float]]:
-    """Approximate quantiles of SQL expressions: one list per expression, empty if all null."""
-    out: list[list[float]] = []
+    df: DataFrame,
+    values: Sequence[str],
+    whole: Sequence[bool],
+    ranks: Sequence[Sequence[float]],
+    error: float,
+) -> list[list[Number]]:
+    """Approximate quantiles of SQL expressions: one list per expression, empty if all null.
+
+    ``whole`` says which expressions are integers; these have sketches of integers.
+    """
+    out: list[list[Number]] = []
     k = sketch_size(error)
     for start in range(0, len(values), COLUMNS_PER_PASS):
         chunk = range(start, min(start + COLUMNS_PER_PASS, len(values)))
+        found: dict[int, list[Number]] = {}
+        kinds = {"bigint": [i for i in chunk if whole[i]], "double": [i for i in chunk if not whole[i]]}
         per_group = df.groupBy(merge_group()).agg(
-            *[F.expr(f"kll_sketch_agg_double({values[i]}, {k}) AS s{i}") for i in chunk]
-        )
-        merged = per_group.agg(
-            *[F.expr(f"kll_merge_agg_double(s{i}, {k}) AS s{i}") for i in chunk]
-        )
-        wanted = {i: f"array({', '.join(sql_double(float(r)) for r in ranks[i])})" for i in chunk}
-        row = merged.selectExpr(
             *[
-                f"CASE WHEN kll_sketch_get_n_double(s{i}) > 0 "
-                f"THEN kll_sketch_get_quantile_double(s{i}, {wanted[i]}) END AS q{i}"
-                for i in chunk
+                F.expr(f"kll_sketch_agg_{kind}({values[i]}, {k}) AS s{i}")
+                for kind, ids in kinds.items()
+                for i in ids
             ]
-        ).first()
-        out += [list(row[f"q{i}"] or []) for i in chunk]
+        )
+        for kind, ids in kinds.items():
+            if not ids:
+                continue
+            merged = stacked_sketches(per_group, ids).groupBy("col_id").agg(
+                F.expr(f"kll_merge_agg_{kind}(sketch, {k})").alias("sketch")
+            )
+            groups: dict[tuple[float, ...], list[int]] = {}
+            for i in ids:
+                groups.setdefault(tuple(map(float, ranks[i])), []).append(i)
+            cases = " ".join(
+                f"WHEN col_id IN ({', '.join(map(str, own))}) THEN kll_sketch_get_quantile_{kind}"
+                f"(sketch, array({', '.join(map(sql_double, wanted))}))"
+                for wanted, own in groups.items()
+            )
+            rows = merged.where(f"kll_sketch_get_n_{kind}(sketch) > 0").selectExpr(
+                "col_id", f"CASE {cases} END AS q"
+            )
+            found.update({row["col_id"]: list(row["q"]) for row in rows.collect()})
+        out += [found.get(i, []) for i in chunk]
     return out
 
 
@@ -70,36 +126,62 @@ def _sketch(
 class _Search:
     """One wanted quantile: ``rank``-th smallest of the values strictly between ``lo`` and ``hi``.
 
-    A bound of ``None`` is open-ended. ``inner`` counts the values inside, once known.
+    A bound of ``None`` is open-ended. ``inner`` counts the values inside, once known. Values and
+    bounds have the column's own type; integers are compared as long, floats as double.
     """
 
     column: str
+    dtype: T.DataType
     probability: float
-    lo: float | None = None
-    hi: float | None = None
+    lo: Number | None = None
+    hi: Number | None = None
     fraction: float = 0.0
     rank: int = 0
     inner: int | None = None
-    answer: float | None = None
+    answer: Number | None = None
     empty: bool = False
 
     @property
     def inside(self) -> str:
         """SQL of the value if it lies strictly inside the bracket, else null."""
-        value = f"CAST({sql_name(self.column)} AS DOUBLE)"
-        tests = [f"NOT isnan({value})"]
+        value = _ranked(self.column, self.dtype)
+        tests = [f"{value} IS NOT NULL"]
         if self.lo is not None:
-            tests.append(f"{value} > {sql_double(self.lo)}")
+            tests.append(f"{value} > {self.literal(self.lo)}")
         if self.hi is not None:
-            tests.append(f"{value} < {sql_double(self.hi)}")
+            tests.append(f"{value} < {self.literal(self.hi)}")
         return f"CASE WHEN {' AND '.join(tests)} THEN {value} END"
 
+    @property
+    def sketched(self) -> str:
+        """SQL of what a sketch gets: decimals as double, counted from the lower bound.
+
+        The closer the bracket, the finer such doubles are, so a search always gets on.
+        """
+        if not isinstance(self.dtype, T.DecimalType):
+            return self.inside
+        base = "0" if self.lo is None else self.literal(self.lo)
+        return f"CAST({self.inside} - {base} AS DOUBLE)"
+
+    def bound(self, proposed: float) -> Number:
+        """A proposed end of the bracket in the column's own type."""
+        if not isinstance(self.dtype, T.DecimalType):
+            return proposed
+        step = decimal.Decimal(1).scaleb(-self.dtype.scale)
+        most = decimal.Decimal(10) ** (self.dtype.precision - self.dtype.scale) - step
+        with decimal.localcontext(decimal.Context(prec=80)):
+            value = (decimal.Decimal(proposed) + (self.lo or 0)).quantize(step)
+            return max(-most, min(most, value))
+
+    def literal(self, value: Number) -> str:
+        return sql_number(value, self.dtype)
+
     @property
     def done(self) -> bool:
         return self.empty or self.answer is not None
 
 
-def _propose(df: DataFrame, searches: list[_Search]) -> list[tuple[float, float] | None]:
+def _propose(df: DataFrame, searches: list[_Search]) -> list[tuple[Number, Number] | None]:
     first = searches[0].inner is None
     if first:
         # All probabilities of a column share the column's sketch.
@@ -107,7 +189,7 @@ def _propose(df: DataFrame, searches: list[_Search]) -> list[tuple[float, float]
         groups = [[s for s in searches if s.column == n] for n in names]
     else:
         groups = [[s] for s in searches]
-    values = [g[0].inside for g in groups]
+    values = [g[0].sketched for g in groups]
     ranks = [
         [
             r
@@ -119,28 +201,28 @@ def _propose(df: DataFrame, searches: list[_Search]) -> list[tuple[float, float]
         ]
         for group in groups
     ]
-    found = _sketch(df, values, ranks, BRACKET_MARGIN)
+    found = _sketch(df, values, [is_whole(g[0].dtype) for g in groups], ranks, BRACKET_MARGIN)
     brackets = {}
     for group, quantiles in zip(groups, found):
         for i, s in enumerate(group):
             if quantiles:
-                brackets[id(s)] = (quantiles[2 * i], quantiles[2 * i + 1])
+                brackets[id(s)] = (s.bound(quantiles[2 * i]), s.bound(quantiles[2 * i + 1]))
             else:
                 s.empty = True
     return [brackets.get(id(s)) for s in searches]
 
 
-def _settle(df: DataFrame, searches: list[_Search], brackets: list[tuple[float, float]]) -> None:
+def _settle(df: DataFrame, searches: list[_Search], brackets: list[tuple[Number, Number]]) -> None:
     """Check proposed brackets by exact counts, then answer or narrow each search."""
     counts = []
     for i, (s, (lo, hi)) in enumerate(zip(searches, brackets)):
         v = s.inside
         counts += [
             f"count({v}) AS n{i}",
-            f"count_if({v} < {sql_double(lo)}) AS below{i}",
-            f"count_if({v} <= {sql_double(lo)}) AS to_lo{i}",
-            f"count_if({v} < {sql_double(hi)}) AS to_hi{i}",
-            f"count_if({v} <= {sql_double(hi)}) AS through{i}",
+            f"count_if({v} < {s.literal(lo)}) AS below{i}",
+            f"count_if({v} <= {s.literal(lo)}) AS to_lo{i}",
+            f"count_if({v} < {s.literal(hi)}) AS to_hi{i}",
+            f"count_if({v} <= {s.literal(hi)}) AS through{i}",
         ]
     row = df.agg(*[F.expr(c) for c in counts]).first()
     for i, (s, (lo, hi)) in enumerate(zip(searches, brackets)):
@@ -164,7 +246,7 @@ def _settle(df: DataFrame, searches: list[_Search], brackets: list[tuple[float,
 
 
 def _rank_inside(df: DataFrame, searches: list[_Search]) -> None:
-    """Finish searches whose brackets hold few enough rows for one task each."""
+    """Finish searches of one type whose brackets hold few enough rows for one task each."""
     cells = ", ".join(f"{i}, {s.inside}" for i, s in enumerate(searches))
     window = Window.partitionBy("search").orderBy("value")
     ranks = ", ".join(f"{s.rank}L" for s in searches)
@@ -183,12 +265,10 @@ def _rank_inside(df: DataFrame, searches: list[_Search]) -> None:
 
 
 def exact_quantiles(
-    df: DataFrame, columns: Sequence[str], probabilities: Sequence[float]
-) -> dict[str, list[float]]:
-    searches = [
-        _Search(c, p, fraction=p) for c in columns for p in probabilities
-    ]
-    needed = df.select(*[col(c) for c in columns])
+    df: DataFrame, fields: Sequence[T.StructField], probabilities: Sequence[float]
+) -> dict[str, list[Number]]:
+    searches = [_Search(f.name, f.dataType, p, fraction=p) for f in fields for p in probabilities]
+    needed = df.select(*[col(f.name) for f in fields])
     pending = searches
     while pending:
         brackets = _propose(needed, pending)
@@ -196,11 +276,16 @@ def exact_quantiles(
         for start in range(0, len(active), SEARCHES_PER_PASS):
             chunk = active[start : start + SEARCHES_PER_PASS]
             _settle(needed, [s for s, _ in chunk], [b for _, b in chunk])
-        small = [s for s in pending if not s.done and s.inner <= RANKABLE_ROWS]
-        for start in range(0, len(small), COLUMNS_PER_PASS):
-            _rank_inside(needed, small[start : start + COLUMNS_PER_PASS])
+        small: dict[str, list[_Search]] = {}
+        for s in pending:
+            if not s.done and s.inner <= RANKABLE_ROWS:
+                kind = "bigint" if is_whole(s.dtype) else s.dtype.simpleString().replace("float", "double")
+                small.setdefault(kind, []).append(s)
+        for own in small.values():
+            for start in range(0, len(own), COLUMNS_PER_PASS):
+                _rank_inside(needed, own[start : start + COLUMNS_PER_PASS])
         pending = [s for s in pending if not s.done]
-    out: dict[str, list[float]] = {}
+    out: dict[str, list[Number]] = {}
     for s in searches:
         out.setdefault(s.column, [])
         if s.answer is not None:
@@ -213,20 +298,29 @@ def quantiles(
     columns: Sequence[str],
     probabilities: Sequence[float],
     relative_error: float = 0.01,
-) -> dict[str, list[float]]:
-    """Quantiles per numeric column, always elements of the data; ``[]`` for all-null columns.
+) -> dict[str, list[Number]]:
+    """Quantiles per numeric column; ``[]`` for all-null columns.
 
     The ``p`` quantile is the smallest value whose share of rows at or below it is at least
-    ``p``. Nulls and NaN take no rank. ``relative_error=0`` is exact.
+    ``p``. Nulls and NaN take no rank. ``relative_error=0`` is exact, as is any error that is
+    too small for a sketch. Results are elements of the data in the column's own type (integers as
+    int, decimals as Decimal, floats as float); only sketched quantiles of decimals are the nearest
+    double of such an element.
     """
     columns = list(dict.fromkeys(columns))
     if not columns:
         return {}
     if relative_error < 0:
         raise ValueError("relative_error must not be negative")
-    if relative_error == 0:
-        return exact_quantiles(df, columns, probabilities)
-    found = _sketch(
-        df, [_ranked(c) for c in columns], [probabilities] * len(columns), relative_error
-    )
+    types = {f.name: f.dataType for f in df.schema.fields}
+    if relative_error == 0 or sketch_size(relative_error) is None:
+        return exact_quantiles(df, [T.StructField(c, types[c]) for c in columns], probabilities)
+    values = [
+        f"CAST({sql_name(c)} AS DOUBLE)"
+        if isinstance(types[c], T.DecimalType)
+        else _ranked(c, types[c])
+        for c in columns
+    ]
+    whole = [is_whole(types[c]) for c in columns]
+    found = _sketch(df, values, whole, [probabilities] * len(columns), relative_error)
     return dict(zip(columns, found))

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from siftwell.functions.columns import find_fields, sql_name, sql_text
+from siftwell.functions.columns import FieldLookup, sql_name, sql_text
 
 ISSUE = (
     "struct<kind:string,column_name:string,expected:string,actual:string,"
@@ -76,22 +76,23 @@ def validate(
     the schema alone; the null checks share one aggregate, or use ``null_counts`` if given.
     """
     contract = Contract.of(contract)
+    lookup = FieldLookup(df)
 
     # The message formats.
     before, rules, after = [], [], []
     for name, expected in contract.columns.items():
-        present, _ = find_fields(df, [name])
-        if not present:
+        field = lookup(name)
+        if field is None:
             message = f"MISSING column: '{name}' (expected type={expected})"
             before.append(_issue("missing", name, sql_text(message), expected))
-        elif not type_matches(expected, present[0].dataType):
-            actual = str(present[0].dataType)
+        elif not type_matches(expected, field.dataType):
+            actual = str(field.dataType)
             message = f"TYPE MISMATCH '{name}': expected={expected}, got={actual}"
             before.append(_issue("type_mismatch", name, sql_text(message), expected, actual))
     for name, allowed in contract.nullable.items():
-        present, _ = find_fields(df, [name])
-        if present and not allowed:
-            actual_name = present[0].name
+        field = lookup(name)
+        if field is not None and not allowed:
+            actual_name = field.name
             if null_counts is None:
                 nulls = f"count(*) - count({sql_name(actual_name)})"
             else:
@@ -100,7 +101,7 @@ def validate(
             message = f"concat({head}, format_number({nulls}, 0), ' null values found')"
             rules.append(_issue("null_violation", name, message, nulls=nulls))
     if contract.columns:
-        known = {f.name for f in find_fields(df, contract.columns)[0]}
+        known = {field.name for field in map(lookup, contract.columns) if field is not None}
         for name in df.columns:
             if name not in known:
                 message = f"UNEXPECTED column: '{name}' (not in expected schema)"

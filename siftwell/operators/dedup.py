@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from siftwell.functions.columns import col, find_fields, is_orderable
 
@@ -32,7 +33,7 @@ def drop_duplicate_rows(
     rows share sends at most one row per task.
     """
     if not keys:
-        return df.dropDuplicates()
+        return _distinct_rows(df)
     names = _key_names(df, keys)
     order = [col(c) if isinstance(c, str) else c for c in order_by or ()]
     order += [
@@ -47,9 +48,32 @@ def drop_duplicate_rows(
     return df.withColumn(taken, F.row_number().over(window)).where(col(taken) == 1).drop(taken)
 
 
+def _comparable(name: str, dtype: T.DataType) -> Column:
+    """A column that Spark can group by: maps become their entries, ordered by key."""
+    if isinstance(dtype, T.MapType) and is_orderable(dtype.keyType) and is_orderable(dtype.valueType):
+        return F.array_sort(F.map_entries(col(name)))
+    return col(name)
+
+
+def _distinct_rows(df: DataFrame) -> DataFrame:
+    """One of each set of identical rows; maps are equal if their entries are, in any order."""
+    if all(is_orderable(f.dataType) for f in df.schema.fields):
+        return df.dropDuplicates()
+    plain = df.select(*[_comparable(f.name, f.dataType).alias(f.name) for f in df.schema.fields])
+    return plain.dropDuplicates().select(
+        *[
+            (F.map_from_entries(col(f.name)) if isinstance(f.dataType, T.MapType) else col(f.name))
+            .alias(f.name)
+            for f in df.schema.fields
+        ]
+    )
+
+
 def rows_and_keys(df: DataFrame, keys: Sequence[str] | None = None) -> DataFrame:
     """One row: ``row_count`` and ``distinct_count`` of the keys (nulls count as one key)."""
-    per_key = df.groupBy(*[col(n) for n in _key_names(df, keys)]).agg(F.count("*").alias("__n"))
+    types = {f.name: f.dataType for f in df.schema.fields}
+    names = [_comparable(n, types[n]).alias(n) for n in _key_names(df, keys)]
+    per_key = df.groupBy(*names).agg(F.count("*").alias("__n"))
     return per_key.agg(
         F.coalesce(F.sum("__n"), F.lit(0)).alias("row_count"),
         F.count("*").alias("distinct_count"),

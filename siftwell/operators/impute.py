@@ -20,7 +20,12 @@ from siftwell.functions.columns import (
     literal_rows,
     sql_name,
 )
-from siftwell.functions.frequency import decode_row, top_values, value_frequencies
+from siftwell.functions.frequency import (
+    decode_row,
+    top_values,
+    value_frequencies,
+    with_full_texts,
+)
 from siftwell.functions.quantiles import quantiles
 from siftwell.operators.nulls import null_audit
 
@@ -169,21 +174,27 @@ class Imputer:
     def _constants(self, df: DataFrame, fields: list[T.StructField]):
         """Typed literals, and the reason for each constant that does not fit its column."""
         values = by_field(df, dict(self.fill_values or {}))
-        literals, bad = {}, {}
-        spark = df.sparkSession
+        literals, bad, tests = {}, {}, []
+        one = df.sparkSession.range(1)
         for f in fields:
             value = values.get(f.name)
             if value is None:
                 bad[f.name] = "skipped: no constant given"
                 continue
+            bad[f.name] = f"skipped: constant does not fit {f.dataType.simpleString()}"
             try:
-                fits = F.lit(value).try_cast(f.dataType).isNotNull()
-                if spark.range(1).select(fits).first()[0]:
-                    literals[f.name] = F.lit(value).cast(f.dataType)
-                    continue
+                # Checked by the analyser only; all casts are evaluated together below.
+                test = F.lit(value).try_cast(f.dataType).isNotNull().alias(f"c{len(tests)}")
+                one.select(test)
             except AnalysisException:
-                pass
-            bad[f.name] = f"skipped: constant does not fit {f.dataType.simpleString()}"
+                continue
+            tests.append((f, test))
+        if tests:
+            fits = one.select(*[test for _, test in tests]).first()
+            for (f, _), fit in zip(tests, fits):
+                if fit:
+                    del bad[f.name]
+                    literals[f.name] = F.lit(values[f.name]).cast(f.dataType)
         return literals, bad
 
 
@@ -200,7 +211,7 @@ def find_modes(df: DataFrame, fields: list[T.StructField]) -> dict[str, Column |
     """Most frequent value per column as a typed literal, lowest on ties, None if all null."""
     if not fields:
         return {}
-    top = top_values(value_frequencies(df, fields), 1).collect()
+    top = with_full_texts(top_values(value_frequencies(df, fields), 1), df, fields).collect()
     modes: dict[str, Column | None] = {f.name: None for f in fields}
     for row in top:
         f = fields[row["col_id"]]

@@ -170,12 +170,17 @@ class OutlierDetector:
     def _quartile_fences(self, df: DataFrame, names: list[str]) -> dict[str, Fence]:
         fences = {}
         for name, found in quantiles(df, names, [0.25, 0.75], self.relative_error).items():
-            if found:
-                q1, q3 = found
-                reach = self.iqr_multiplier * (q3 - q1)
-                fences[name] = Fence(name, q1 - reach, q3 + reach)
-            else:
+            if not found:
                 fences[name] = Fence(name, None, None, "skipped: no values")
+                continue
+            q1, q3 = map(float, found)
+            reach = self.iqr_multiplier * (q3 - q1)
+            lower, upper = q1 - reach, q3 + reach
+            if math.isnan(lower) or math.isnan(upper):
+                # Both quartiles are the same infinity, so no distance is defined.
+                fences[name] = Fence(name, None, None, "skipped: infinite quartiles")
+            else:
+                fences[name] = Fence(name, lower, upper)
         return fences
 
     def _zscore_fences(self, df: DataFrame, names: list[str]) -> dict[str, Fence]:

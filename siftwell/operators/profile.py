@@ -22,6 +22,7 @@ from siftwell.functions.frequency import (
     top_values,
     value_frequencies,
     value_text,
+    with_full_texts,
 )
 from siftwell.operators.contract import Contract, validate
 from siftwell.operators.nulls import percent
@@ -162,7 +163,8 @@ def profile(
         freq = value_frequencies(df, counted)
         if distinct == "exact":
             counts = distinct_counts(freq)
-        top = top_value_rows(top_values(freq, TOP_VALUES, only=ranked), counted)
+        chosen = top_values(freq, TOP_VALUES, only=ranked)
+        top = top_value_rows(with_full_texts(chosen, df, counted), counted)
     else:
         top = df.sparkSession.createDataFrame(
             [], "column_name string, rank int, value string, count bigint"

@@ -21,7 +21,8 @@ class RunConfig:
     ``pre_profile_output`` / ``post_profile_output``: folders for the profile reports.
     ``validate_after``: check the contract on the cleaned table too, so that the scores before
     and after can be compared. ``materialize``: store the cleaned table in the shared folder
-    instead of deduplicating again in every later pass.
+    instead of deduplicating again in every later pass. ``distinct``: ``exact``, or ``approx`` for
+    estimated distinct counts with a standard error of ``approx_rsd``.
     """
 
     expected_schema: Any = None
@@ -45,6 +46,12 @@ class RunConfig:
     uniqueness: str = "nonempty"
     validate_after: bool = False
     materialize: bool = True
+    distinct: str = "exact"
+    approx_rsd: float = 0.05
+
+    def __post_init__(self):
+        if self.distinct not in ("exact", "approx"):
+            raise ValueError(f"distinct must be 'exact' or 'approx', not {self.distinct!r}")
 
     @staticmethod
     def from_dict(settings: Mapping[str, Any]) -> RunConfig:

@@ -27,11 +27,13 @@ from pyspark.sql import types as T
 from siftwell.functions.columns import is_float, is_numeric, pin
 from siftwell.functions.frequency import (
     KEYS,
+    approx_distinct_counts,
     decode_row,
     distinct_counts,
     top_values,
     value_frequencies,
     value_text,
+    with_full_texts,
 )
 from siftwell.operators.cleaning import CleaningModel
 from siftwell.operators.contract import Contract, validate
@@ -84,6 +86,7 @@ class QualityRunModel:
         rows = {name: _plain(report) for name, report in self.reports.items()}
         cleaning = rows["cleaning_summary"][0]
         fences = rows["outlier_summary"]
+        # The keys of the report.
         return {
             "pre_clean_profile": _profile_dict(rows, "pre"),
             "missing_duplicates": {
@@ -117,6 +120,12 @@ class QualityRunModel:
         if self.work_table:
             discard(self.cleaned.sparkSession, self.work_table)
 
+    def __enter__(self) -> QualityRunModel:
+        return self
+
+    def __exit__(self, *_: object) -> None:
+        self.release()
+
 
 @dataclass(frozen=True)
 class QualityRun:
@@ -146,22 +155,26 @@ class QualityRun:
         cleaned, work_table = cleaning.transform(df), None
         if config.materialize:
             cleaned, work_table = materialize(cleaned, "cleaned")
-        outliers = detector.fit(cleaned)
-        result = outliers.transform(cleaned)
-
-        after = self._profile_after(result)
-        reports = self._reports(df, stats, cleaning, outliers, cleaned, before, after)
-        model = QualityRunModel(
+        try:
+            outliers = detector.fit(cleaned)
+            result = outliers.transform(cleaned)
+            after = self._profile_after(result)
+            reports = self._reports(df, stats, cleaning, outliers, cleaned, before, after)
+            for phase, folder in (
+                ("pre", config.pre_profile_output),
+                ("post", config.post_profile_output),
+            ):
+                if folder:
+                    own = {n: r for n, r in reports.items() if n.startswith(phase + "_")}
+                    write_reports(own, folder)
+        except BaseException:
+            if work_table:
+                discard(df.sparkSession, work_table)
+            raise
+        return QualityRunModel(
             config, cleaning, outliers, before, after, cleaned, result, reports, work_table,
             time.monotonic() - started,
         )
-        for phase, folder in (
-            ("pre", config.pre_profile_output),
-            ("post", config.post_profile_output),
-        ):
-            if folder:
-                write_reports({n: r for n, r in reports.items() if n.startswith(phase + "_")}, folder)
-        return model
 
     def fit_transform(self, df: DataFrame) -> DataFrame:
         return self.fit(df).result
@@ -200,13 +213,20 @@ class QualityRun:
         fields = df.schema.fields
         other = [i for i, f in enumerate(fields) if not is_numeric(f.dataType)]
         wanted = sorted(set(other) | self._numeric_modes(df))
-        freq = value_frequencies(df, fields)
+        # With estimated distinct counts, only columns whose values are ranked are shuffled.
+        approx = self.config.distinct == "approx"
+        counted = wanted if approx else range(len(fields))
+        freq = value_frequencies(df, fields, counted)
         ranked = top_values(
             freq.withColumn("missing", self._is_missing(fields)), TOP_VALUES, wanted, ["missing"]
         )
+        ranked = with_full_texts(ranked, df, fields)
+        counts = (
+            approx_distinct_counts(df, fields, self.config.approx_rsd) if approx else distinct_counts(freq)
+        )
         found = pin(
             ranked.select(*KEYS, "freq", "missing", "rank", F.lit(None).cast("bigint").alias("distinct_count"))
-            .unionByName(distinct_counts(freq).select("col_id", "distinct_count"), allowMissingColumns=True)
+            .unionByName(counts.select("col_id", "distinct_count"), allowMissingColumns=True)
         )
         distinct = found.where(F.col("distinct_count").isNotNull())
         values = found.where(F.col("distinct_count").isNull())
@@ -224,7 +244,10 @@ class QualityRun:
         return pinned_profile(columns, issues, self.config.uniqueness), modes
 
     def _profile_after(self, result: DataFrame) -> ProfileResult:
-        columns = pin(profile(result).columns)
+        found = profile(
+            result, distinct=self.config.distinct, approx_rsd=self.config.approx_rsd
+        )
+        columns = pin(found.columns)
         contract = Contract.of(self.config.expected_schema if self.config.validate_after else None)
         nulls = {r["column_name"]: r["null_count"] for r in columns.collect()}
         return pinned_profile(columns, validate(result, contract, nulls), self.config.uniqueness)

@@ -41,7 +41,11 @@ def work_path(spark: SparkSession, label: str) -> str:
 def materialize(df: DataFrame, label: str) -> tuple[DataFrame, str]:
     """Write a table to the shared folder; returns the stored table and its path."""
     path = work_path(df.sparkSession, label)
-    df.write.parquet(path)
+    try:
+        df.write.parquet(path)
+    except BaseException:
+        discard(df.sparkSession, path)
+        raise
     return df.sparkSession.read.schema(df.schema).parquet(path), path
 
 

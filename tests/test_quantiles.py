@@ -59,11 +59,11 @@ def test_exact_even_when_a_bracket_misses(spark, monkeypatch):
     """Sketch errors change the number of rounds, never the answer."""
     original, calls = q._sketch, []
 
-    def skewed(df, values, ranks, error):
+    def skewed(df, values, whole, ranks, error):
         calls.append(1)
         shift = 0.2 if len(calls) <= 2 else 0.0
         wrong = [[min(1.0, r + shift) for r in rs] for rs in ranks]
-        return original(df, values, wrong, error)
+        return original(df, values, whole, wrong, error)
 
     monkeypatch.setattr(q, "_sketch", skewed)
     monkeypatch.setattr(q, "RANKABLE_ROWS", 200)
