@@ -13,6 +13,7 @@ from siftwell.catalog.inputs import (
     mode_sql,
     per_column_sql,
     table,
+    wide_numbers,
 )
 from siftwell.catalog.registry import query
 from siftwell.operators.cleaning import TableCleaner
@@ -187,36 +188,61 @@ def impute_typed(spark, folder):
     return imputer.fit_transform(normalize_nulls(dirty_events(spark, folder)))
 
 
-def _fit_report(imputer, spark, folder, columns):
-    normal = _normal(spark, folder)
-    plan = imputer.fit(normal).plan(spark)
-    return plan.where(F.col("column_name").isin(columns))
+def _plan_sql(column, strategy, fill):
+    return (
+        f"SELECT '{column}' AS column_name, '{strategy}' AS strategy, "
+        f"CAST({fill} AS VARCHAR) AS fill_value, count(*) - count({column}) AS null_count, "
+        "'filled' AS status FROM normal"
+    )
+
+
+WITH_NULLS = ["o_orderstatus", "o_totalprice", "o_orderpriority", "o_note"]
 
 
 @query(
     "impute_median_fit",
-    f"""WITH {NORMAL_ORDERS}
-    SELECT 'o_totalprice' AS column_name, 'median' AS strategy,
-      quantile_disc(o_totalprice, 0.5) AS fill_value, count(*) - count(o_totalprice) AS null_count
-    FROM normal""",
+    f"WITH {NORMAL_ORDERS} "
+    + " UNION ALL ".join(
+        _plan_sql(c, "median", "(SELECT quantile_disc(o_totalprice, 0.5) FROM normal)")
+        if c == "o_totalprice"
+        else _plan_sql(c, "mode", mode_sql(c, "normal"))
+        for c in WITH_NULLS
+    ),
 )
 def impute_median_fit(spark, folder):
-    report = _fit_report(Imputer(relative_error=0.0), spark, folder, ["o_totalprice"])
-    return report.withColumn("fill_value", F.col("fill_value").cast("double")).drop("status")
+    """The whole plan: medians of numbers, modes of the rest."""
+    return Imputer(relative_error=0.0).fit(_normal(spark, folder)).plan(spark)
 
 
 @query(
     "impute_mode_fit",
     f"WITH {NORMAL_ORDERS} "
-    + " UNION ALL ".join(
-        f"SELECT '{c}' AS column_name, 'mode' AS strategy, {mode_sql(c, 'normal')} AS fill_value, "
-        f"count(*) - count({c}) AS null_count, 'filled' AS status FROM normal"
-        for c in ["o_orderstatus", "o_orderpriority", "o_note"]
-    ),
+    + " UNION ALL ".join(_plan_sql(c, "mode", mode_sql(c, "normal")) for c in WITH_NULLS),
 )
 def impute_mode_fit(spark, folder):
-    columns = ["o_orderstatus", "o_orderpriority", "o_note"]
-    return _fit_report(Imputer(), spark, folder, columns)
+    return Imputer(dict.fromkeys(WITH_NULLS, "mode")).fit(_normal(spark, folder)).plan(spark)
+
+
+@query(
+    "impute_wide_numbers",
+    """WITH wide AS (
+      SELECT o_orderkey, CASE WHEN o_orderkey % 7 <> 0 THEN o_orderkey + 1152921504606846976 END AS big,
+        CASE WHEN o_orderkey % 5 <> 0 THEN CAST(o_orderkey AS DECIMAL(38, 2))
+          + CAST('12345678901234567890.12' AS DECIMAL(38, 2)) END AS amount FROM orders)
+    SELECT o_orderkey,
+      CAST(coalesce(big, (SELECT quantile_disc(big, 0.5) FROM wide)) AS VARCHAR) AS big,
+      CAST(coalesce(amount, (SELECT quantile_disc(amount, 0.5) FROM wide)) AS VARCHAR) AS amount
+    FROM wide""",
+)
+def impute_wide_numbers(spark, folder):
+    """Exact medians keep all digits of integers and decimals."""
+    wide = wide_numbers(spark, folder).select(
+        "o_orderkey",
+        F.when(F.col("o_orderkey") % 7 != 0, F.col("big")).alias("big"),
+        F.when(F.col("o_orderkey") % 5 != 0, F.col("amount")).alias("amount"),
+    )
+    filled = Imputer(relative_error=0.0).fit_transform(wide)
+    return filled.select("o_orderkey", F.col("big").cast("string"), F.col("amount").cast("string"))
 
 
 @query("dedup_full_row", f"WITH {DIRTY_ORDERS} SELECT DISTINCT * FROM dirty")

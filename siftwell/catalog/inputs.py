@@ -90,6 +90,17 @@ clean AS (SELECT DISTINCT * FROM filled)"""
 )
 
 
+def wide_numbers(spark: SparkSession, folder: str) -> DataFrame:
+    """Keys shifted beyond the precision of doubles, as long and as decimal."""
+    key = F.col("o_orderkey")
+    shift = F.lit("12345678901234567890.12").cast("decimal(38,2)")
+    return table(spark, folder, "orders").select(
+        "o_orderkey",
+        (key + F.lit(1 << 60)).alias("big"),
+        (key.cast("decimal(38,2)") + shift).cast("decimal(38,2)").alias("amount"),
+    )
+
+
 def dirty_events(spark: SparkSession, folder: str) -> DataFrame:
     """Events with nulls in a long, a boolean, a date and a text column, and a clock text."""
     key = F.col("event_id")

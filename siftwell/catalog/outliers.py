@@ -211,3 +211,17 @@ def outlier_zscore_remove(spark, folder):
 def outlier_rows_removed(spark, folder):
     dirty = dirty_orders(spark, folder)
     return _zscore("remove").fit(dirty).removal_counts(dirty)
+
+
+@query(
+    "outlier_small_error",
+    """SELECT 'l_extendedprice' AS column_name,
+      q1 - 1.5 * (q3 - q1) AS lower_bound, q3 + 1.5 * (q3 - q1) AS upper_bound
+    FROM (SELECT quantile_disc(l_extendedprice, 0.25) AS q1,
+      quantile_disc(l_extendedprice, 0.75) AS q3 FROM lineitem)""",
+)
+def outlier_small_error(spark, folder):
+    """An error that no sketch reaches is answered exactly."""
+    lines = table(spark, folder, "lineitem")
+    model = OutlierDetector(["l_extendedprice"], relative_error=1e-6).fit(lines)
+    return model.bounds(spark).select("column_name", "lower_bound", "upper_bound")

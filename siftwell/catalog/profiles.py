@@ -9,6 +9,7 @@ from siftwell.catalog.inputs import (
     dirty_orders,
     per_column_sql,
     table,
+    wide_numbers,
 )
 from siftwell.catalog.registry import query
 from siftwell.functions.columns import pin
@@ -174,7 +175,7 @@ def profile_numeric(spark, folder):
     return numeric.select("column_name", "min", "max", "mean", "stddev")
 
 
-def _top_sql(column, source):
+def top_sql(column, source):
     return (
         f"SELECT * FROM (SELECT '{column}' AS column_name, "
         f"row_number() OVER (ORDER BY count(*) DESC, {column} ASC) AS rank, "
@@ -185,7 +186,7 @@ def _top_sql(column, source):
 
 @query(
     "profile_top_values",
-    f"WITH {DIRTY_ORDERS} " + " UNION ALL ".join(_top_sql(c, "dirty") for c in OTHER),
+    f"WITH {DIRTY_ORDERS} " + " UNION ALL ".join(top_sql(c, "dirty") for c in OTHER),
 )
 def profile_top_values(spark, folder):
     return profile(dirty_orders(spark, folder)).top_values
@@ -195,7 +196,7 @@ def profile_top_values(spark, folder):
     "profile_top_values_typed",
     f"WITH {DIRTY_EVENTS} "
     + " UNION ALL ".join(
-        _top_sql(c, "dirty") for c in ["event_type", "is_high", "event_date", "clock"]
+        top_sql(c, "dirty") for c in ["event_type", "is_high", "event_date", "clock"]
     ),
 )
 def profile_top_values_typed(spark, folder):
@@ -219,9 +220,17 @@ def profile_documents(spark, folder):
 def _numbers(column):
     if column not in NUMERIC:
         nothing = "CAST(NULL AS DOUBLE)"
-        return f"{nothing} AS min, {nothing} AS max, {nothing} AS mean, {nothing} AS stddev"
+        text = "CAST(NULL AS VARCHAR)"
+        return (
+            f"{nothing} AS min, {nothing} AS max, {text} AS min_text, {text} AS max_text, "
+            f"{nothing} AS mean, {nothing} AS stddev"
+        )
+    text = lambda f: f"CAST({f}({column}) AS VARCHAR)"
+    if TYPES[column] == "DoubleType()":
+        text = lambda f: "CAST(NULL AS VARCHAR)"
     return (
         f"CAST(min({column}) AS DOUBLE) AS min, CAST(max({column}) AS DOUBLE) AS max, "
+        f"{text('min')} AS min_text, {text('max')} AS max_text, "
         f"round(avg({column}), 4) AS mean, round(stddev_samp({column}), 4) AS stddev"
     )
 
@@ -241,6 +250,77 @@ def column_profile(spark, folder):
     return profile(dirty_orders(spark, folder)).columns.drop("top_values")
 
 
+@query(
+    "column_profile_top_values",
+    f"WITH {DIRTY_ORDERS} " + " UNION ALL ".join(top_sql(c, "dirty") for c in OTHER),
+)
+def column_profile_top_values(spark, folder):
+    """The nested top values of the column profile, as rows."""
+    columns = profile(dirty_orders(spark, folder)).columns
+    rows = columns.select("column_name", F.posexplode("top_values").alias("pos", "top"))
+    return rows.select("column_name", (F.col("pos") + 1).alias("rank"), "top.value", "top.count")
+
+
+TEXT_KEY = "CASE WHEN strlen({c}) > 120 THEN left({c}, 64) || sha256({c}) ELSE {c} END"
+
+
+@query(
+    "profile_documents_top_values",
+    per_column_sql(
+        ["text", "lang", "source"],
+        "SELECT * FROM (SELECT '{c}' AS column_name, row_number() OVER (ORDER BY count(*) DESC, "
+        f"{TEXT_KEY}) AS rank, {{c}} AS value, count(*) AS count FROM documents "
+        "WHERE {c} IS NOT NULL GROUP BY {c}) WHERE rank <= 3",
+    ),
+)
+def profile_documents_top_values(spark, folder):
+    """Whole texts among the top values; ties of long ones go by their start, then digest."""
+    return profile(table(spark, folder, "documents")).top_values
+
+
+@query(
+    "profile_nested",
+    """WITH nested AS (
+      SELECT [ts, ts + to_microseconds(event_id % 3)] AS times,
+        {'at': ts + to_microseconds(event_id % 2), 'kind': event_type} AS what,
+        [CASE WHEN event_id % 2 = 0 THEN 0.0::DOUBLE ELSE value END] AS numbers
+      FROM events)
+    SELECT 'embedding' AS column_name, count(DISTINCT embedding) AS distinct_count FROM embeddings
+    UNION ALL SELECT 'times', count(DISTINCT times) FROM nested
+    UNION ALL SELECT 'what', count(DISTINCT what) FROM nested
+    UNION ALL SELECT 'numbers', count(DISTINCT numbers) FROM nested""",
+)
+def profile_nested(spark, folder):
+    """Arrays and structs, with times a microsecond apart and zeros of either sign."""
+    zero = F.when(F.col("event_id") % 4 == 0, F.lit(-0.0)).otherwise(F.lit(0.0))
+    nested = table(spark, folder, "events").select(
+        F.expr("array(ts, timestampadd(MICROSECOND, event_id % 3, ts))").alias("times"),
+        F.struct(
+            F.expr("timestampadd(MICROSECOND, event_id % 2, ts)").alias("at"),
+            F.col("event_type").alias("kind"),
+        ).alias("what"),
+        F.array(F.when(F.col("event_id") % 2 == 0, zero).otherwise(F.col("value"))).alias("numbers"),
+    )
+    vectors = table(spark, folder, "embeddings").select("embedding")
+    found = [profile(frame).columns for frame in (vectors, nested)]
+    return found[0].unionByName(found[1]).select("column_name", "distinct_count")
+
+
+@query(
+    "profile_wide_numbers",
+    """WITH wide AS (
+      SELECT o_orderkey + 1152921504606846976 AS big, CAST(o_orderkey AS DECIMAL(38, 2))
+        + CAST('12345678901234567890.12' AS DECIMAL(38, 2)) AS amount FROM orders)
+    SELECT 'big' AS column_name, CAST(min(big) AS VARCHAR) AS min_text,
+      CAST(max(big) AS VARCHAR) AS max_text FROM wide
+    UNION ALL SELECT 'amount', CAST(min(amount) AS VARCHAR), CAST(max(amount) AS VARCHAR) FROM wide""",
+)
+def profile_wide_numbers(spark, folder):
+    """Range of integers and decimals beyond the precision of doubles."""
+    columns = profile(wide_numbers(spark, folder).drop("o_orderkey")).columns
+    return columns.select("column_name", "min_text", "max_text")
+
+
 def _score_sql(unique):
     return f"""WITH {DIRTY_ORDERS}, profile AS ({PROFILE}), issues AS ({ISSUES}),
     parts AS (
@@ -281,11 +361,12 @@ def group_count_desc(spark, folder):
 
 @query(
     "top_k_categories",
-    f"""WITH {DIRTY_ORDERS} SELECT o_note, count(*) AS count FROM dirty WHERE o_note IS NOT NULL
-    GROUP BY o_note ORDER BY count DESC, o_note LIMIT 10""",
+    f"""WITH {DIRTY_ORDERS} SELECT o_orderpriority, count(*) AS count FROM dirty
+    WHERE o_orderpriority IS NOT NULL
+    GROUP BY o_orderpriority ORDER BY count DESC, o_orderpriority LIMIT 10""",
 )
 def top_k_categories(spark, folder):
-    return top_k(dirty_orders(spark, folder), "o_note", 10)
+    return top_k(dirty_orders(spark, folder), "o_orderpriority", 10)
 
 
 @query(

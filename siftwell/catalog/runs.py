@@ -1,12 +1,19 @@
 """Queries over the full run: profile, clean, treat outliers, profile again."""
 
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from siftwell.catalog.inputs import FILLED_ORDERS, dirty_orders
-from siftwell.catalog.profiles import CONTRACT, ISSUES, PROFILE, TYPES
+from siftwell.catalog.inputs import DIRTY_EVENTS, FILLED_ORDERS, dirty_events, dirty_orders
+from siftwell.catalog.profiles import CONTRACT, ISSUES, OTHER, PROFILE, TYPES, top_sql
 from siftwell.catalog.registry import query
+from siftwell.functions.columns import pin
+from siftwell.operators.analytics import domain_reports
 from siftwell.plans.config import RunConfig
 from siftwell.plans.quality_run import QualityRun
+from siftwell.sources import work_path, write_reports
+from siftwell.sources.workspace import discard
 
 FENCE = """fence AS (
       SELECT q1 - 1.5 * (q3 - q1) AS lower_bound, q3 + 1.5 * (q3 - q1) AS upper_bound
@@ -18,13 +25,14 @@ IS_OUTLIER = (
 )
 
 
-def _fit(spark, folder, action="flag"):
+def _fit(spark, folder, action="flag", **more):
     config = RunConfig(
         expected_schema=CONTRACT,
         dedup_subset_cols=["o_orderkey"],
         outlier_cols=["o_totalprice"],
         outlier_action=action,
         relative_error=0.0,
+        **more,
     )
     return QualityRun(config).fit(dirty_orders(spark, folder))
 
@@ -37,6 +45,15 @@ def full_run_clean(spark, folder):
     return _fit(spark, folder).result
 
 
+@query(
+    "full_run_approx",
+    f"WITH {FILLED_ORDERS}, {FENCE} SELECT *, {IS_OUTLIER} AS o_totalprice_is_outlier FROM clean",
+)
+def full_run_approx(spark, folder):
+    """The same table with estimated distinct counts in the profiles."""
+    return _fit(spark, folder, distinct="approx").result
+
+
 @query(
     "full_run_summary",
     f"""WITH {FILLED_ORDERS}, {FENCE}, profile AS ({PROFILE}), issues AS ({ISSUES})
@@ -52,7 +69,8 @@ def full_run_clean(spark, folder):
     FROM clean""",
 )
 def full_run_summary(spark, folder):
-    summary = _fit(spark, folder, "remove").reports["run_summary"]
+    with _fit(spark, folder, "remove") as model:
+        summary = pin(model.reports["run_summary"])
     return summary.withColumn("dropped_columns", F.array_join("dropped_columns", ","))
 
 
@@ -79,7 +97,8 @@ def _sides(column):
 )
 def full_run_report(spark, folder):
     """Profiles before and after, side by side."""
-    reports = _fit(spark, folder).reports
+    with _fit(spark, folder) as model:
+        reports = {name: pin(report) for name, report in model.reports.items()}
     facts = ["null_count", "distinct_count", "completeness_pct"]
     side = lambda frame, when: frame.select(
         "column_name", *[F.col(f).alias(f"{f}_{when}") for f in facts]
@@ -87,3 +106,104 @@ def full_run_report(spark, folder):
     return side(reports["pre_column_profile"], "before").join(
         F.broadcast(side(reports["post_column_profile"], "after")), "column_name", "left"
     )
+
+
+def _facts_sql(source, columns):
+    return " UNION ALL ".join(
+        f"SELECT '{c}' AS column_name, count(*) - count({c}) AS null_count, "
+        f"count(DISTINCT {c}) AS distinct_count FROM {source}"
+        for c in columns
+    )
+
+
+CAPPED = """capped AS (
+      SELECT * REPLACE (least(greatest(o_totalprice, (SELECT lower_bound FROM fence)),
+        (SELECT upper_bound FROM fence)) AS o_totalprice) FROM clean)"""
+
+
+@query(
+    "full_report_roundtrip",
+    f"WITH {FILLED_ORDERS}, {FENCE}, {CAPPED} "
+    + " UNION ALL ".join(
+        "SELECT '" + phase + "' AS phase, column_name, null_count, distinct_count, rank, value, count "
+        f"FROM ({_facts_sql(source, columns)}) LEFT JOIN ("
+        + " UNION ALL ".join(top_sql(c, source) for c in columns if c in OTHER)
+        + ") USING (column_name)"
+        for phase, source, columns in (
+            ("pre", "dirty", list(TYPES)),
+            ("post", "capped", [c for c in TYPES if c != "o_note"]),
+        )
+    ),
+)
+def full_report_roundtrip(spark, folder):
+    """All reports of a run written as JSON; both profiles read back, nested top values as rows."""
+    path = work_path(spark, "run-reports")
+    with _fit(spark, folder, "cap") as model:
+        model.write_reports(path)
+        schemas = {n: r.schema for n, r in model.reports.items()}
+    both = [
+        spark.read.schema(schemas[f"{phase}_column_profile"])
+        .json(f"{path}/{phase}_column_profile")
+        .withColumn("phase", F.lit(phase))
+        for phase in ("pre", "post")
+    ]
+    found = pin(
+        both[0].unionByName(both[1]).select(
+            "phase",
+            "column_name",
+            "null_count",
+            "distinct_count",
+            F.posexplode_outer("top_values").alias("pos", "top"),
+        )
+    )
+    discard(spark, path)
+    return found.select(
+        "phase",
+        "column_name",
+        "null_count",
+        "distinct_count",
+        (F.col("pos") + 1).alias("rank"),
+        "top.value",
+        "top.count",
+    )
+
+
+@query(
+    "domain_reports_roundtrip",
+    f"""WITH {DIRTY_EVENTS}
+    SELECT 'counts_by_event_type' AS report, event_type AS key, count(*) AS count,
+      CAST(NULL AS DOUBLE) AS average FROM dirty GROUP BY event_type
+    UNION ALL (SELECT 'top_event_type', event_type, count(*), NULL FROM dirty
+      WHERE event_type IS NOT NULL GROUP BY event_type ORDER BY count(*) DESC, event_type LIMIT 10)
+    UNION ALL SELECT 'totals', NULL, CAST(sum(user_id) AS BIGINT), round(avg(value), 4) FROM dirty
+    UNION ALL SELECT 'hours_of_clock',
+      CAST(TRY_CAST(split_part(clock, ':', 1) AS INTEGER) AS VARCHAR), count(*), NULL
+      FROM dirty GROUP BY 2""",
+)
+def domain_reports_roundtrip(spark, folder):
+    """The set of summary reports written as JSON and read back."""
+    reports = domain_reports(
+        dirty_events(spark, folder), "event_type", ["event_type"], ["user_id"], ["value"], "clock"
+    )
+    path = work_path(spark, "domain-reports")
+    write_reports(reports, path)
+    columns = {
+        "counts_by_event_type": ("event_type", "count", None),
+        "top_event_type": ("event_type", "count", None),
+        "totals": (None, "total_user_id", "avg_value"),
+        "hours_of_clock": ("hour", "count", None),
+    }
+    parts = []
+    for name, (key, count, average) in columns.items():
+        frame = spark.read.schema(reports[name].schema).json(f"{path}/{name}")
+        parts.append(
+            frame.select(
+                F.lit(name).alias("report"),
+                (F.col(key) if key else F.lit(None)).cast("string").alias("key"),
+                F.col(count).cast("long").alias("count"),
+                (F.col(average) if average else F.lit(None)).cast("double").alias("average"),
+            )
+        )
+    found = pin(reduce(DataFrame.unionByName, parts))
+    discard(spark, path)
+    return found

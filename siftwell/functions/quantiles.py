@@ -140,6 +140,14 @@ class _Search:
     inner: int | None = None
     answer: Number | None = None
     empty: bool = False
+    from_above: bool = False
+
+    @property
+    def base(self) -> Number | None:
+        """The bound from which the sketch of decimals counts."""
+        if self.lo is None or (self.from_above and self.hi is not None):
+            return self.hi
+        return self.lo
 
     @property
     def inside(self) -> str:
@@ -154,13 +162,14 @@ class _Search:
 
     @property
     def sketched(self) -> str:
-        """SQL of what a sketch gets: decimals as double, counted from the lower bound.
+        """SQL of what a sketch gets: decimals as double, counted from a bound.
 
-        The closer the bracket, the finer such doubles are, so a search always gets on.
+        The closer a value is to that bound, the finer its double is; a search that does not get
+        on is counted from the other bound.
         """
         if not isinstance(self.dtype, T.DecimalType):
             return self.inside
-        base = "0" if self.lo is None else self.literal(self.lo)
+        base = "0" if self.base is None else self.literal(self.base)
         return f"CAST({self.inside} - {base} AS DOUBLE)"
 
     def bound(self, proposed: float) -> Number:
@@ -170,7 +179,7 @@ class _Search:
         step = decimal.Decimal(1).scaleb(-self.dtype.scale)
         most = decimal.Decimal(10) ** (self.dtype.precision - self.dtype.scale) - step
         with decimal.localcontext(decimal.Context(prec=80)):
-            value = (decimal.Decimal(proposed) + (self.lo or 0)).quantize(step)
+            value = (decimal.Decimal(proposed) + (self.base or 0)).quantize(step)
             return max(-most, min(most, value))
 
     def literal(self, value: Number) -> str:
@@ -228,6 +237,7 @@ def _settle(df: DataFrame, searches: list[_Search], brackets: list[tuple[Number,
     for i, (s, (lo, hi)) in enumerate(zip(searches, brackets)):
         if s.inner is None:
             s.rank = max(1, math.ceil(s.probability * row[f"n{i}"]))
+        known = s.inner
         below, to_lo = row[f"below{i}"], row[f"to_lo{i}"]
         to_hi, through = row[f"to_hi{i}"], row[f"through{i}"]
         if s.rank <= below:
@@ -243,6 +253,8 @@ def _settle(df: DataFrame, searches: list[_Search], brackets: list[tuple[Number,
             s.lo, s.inner, s.rank = hi, row[f"n{i}"] - through, s.rank - through
         if not s.done:
             s.fraction = s.rank / s.inner
+            if s.inner == known:
+                s.from_above = not s.from_above
 
 
 def _rank_inside(df: DataFrame, searches: list[_Search]) -> None:

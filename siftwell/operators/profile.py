@@ -34,6 +34,8 @@ TOP_VALUES = 3
 def column_stats(df: DataFrame, usable: Mapping[str, str] | None = None) -> DataFrame:
     """Counts, range and moments of every column from one aggregate, one row per column.
 
+    ``min_text`` and ``max_text`` have all digits of integers and decimals.
+
     ``usable`` adds ``usable_count``, the non-null count of another form (SQL) of each column,
     such as the one without null markers.
     """
@@ -43,6 +45,10 @@ def column_stats(df: DataFrame, usable: Mapping[str, str] | None = None) -> Data
         moment = lambda f_: f"CAST({f_}({value}) AS DOUBLE)"
         if not is_numeric(f.dataType):
             moment = lambda f_: "CAST(NULL AS DOUBLE)"
+        # Doubles hold no more than 15 digits of these.
+        exact = lambda f_: f"CAST({f_}({value}) AS STRING)"
+        if not isinstance(f.dataType, (T.IntegralType, T.DecimalType)):
+            exact = lambda f_: "CAST(NULL AS STRING)"
         record = [
             f"{i} AS col_id",
             f"{sql_text(f.name)} AS column_name",
@@ -52,6 +58,8 @@ def column_stats(df: DataFrame, usable: Mapping[str, str] | None = None) -> Data
             f"count(*) - count({value}) AS null_count",
             f"{moment('min')} AS min",
             f"{moment('max')} AS max",
+            f"{exact('min')} AS min_text",
+            f"{exact('max')} AS max_text",
             f"{moment('avg')} AS mean",
             f"{moment('stddev_samp')} AS stddev",
         ]
@@ -132,6 +140,8 @@ def build_columns(stats: DataFrame, distinct: DataFrame, top: DataFrame) -> Data
         F.expr(percent("row_count - null_count", "row_count")).alias("completeness_pct"),
         "min",
         "max",
+        "min_text",
+        "max_text",
         F.round("mean", 4).alias("mean"),
         F.round("stddev", 4).alias("stddev"),
         "top_values",

@@ -5,6 +5,7 @@ import pytest
 import __spark_entry__ as entry_point
 from oracle_check import connect, differences
 from siftwell.catalog import ORACLES, QUERIES
+from siftwell.operators.profile import profile
 
 FOLDER = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not os.path.isdir(FOLDER), reason="test tables not present")
@@ -25,8 +26,17 @@ def test_entry_points(spark):
     assert set(entry_point.oracle_sql()) <= set(entry_point.queries())
 
 
-def test_plans_stay_in_the_jvm(spark):
-    for name in ("clean_table", "column_profile", "outlier_iqr_flag", "dedup_by_key"):
-        plan = QUERIES[name](spark, FOLDER)._jdf.queryExecution().executedPlan().toString()
-        assert "Python" not in plan and "Pandas" not in plan
-        assert "CartesianProduct" not in plan and "NestedLoop" not in plan
+@pytest.mark.parametrize("name", list(QUERIES))
+def test_plans_stay_in_the_jvm(spark, name):
+    plan = QUERIES[name](spark, FOLDER)._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "Pandas" not in plan and "Arrow" not in plan
+    assert "CartesianProduct" not in plan and "NestedLoop" not in plan
+
+
+def test_long_texts_are_not_shuffled(spark):
+    """Distinct counts and top values of documents exchange keys and digests only."""
+    plan = profile(spark.read.parquet(f"{FOLDER}/documents.parquet")).columns
+    text = plan._jdf.queryExecution().executedPlan().toString()
+    exchanges = [line for line in text.splitlines() if "Exchange hashpartitioning" in line]
+    assert exchanges and not any("text#" in line for line in exchanges)
+    assert "sha2" in text
