@@ -25,22 +25,76 @@ ignored or, in ``encode_documents``, kept unless they are named like a result.
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
-from itertools import chain
+from collections.abc import Iterator, Sequence
+from itertools import batched
 
 import numpy as np
 import pyarrow as pa
 import sentencepiece
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from siftwell.llm.frames import map_rows, plain_texts
+
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 SPACE = "▁"
 #: What an unknown character costs beyond the worst piece, in a unigram model.
 UNKNOWN_PENALTY = 10.0
 NONE = -1
 #: Stretches remembered in each of two generations; those in use move to the younger one.
-REMEMBERED = 250_000
+REMEMBERED = 100_000
+#: Longest stretch that is remembered, and that is searched without a window.
+SHORT = 64
+#: Texts that are encoded at once, and stretches from which on these are searched side by side.
+ROWS = 500
+MANY = 200
+#: Stretches that one such search takes.
+SIDE_BY_SIDE = 16_384
+#: Slots of the table that finds pieces by hash, and of the one that remembers pairs.
+TABLE_BITS, PAIR_BITS = 19, 20
+HASH_BASE = np.uint64(0x100000001B3)
+SPREAD = np.uint64(0x9E3779B97F4A7C15)
+
+
+def code_points(texts: list[str]) -> np.ndarray:
+    """The code points of all texts in a row."""
+    return np.frombuffer("".join(texts).encode("utf-32-le", "surrogatepass"), np.uint32)
+
+
+class PieceTable:
+    """Pieces by the polynomial hash of their code points: open addressing, many keys at a time."""
+
+    def __init__(self, pieces: dict[str, int]):
+        self.keys = np.zeros(1 << TABLE_BITS, np.uint64)
+        self.ids = np.full(1 << TABLE_BITS, NONE, np.int32)
+        names = list(pieces)
+        sizes = np.array([len(p) for p in names])
+        codes = code_points(names).astype(np.uint64) + np.uint64(1)
+        power = np.ones(int(sizes.max(initial=0)) + 1, np.uint64)
+        for k in range(1, len(power)):
+            power[k : k + 1] = power[k - 1 : k] * HASH_BASE
+        self.power = power
+        ends = np.cumsum(sizes)
+        left = np.repeat(ends, sizes) - np.arange(len(codes)) - 1
+        hashes = np.add.reduceat(codes * power[left], ends - sizes) if names else np.empty(0, np.uint64)
+        if len(np.unique(hashes)) < len(hashes):
+            raise ValueError("two pieces share a hash")
+        places = (hashes * SPREAD >> np.uint64(64 - TABLE_BITS)).tolist()
+        for at, key, piece in zip(places, hashes, pieces.values()):
+            while self.ids[at] != NONE:
+                at = (at + 1) & ((1 << TABLE_BITS) - 1)
+            self.keys[at], self.ids[at] = key, piece
+
+    def find(self, hashes: np.ndarray) -> np.ndarray:
+        at = (hashes * SPREAD >> np.uint64(64 - TABLE_BITS)).view(np.int64)
+        found = self.ids.take(at)
+        other = np.nonzero((found != NONE) & (self.keys.take(at) != hashes))[0]
+        while len(other):
+            at[other] = (at[other] + 1) & ((1 << TABLE_BITS) - 1)
+            found[other] = self.ids[at[other]]
+            wrong = (found[other] != NONE) & (self.keys[at[other]] != hashes[other])
+            other = other[wrong]
+        return found
 
 
 class Vocabulary:
@@ -83,8 +137,9 @@ class Vocabulary:
             if self.apart
             else r"(?s:.+)"
         )
-        self.known: dict[str, tuple[int, ...]] = {}
-        self.older: dict[str, tuple[int, ...]] = {}
+        # Ids as 32-bit integers in a row.
+        self.known: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
         self.pairs: dict[int, bool] = {}
         if kind == "bpe":
             self._merges()
@@ -112,6 +167,14 @@ class Vocabulary:
                 self.ends[piece] = [*self.ends[right][:-1], (right, took), (piece, last)]
                 self.starts[piece] = [*self.starts[left][:-1], (left, took), (piece, last)]
         self.pieces = {p: i for p, i in self.pieces.items() if p in self.ends}
+        self.table_of_pieces = PieceTable(self.pieces)
+        self.pair_keys = np.full(1 << PAIR_BITS, -1, np.int64)
+        self.pair_values = np.zeros(1 << PAIR_BITS, bool)
+        #: Length of the longest piece that ends with three characters.
+        self.reach: dict[str, int] = {}
+        for piece in self.pieces:
+            tail = piece[-3:]
+            self.reach[tail] = max(self.reach.get(tail, 0), len(piece))
 
     def _last_merge(self, text: str) -> tuple[str, str] | None:
         """Merge adjacent parts, best rank first and leftmost of ties; the last two parts, if one is left."""
@@ -137,7 +200,8 @@ class Vocabulary:
         if found is None:
             if len(self.pairs) >= REMEMBERED:
                 self.pairs.clear()
-            found = self.pairs[key] = self._separate(self.ends[self.names[a]], self.starts[self.names[b]])
+            ends, starts = self.ends[self.names[a]], self.starts[self.names[b]]
+            found = self.pairs[key] = self._separate(ends, starts)
         return found
 
     def _separate(self, ends: list[tuple[str, float]], starts: list[tuple[str, float]]) -> bool:
@@ -204,36 +268,150 @@ class Vocabulary:
             end = back[end]
         return found[::-1]
 
-    def stretch_ids(self, text: str) -> tuple[int, ...]:
+    def search_short(self, text: str) -> list[tuple[int, str]]:
+        """The same as ``search``, of a short text in a merge model: the window holds all of it."""
+        get, reach, pairs, size = self.pieces.get, self.reach.get, self.pairs.get, len(self.scores)
+        last, back = [NONE], [0]
+        for end in range(1, len(text) + 1):
+            arrived, began = NONE, end - 1
+            # Pieces of one or two characters are not found by their last three.
+            longest = reach(text[end - 3 : end], 2) if end > 2 else end
+            for j in range(end - longest if longest < end else 0, end):
+                piece = get(text[j:end])
+                if piece is None:
+                    continue
+                before = last[j]
+                if before == NONE:
+                    arrived, began = piece, j
+                    break
+                follows = pairs(before * size + piece)
+                if follows or (follows is None and self.may_follow(before, piece)):
+                    arrived, began = piece, j
+                    break
+            last.append(arrived)
+            back.append(began)
+        return self._path(text, 0, last, back, len(text))
+
+    def stretch_ids(self, text: str) -> bytes:
         found = self.known.get(text)
         if found is None:
             found = self.older.get(text)
             if found is None:
-                found = self._searched_ids(text)
-            if len(text) <= 64:
+                found = np.array(self._searched_ids(text), np.int32).tobytes()
+            if len(text) <= SHORT:
                 if len(self.known) >= REMEMBERED:
                     self.known, self.older = {}, self.known
                 self.known[text] = found
         return found
 
-    def _searched_ids(self, text: str) -> tuple[int, ...]:
+    def _searched_ids(self, text: str) -> list[int]:
         ids: list[int] = []
-        for piece, part in self.search(text):
+        short = self.kind == "bpe" and len(text) <= SHORT
+        for piece, part in self.search_short(text) if short else self.search(text):
             if piece != NONE:
                 ids.append(piece)
             elif self.raw:
                 ids += [self.raw[b] for b in part.encode()]
             elif not ids or ids[-1] != self.unknown:
                 ids.append(self.unknown)
-        return tuple(ids)
+        return ids
+
+    def follow(self, before: np.ndarray, pieces: np.ndarray) -> np.ndarray:
+        """``may_follow`` of many pairs, from a table that keeps the latest pair of each slot."""
+        keys = before.astype(np.int64) * len(self.scores) + pieces
+        at = (keys.view(np.uint64) * SPREAD >> np.uint64(64 - PAIR_BITS)).view(np.int64)
+        new = np.nonzero(self.pair_keys.take(at) != keys)[0]
+        found = self.pair_values.take(at)
+        if len(new):
+            asked, inverse = np.unique(keys[new], return_inverse=True)
+            size = len(self.scores)
+            names, ends, starts = self.names, self.ends, self.starts
+            answers = np.array(
+                [self._separate(ends[names[k // size]], starts[names[k % size]]) for k in asked.tolist()]
+            )
+            found[new] = answers[inverse]
+            self.pair_keys[at[new]], self.pair_values[at[new]] = keys[new], found[new]
+        return found
 
-    def encode(self, text: str) -> list[int]:
-        stretches = self.stretch.findall(self.normalize(text))
-        return list(chain.from_iterable(map(self.stretch_ids, stretches)))
+    def search_many(self, texts: Sequence[str]) -> dict[str, bytes]:
+        """The search of many short texts side by side, in a merge model: their ids as bytes.
+
+        Texts are given in order of length.
+        """
+        texts = texts[::-1]
+        sizes = np.array([len(t) for t in texts])
+        n, most = len(texts), int(sizes[0])
+        codes = np.zeros((n, most), np.uint64)
+        codes[np.arange(most) < sizes[:, None]] = code_points(texts)
+        sums = np.zeros((most + 1, n), np.uint64)
+        for k in range(most):
+            sums[k + 1] = sums[k] * HASH_BASE + codes[:, k] + np.uint64(1)
+        last = np.full((most + 1, n), NONE, np.int32)
+        back = np.repeat(np.arange(-1, most, dtype=np.int32)[:, None], n, axis=1)
+        power = self.table_of_pieces.power
+        for end in range(1, most + 1):
+            lanes = np.arange(np.searchsorted(-sizes, -end, side="right"))
+            for j in range(max(0, end - self.longest), end):
+                piece = self.table_of_pieces.find(sums[end].take(lanes) - sums[j].take(lanes) * power[end - j])
+                hit = np.nonzero(piece != NONE)[0]
+                if not len(hit):
+                    continue
+                own, piece = lanes[hit], piece[hit]
+                before = last[j].take(own)
+                fits = before == NONE
+                asked = np.nonzero(~fits)[0]
+                fits[asked] = self.follow(before[asked], piece[asked])
+                last[end][own[fits]], back[end][own[fits]] = piece[fits], j
+                if fits.any():
+                    rest = np.ones(len(lanes), bool)
+                    rest[hit[fits]] = False
+                    lanes = lanes[rest]
+                    if not len(lanes):
+                        break
+        steps, used, at, lane = [], [], sizes.copy(), np.arange(n)
+        while (live := at > 0).any():
+            steps.append(np.where(live, last[at, lane], NONE))
+            used.append(live)
+            at = np.where(live, back[at, lane], 0)
+        width = len(steps)
+        ids = np.array(steps[::-1], np.int32).T
+        counts = np.sum(used, axis=0)
+        gaps = (ids == NONE) & (np.arange(width) >= width - counts[:, None])
+        content = np.ascontiguousarray(ids).tobytes()
+        row = 4 * width
+        found = {
+            text: content[row * k + row - 4 * count : row * k + row]
+            for k, (text, count) in enumerate(zip(texts, counts.tolist()))
+        }
+        for k in np.nonzero(gaps.any(axis=1))[0]:
+            found[texts[k]] = np.array(self._searched_ids(texts[k]), np.int32).tobytes()
+        return found
 
-    def decode(self, ids: list[int]) -> str:
+    def encode_many(self, texts: list[str]) -> list[np.ndarray]:
+        lists = [self.stretch.findall(self.normalize(text)) for text in texts]
+        if self.kind == "bpe":
+            known, older = self.known, self.older
+            new = {s for stretches in lists for s in stretches if s not in known and len(s) <= SHORT}
+            if len(known) + len(new) > REMEMBERED:
+                older, known = known, {}
+                self.known, self.older = known, older
+                new = {s for stretches in lists for s in stretches if len(s) <= SHORT}
+            again = [s for s in new if s in older]
+            known.update((s, older[s]) for s in again)
+            new.difference_update(again)
+            if len(new) >= MANY:
+                for some in batched(sorted(new, key=len), SIDE_BY_SIDE):
+                    known.update(self.search_many(some))
+        ids = [b"".join(map(self.stretch_ids, stretches)) for stretches in lists]
+        return [np.frombuffer(x, np.int32) for x in ids]
+
+    def encode(self, text: str) -> np.ndarray:
+        return self.encode_many([text])[0]
+
+    def decode(self, ids: list[int] | np.ndarray) -> str:
         """The text of ids; the space that normalisation puts first is taken off."""
-        text = b"".join(map(self.table.__getitem__, ids)).decode("utf-8", "replace")
+        known = ids.tolist() if isinstance(ids, np.ndarray) else ids
+        text = b"".join(map(self.table.__getitem__, known)).decode("utf-8", "replace")
         return text.removeprefix(" ")
 
 
@@ -253,17 +431,24 @@ def model_content(path: str = MODEL) -> bytes:
         return file.read()
 
 
+def _id_lists(found: list[np.ndarray]) -> pa.ListArray:
+    offsets = np.zeros(len(found) + 1, np.int32)
+    np.cumsum([len(x) for x in found], out=offsets[1:])
+    flat = np.concatenate([np.empty(0, np.int32), *found])
+    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat))
+
+
 def encoder(content: bytes, kind: str = "bpe"):
     """A column function: ids of a text column without nulls."""
 
     @F.arrow_udf("array<int>")
     def encode(texts: pa.Array) -> pa.Array:
         words = vocabulary(content, kind)
-        ids = [words.encode(text) for text in texts.to_pylist()]
-        offsets = np.zeros(len(ids) + 1, np.int32)
-        np.cumsum([len(x) for x in ids], out=offsets[1:])
-        flat = np.fromiter(chain.from_iterable(ids), np.int32, offsets[-1])
-        return pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat))
+        parts = [
+            _id_lists(words.encode_many(texts.slice(at, ROWS).to_pylist()))
+            for at in range(0, len(texts), ROWS)
+        ]
+        return pa.concat_arrays([*parts, _id_lists([])])
 
     return encode
 
@@ -274,27 +459,40 @@ def decoder(content: bytes, kind: str = "bpe"):
     @F.arrow_udf("string")
     def decode(ids: pa.Array) -> pa.Array:
         words = vocabulary(content, kind)
-        return pa.array([words.decode(x) for x in ids.to_pylist()], pa.string())
+        parts = [
+            pa.array([words.decode(x) for x in ids.slice(at, ROWS).to_pylist()], pa.string())
+            for at in range(0, len(ids), ROWS)
+        ]
+        return pa.concat_arrays([*parts, pa.array([], pa.string())])
 
     return decode
 
 
-def _text(docs: DataFrame) -> Column:
-    return F.coalesce(docs["text"], F.lit(""))
-
-
 def encode_texts(docs: DataFrame, path: str = MODEL, kind: str = "bpe") -> DataFrame:
     """One row per document: ``doc_id, n_ids, ids`` and whether they decode to the text itself."""
     content = model_content(path)
-    encode, decode = encoder(content, kind), decoder(content, kind)
-    rows = docs.select("doc_id", _text(docs).alias("text")).withColumn("ids", encode("text"))
-    same = decode("ids") == F.col("text")
-    return rows.select("doc_id", F.size("ids").cast("long").alias("n_ids"), "ids", same.alias("exact"))
+
+    def encode(batch: pa.RecordBatch) -> pa.RecordBatch:
+        words = vocabulary(content, kind)
+        texts = batch["text"].to_pylist()
+        found = words.encode_many(texts)
+        same = [words.decode(ids) == text for ids, text in zip(found, texts)]
+        return pa.record_batch(
+            {
+                "doc_id": batch["doc_id"].cast(pa.int64()),
+                "n_ids": pa.array([len(ids) for ids in found], pa.int64()),
+                "ids": _id_lists(found),
+                "exact": pa.array(same, pa.bool_()),
+            }
+        )
+
+    schema = "doc_id long, n_ids long, ids array<int>, exact boolean"
+    return map_rows(plain_texts(docs), encode, schema, ROWS)
 
 
 def encode_documents(docs: DataFrame, path: str = MODEL, kind: str = "bpe") -> DataFrame:
     """All columns of the documents, with ``ids`` and ``n_ids``."""
     ids = encoder(model_content(path), kind)
     kept = [F.col(f"`{c.replace('`', '``')}`") for c in docs.columns if c not in ("ids", "n_ids")]
-    coded = docs.select(*kept, ids(_text(docs)).alias("ids"))
+    coded = docs.select(*kept, ids(F.coalesce(docs["text"], F.lit(""))).alias("ids"))
     return coded.withColumn("n_ids", F.size("ids").cast("long"))

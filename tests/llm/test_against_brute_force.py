@@ -107,10 +107,20 @@ def test_odd_texts_equal_the_library(vocabulary):
     samples += ["".join(rng.choices("abenrt'ſé \n▁.0<>", k=rng.randint(0, 40))) for _ in range(800)]
     for text in samples:
         ids = library.encode(text)
-        assert vocabulary.encode(text) == ids
+        assert vocabulary.encode(text).tolist() == ids
         assert vocabulary.decode(ids) == library.decode(ids)
 
 
+def test_side_by_side_search_equals_the_library(vocabulary):
+    library = sentencepiece.SentencePieceProcessor(model_file=pieces.MODEL)
+    rng = random.Random(9)
+    words = ["".join(rng.choices("aeinorstghblé漢.'", k=rng.randint(1, 30))) for _ in range(3000)]
+    texts = [" ".join(rng.choices(words, k=80)) for _ in range(60)]
+    fresh = pieces.Vocabulary(pieces.model_content(), "bpe")
+    assert [x.tolist() for x in fresh.encode_many(texts)] == library.encode(texts)
+    assert len(fresh.known) > pieces.MANY
+
+
 def test_unigram_search_finds_the_best_sum():
     table = {"a": -1.0, "b": -1.2, "ab": -1.9, "ba": -2.3, "aba": -2.8, "bab": -3.9, "c": -0.5}
     words = pieces.Vocabulary.__new__(pieces.Vocabulary)
