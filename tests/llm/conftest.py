@@ -29,6 +29,3 @@ def awkward(documents):
     names = ("size", "bits", "words", "fp", "key", "part", "grp", "d", "score", "ids", "sha", "s", "n")
     return documents(rows).select("*", *[F.lit(1).alias(n) for n in names])
 
-
-def plain_rows():
-    return 18

@@ -1,7 +1,6 @@
 """Every operator on nulls, empty and long texts, ties, repeated rows, empty tables, extra columns."""
 
 import pytest
-from conftest import *  # noqa: F403
 from pyspark.sql import functions as F
 
 from siftwell.llm.chat import format_chats
