@@ -1,8 +1,8 @@
 """Secret scans with linking of multipart credentials.
 
 Base spans are matches of three fixed rules. Beyond these, a credential often comes in parts, none
-of which is telling alone: an identifier (a user name, an access key), a secret (a short password,
-a bare token of 40 characters) and an endpoint (an address, a host). Weak candidates of each kind
+of which is telling alone: an identifier (a user name, an access key), a secret (a password the
+base rules leave, a bare token of 40 characters) and an endpoint (an address, a host). Weak candidates of each kind
 are joined by interval within a scope, which is the paragraph around a part, ``REACH`` code points
 to either side at most. A weak secret is reported when an identifier lies in its scope, a weak
 identifier when a secret does, an endpoint when both do; base spans count as parts too. The join
@@ -41,22 +41,23 @@ ASSIGN_LENGTH = 12
 ACCESS = re.compile(r"AKIA[A-Z0-9]{14,}")
 HEX = re.compile(r"[0-9a-f]{16,}")
 
-# The rules of the weak candidates; the last group is the part.
+# The rules of the weak candidates; the last group is the part. Keywords may end a
+# longer name (``DB_USER``); an access key named secret is a secret.
 WEAK_ID = re.compile(
-    r"""\b(?i:user(?:name|_?id)?|login|account|client_?id|access_?key(?:_?id)?)["']?\x20*[:=]\x20*["']?([A-Za-z0-9@._-]{3,})""",
+    r"""(?i:user(?:name|_?id)?|login|account|client_?id|(?<!secret)(?<!secret_)access_?key(?:_?id)?)["']?\x20*[:=]\x20*["']?([A-Za-z0-9@._-]{3,})""",
     re.ASCII,
 )
 WEAK_SECRETS = (
     re.compile(
-        r"""\b(?i:pass(?:word|wd|phrase)?|pwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]{6,11})(?![A-Za-z0-9+/_.=-])""",
+        r"""(?i:pass(?:word|wd|phrase)?|pwd|secret(?:_?(?:access_?)?key)?|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]{6,})""",
         re.ASCII,
     ),
-    re.compile(r"(?<![A-Za-z0-9+/=_-])([A-Za-z0-9+/]{40})(?![A-Za-z0-9+/=_-])", re.ASCII),
+    re.compile(r"(?<![A-Za-z0-9+/_-])([A-Za-z0-9+/]{40})(?![A-Za-z0-9+/=_-])", re.ASCII),
 )
 WEAK_ENDPOINTS = (
     re.compile(r"""\b([A-Za-z][A-Za-z0-9+.-]*://[^\s"'<>]+)""", re.ASCII),
     re.compile(
-        r"""\b(?i:host(?:name)?|endpoint|server)["']?\x20*[:=]\x20*["']?([A-Za-z0-9.-]{4,}(?::[0-9]+)?)""",
+        r"""(?i:host(?:name)?|endpoint|server)["']?\x20*[:=]\x20*["']?([A-Za-z0-9.-]{4,}(?::[0-9]+)?)""",
         re.ASCII,
     ),
 )
@@ -116,8 +117,10 @@ def linked_spans(text: str, base: dict[str, list[Span]]) -> dict[str, list[Span]
     names = _clear_of((m.span(1) for m in WEAK_ID.finditer(text)), taken)
     if not names and not base["access"]:
         return none
-    keys = {m.span(1) for rule in WEAK_SECRETS for m in rule.finditer(text)}
-    keys = sorted(_clear_of(keys, taken + names))
+    keys: list[Span] = []
+    for rule in WEAK_SECRETS:
+        keys += _clear_of((m.span(1) for m in rule.finditer(text)), taken + names + keys)
+    keys.sort()
     if not keys and not base["assign"] and not base["hex"]:
         return none
     breaks = [m.start() for m in BLANK_LINE.finditer(text)]
