@@ -235,14 +235,18 @@ def _numbers(column):
     )
 
 
-PROFILE = " UNION ALL ".join(
-    f"SELECT {i} AS col_id, '{c}' AS column_name, '{t}' AS data_type, true AS nullable, "
-    f"count(*) AS row_count, count(*) - count({c}) AS null_count, "
-    f"round(100.0 * (count(*) - count({c})) / count(*), 2) AS null_pct, "
-    f"count(DISTINCT {c}) AS distinct_count, "
-    f"round(100.0 * count({c}) / count(*), 2) AS completeness_pct, {_numbers(c)} FROM dirty"
-    for i, (c, t) in enumerate(TYPES.items())
-)
+def profile_sql(source, types):
+    return " UNION ALL ".join(
+        f"SELECT {i} AS col_id, '{c}' AS column_name, '{t}' AS data_type, true AS nullable, "
+        f"count(*) AS row_count, count(*) - count({c}) AS null_count, "
+        f"round(100.0 * (count(*) - count({c})) / count(*), 2) AS null_pct, "
+        f"count(DISTINCT {c}) AS distinct_count, "
+        f"round(100.0 * count({c}) / count(*), 2) AS completeness_pct, {_numbers(c)} FROM {source}"
+        for i, (c, t) in enumerate(types.items())
+    )
+
+
+PROFILE = profile_sql("dirty", TYPES)
 
 
 @query("column_profile", f"WITH {DIRTY_ORDERS} {PROFILE}")

@@ -6,7 +6,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from siftwell.catalog.inputs import DIRTY_EVENTS, FILLED_ORDERS, dirty_events, dirty_orders
-from siftwell.catalog.profiles import CONTRACT, ISSUES, OTHER, PROFILE, TYPES, top_sql
+from siftwell.catalog.profiles import (
+    CONTRACT,
+    ISSUES,
+    NUMERIC,
+    OTHER,
+    PROFILE,
+    TYPES,
+    profile_sql,
+    top_sql,
+)
 from siftwell.catalog.registry import query
 from siftwell.functions.columns import pin
 from siftwell.operators.analytics import domain_reports
@@ -108,6 +117,35 @@ def full_run_report(spark, folder):
     )
 
 
+FLAGGED = f"flagged AS (SELECT *, {IS_OUTLIER} AS o_totalprice_is_outlier FROM clean)"
+AFTER_TYPES = {
+    **{c: t for c, t in TYPES.items() if c != "o_note"},
+    "o_totalprice_is_outlier": "BooleanType()",
+}
+
+
+@query(
+    "full_run_report_facts",
+    f"WITH {FILLED_ORDERS}, {FENCE}, {FLAGGED} "
+    + " UNION ALL ".join(
+        f"SELECT '{phase}' AS phase, * FROM ({profile_sql(source, types)}) LEFT JOIN ("
+        + " UNION ALL ".join(top_sql(c, source) for c in types if c not in NUMERIC)
+        + ") USING (column_name)"
+        for phase, source, types in (("pre", "dirty", TYPES), ("post", "flagged", AFTER_TYPES))
+    ),
+)
+def full_run_report_facts(spark, folder):
+    """Every fact of the profiles before and after, top values as rows."""
+    with _fit(spark, folder) as model:
+        both = [
+            pin(model.reports[f"{phase}_column_profile"]).withColumn("phase", F.lit(phase))
+            for phase in ("pre", "post")
+        ]
+    rows = both[0].unionByName(both[1]).select("*", F.posexplode_outer("top_values").alias("pos", "top"))
+    named = rows.select("*", (F.col("pos") + 1).alias("rank"), "top.value", "top.count")
+    return named.drop("top_values", "pos", "top")
+
+
 def _facts_sql(source, columns):
     return " UNION ALL ".join(
         f"SELECT '{c}' AS column_name, count(*) - count({c}) AS null_count, "
