@@ -7,11 +7,13 @@ from pyspark.sql import functions as F
 from siftwell.llm.chat import format_chats
 from siftwell.llm.exact_dedup import exact_groups
 from siftwell.llm.fingerprint import fingerprint_edits
+from siftwell.llm.frames import WORD
 from siftwell.llm.mixing import mix_sources
 from siftwell.llm.mixing_lm import lm_scores
 from siftwell.llm.pieces import encode_texts
 from siftwell.llm.quality import quality_scores
 from siftwell.llm.registry import ORACLES, QUERIES, query
+from siftwell.llm.runs import periodic_runs
 from siftwell.llm.secrets import secret_spans
 from siftwell.llm.simhash import simhash_groups
 from siftwell.llm.substring_dedup import remove_repeats
@@ -123,3 +125,42 @@ def op9_chat_formatting(spark, folder):
 @query("op10_lm_scoring")
 def op10_lm_scoring(spark, folder):
     return lm_scores(table(spark, folder, "documents"))
+
+
+def with_planted_runs(docs):
+    """``doc_id, text``; about a tenth of the texts, by CRC-32 of the identifier, turn periodic.
+
+    From word ``a`` on, word ``i`` becomes the original word ``a + (i - a) % p``.
+    """
+    check = F.crc32(docs["doc_id"].cast("string").cast("binary"))
+    words, n, a, p = F.col("words"), F.size("words"), F.col("a"), F.col("p")
+    g = F.floor(F.col("check") / 10)
+    planted = docs.select(
+        "doc_id",
+        F.coalesce(docs["text"], F.lit("")).alias("text"),
+        check.alias("check"),
+        F.when(check % 10 == 0, F.regexp_extract_all("text", F.lit(f"({WORD})"), F.lit(1))).alias("words"),
+    )
+    planted = planted.withColumn("a", F.pmod(g, F.greatest(n, F.lit(1))).cast("int"))
+    planted = planted.withColumn("p", 1 + F.floor((n - a) / (3 + g % 8)).cast("int"))
+    again = F.transform(F.sequence(a, n - 1), lambda i: F.get(words, (a + (i - a) % p).cast("int")))
+    rewritten = F.array_join(F.concat(F.slice("words", 1, a), again), " ")
+    return planted.select("doc_id", F.when(n > 0, rewritten).otherwise(F.col("text")).alias("text"))
+
+
+@query("op11_periodic_runs")
+def op11_periodic_runs(spark, folder):
+    found = periodic_runs(with_planted_runs(table(spark, folder, "documents")))
+    best = lambda r: F.struct((-r["length"]).alias("least"), r["start"], r["period"], r["length"])
+    line = lambda r: F.concat_ws(",", r["start"], r["length"], r["period"])
+    lines = F.concat(F.array_join(F.transform("runs", line), "\n"), F.when(F.size("runs") > 0, "\n").otherwise(""))
+    return found.withColumn("best", F.array_min(F.transform("runs", best))).select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        "best.start",
+        "best.length",
+        "best.period",
+        F.expr("best.length * 1000 div best.period").alias("exponent_milli"),
+        F.sha2(lines, 256).alias("runs_sha256"),
+        F.sha2("kept_text", 256).alias("collapsed_sha256"),
+    )
