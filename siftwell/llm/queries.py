@@ -17,6 +17,8 @@ from siftwell.llm.runs import periodic_runs
 from siftwell.llm.secrets import secret_spans
 from siftwell.llm.simhash import simhash_groups
 from siftwell.llm.substring_dedup import remove_repeats
+from siftwell.llm.toxicity import toxicity_scores
+from siftwell.llm.whitening import whitened_vectors
 
 __all__ = ["ORACLES", "QUERIES"]
 
@@ -164,3 +166,13 @@ def op11_periodic_runs(spark, folder):
         F.sha2(lines, 256).alias("runs_sha256"),
         F.sha2("kept_text", 256).alias("collapsed_sha256"),
     )
+
+
+@query("op12_toxicity")
+def op12_toxicity(spark, folder):
+    return toxicity_scores(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
+@query("op13_whitening")
+def op13_whitening(spark, folder):
+    return whitened_vectors(table(spark, folder, "embeddings"))

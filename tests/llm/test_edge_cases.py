@@ -10,9 +10,11 @@ from siftwell.llm.mixing import mix, mix_sources
 from siftwell.llm.mixing_lm import lm_scores
 from siftwell.llm.pieces import encode_documents, encode_texts
 from siftwell.llm.quality import drop_low_quality, quality_scores
+from siftwell.llm.runs import periodic_runs
 from siftwell.llm.secrets import secret_spans
 from siftwell.llm.simhash import drop_near_duplicates, simhash_groups
 from siftwell.llm.substring_dedup import remove_repeats
+from siftwell.llm.toxicity import toxicity_scores
 
 
 def _labels(spark):
@@ -30,6 +32,8 @@ PER_ROW = {
     "substring": lambda s, d: remove_repeats(d),
     "secrets": lambda s, d: secret_spans(d),
     "lm": lambda s, d: lm_scores(d, 50),
+    "runs": lambda s, d: periodic_runs(d),
+    "toxicity": lambda s, d: toxicity_scores(d, _labels(s)),
 }
 STAGES = {
     "quality": lambda s, d: drop_low_quality(d, _labels(s)),
