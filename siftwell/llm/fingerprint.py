@@ -5,8 +5,11 @@ occur. For each of 64 samples every term draws, from a hash of term and sample,
 values ``r`` and ``c`` and a uniform ``b``; with ``t = floor(ln(weight) / r + b)`` its rank is
 ``c / exp(r * (t - b + 1))``, and the term and ``t`` of the lowest rank are the sample. Two texts
 agree in a sample with a probability equal to the generalised Jaccard similarity of their weights,
-so the share of equal samples estimates it. Draws come from tables of quantiles, indexed by 16
-bits of the hash each.
+so the share of equal samples estimates it.
+
+A gamma(2, 1) value cut at a uniform place makes two independent exponential values, so ``r (1 - b)``
+and ``r b`` are drawn instead of ``r`` and ``b``: a term of weight 1 then has the rank ``c`` times a
+uniform value. Draws are quantiles by 16 bits of the hash each.
 
 ``fingerprint_edits`` sorts documents by ``doc_id`` in ranges, streams each range once, and sends
 the first document of a range also to the range before it, so each document meets its successor
@@ -53,13 +56,10 @@ def gamma_quantiles(n: int) -> np.ndarray:
 
 
 MULTIPLIERS = mix64(np.arange(1, SAMPLES + 1, dtype=np.uint64)) | np.uint64(1)
-#: ``r`` and ``b`` share 16 bits of the hash: 10 for ``r``, 6 for ``b``.
-R_STEPS = gamma_quantiles(1024)
-R = np.repeat(R_STEPS, 64)
-B = np.tile((np.arange(64) + 0.5) / 64, 1024)
+UNIFORM = (np.arange(1 << 16) + 0.5) / (1 << 16)
+#: ``r (1 - b)`` or ``r b``, and what a term of weight 1 multiplies ``c`` by.
+PART, ONCE = -np.log(UNIFORM), UNIFORM.astype(np.float32)
 C = gamma_quantiles(1 << 16).astype(np.float32)
-#: What a term of weight 1 multiplies ``c`` by.
-ONCE = np.exp(-R * (1 - B)).astype(np.float32)
 STEP_MIX = np.uint32(0x9E3779B1)
 
 
@@ -79,14 +79,16 @@ def signature(found: np.ndarray, weights: np.ndarray) -> np.ndarray:
     for start in range(0, len(found), CHUNK):
         value = found[start : start + CHUNK, None] * MULTIPLIERS
         halves = value.view(np.uint16).reshape(*value.shape, 4)
-        rb, c = halves[:, :, 3], C[halves[:, :, 2]]
-        rank = c * ONCE[rb]
+        c = C[halves[:, :, 2]]
+        rank = c * ONCE[halves[:, :, 3]]
         parts = value.view(np.uint32).reshape(*value.shape, 2)
         many = np.nonzero(weights[start : start + CHUNK] > 1)[0]
         if len(many):
-            r, b = R[rb[many]], B[rb[many]]
-            step = np.floor(np.log(weights[start + many])[:, None] / r + b)
-            rank[many] = c[many] / np.exp(r * (step - b + 1))
+            # These bits also stay part of the sample's name.
+            above, below = PART[halves[many, :, 3]], PART[halves[many, :, 1]]
+            r = above + below
+            step = np.floor((np.log(weights[start + many])[:, None] + below) / r)
+            rank[many] = c[many] * np.exp(-above - r * step)
             parts[many, :, 0] ^= step.astype(np.uint32) * STEP_MIX
         parts[:, :, 1] = rank.view(np.uint32)
         best = np.minimum(best, value.min(axis=0))

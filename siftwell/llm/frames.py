@@ -53,23 +53,29 @@ def own_columns(docs: DataFrame, struct: str = "d") -> list[Column]:
 def owned_rows(docs: DataFrame, keepers: DataFrame) -> DataFrame:
     """The rows of ``docs`` named by ``keep_id`` and ``text_sha256``, one for each name.
 
-    Of rows that share identifier and text, the first by the remaining columns stays (map columns
-    have no order and are passed over).
+    Of rows that share identifier and text, the first by the remaining columns stays (columns with
+    maps, which have no order, by their JSON). Join and ranking use the same three keys, so that
+    rows are shuffled once.
     """
+    names = ("sha", "key", "none")
     marked = docs.select(
         F.struct("*").alias("d"),
         F.sha2(F.coalesce(docs["text"], F.lit("")), 256).alias("sha"),
-        docs["doc_id"].alias("key"),
+        F.coalesce(docs["doc_id"].cast("long"), F.lit(0)).alias("key"),
+        docs["doc_id"].isNull().alias("none"),
     )
-    found = marked.join(
-        keepers,
-        (F.col("sha") == F.col("text_sha256")) & F.col("key").eqNullSafe(F.col("keep_id")),
-    )
-    order = [c for c, (_, kind) in zip(own_columns(docs), docs.dtypes) if "map<" not in kind]
-    first = Window.partitionBy("sha", "key").orderBy(*order)
-    return (
-        found.withColumn("nth", F.row_number().over(first)).where("nth = 1").select(*own_columns(docs))
+    named = keepers.select(
+        F.col("text_sha256").alias("sha"),
+        F.coalesce(F.col("keep_id").cast("long"), F.lit(0)).alias("key"),
+        F.col("keep_id").isNull().alias("none"),
     )
+    order = [
+        F.to_json(F.struct(c.alias("m"))) if "map<" in kind else c
+        for c, (_, kind) in zip(own_columns(docs), docs.dtypes)
+    ]
+    first = Window.partitionBy(*names).orderBy(*order)
+    found = marked.join(named, list(names)).withColumn("nth", F.row_number().over(first))
+    return found.where("nth = 1").select(*own_columns(docs))
 
 
 class WordHashes(dict):

@@ -1,17 +1,23 @@
 """Mixing sources to target weights by Pareto order sampling.
 
-A source's target over its size gives each of its documents an expected number of copies. The
-whole part is allocated with certainty; the fraction is an inclusion probability, and documents
-enter the sample in the order of their random odds divided by their inclusion odds, until the
-sample has the wanted size. Size is counted in words: the cut in the order is put where the
-source's words come nearest to its target, so a mix of long and short documents meets it too.
+A source's target over its size is the number of copies that its documents get on average. The
+whole part is allocated with certainty; the rest ``f`` is sampled, with an inclusion probability
+of each document's own: ``p = f (1 + tilt (H - h))``, where ``h`` in 0..1 grows with the document's
+size (in thousandths, ``h = size / (size + typical size)``) and ``H`` is the mean of ``h`` over the
+source's words. So a short text is likelier to enter than a long one, which would spend more of the
+target, while the expected words are exactly the target's: ``sum p size = f sum size``.
+
+Documents enter in the order of their random odds over their inclusion odds,
+``u / (1 - u) : p / (1 - p)`` for a uniform ``u``, until the sample has its fixed size. That size is
+counted in words: the cut is put where the source's words come nearest to its target.
 
 The cut is found without sorting a source: two rounds of histograms over the order (4,096 cells
-each) leave a cell with about one in sixteen million of a source's documents, and only that cell
-is ranked. Everything is DataFrame functions.
+each, of the odds ratio ``q`` as ``q / (1 + q)``) leave a cell with about one in sixteen million of
+a source's documents, and only that cell is ranked. Everything is DataFrame functions. Windows
+over sources run in one task and hold one row per source.
 
 Edge cases: a null or empty text has size 0 and is taken 0 words; a null source is a source of its
-own, ranked last; the random number depends on the identifier and the text alone, so reruns agree
+own, ranked last; the random number depends on seed, identifier and text alone, so reruns agree
 and rows equal in both share it: at the cut they are ordered by size, and rows that tie in all
 enter or stay out together; a null ``doc_id`` counts as the word "null"; a table of empty texts
 has targets of 0; other columns are ignored or, in ``mix``, kept.
@@ -22,13 +28,16 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from siftwell.llm.frames import WORD
-from siftwell.sources.workspace import materialize
+from siftwell.llm.frames import WORD, own_columns
+from siftwell.sources.workspace import discard, materialize
 
 WEIGHTS = (3.0, 1.0, 2.0)
 SHARE = 1.5
 MOST = 2.0
-#: Cells of a histogram round, as bits; two rounds and the rank use the top of 52 random bits.
+SEED = "mix"
+#: By how much inclusion probabilities of a source differ with size, at most, as a share of their mean.
+TILT = 0.5
+#: Cells of a histogram round, as bits; two rounds and the rank use the top of 52 bits.
 CELL_BITS = 12
 RANDOM_BITS = 52
 
@@ -37,10 +46,10 @@ def word_count(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
 
 
-def random_bits(doc_id: Column, text: Column) -> Column:
-    """52 bits, fixed by identifier and text."""
+def random_bits(doc_id: Column, text: Column, seed: str = SEED) -> Column:
+    """52 bits, fixed by seed, identifier and text."""
     body = F.md5(F.coalesce(text, F.lit("")))
-    key = F.concat_ws(":", F.lit("mix"), F.coalesce(doc_id.cast("string"), F.lit("null")), body)
+    key = F.concat_ws(":", F.lit(seed), F.coalesce(doc_id.cast("string"), F.lit("null")), body)
     return F.conv(F.substring(F.md5(key), 1, RANDOM_BITS // 4), 16, 10).cast("long")
 
 
@@ -77,26 +86,63 @@ def source_targets(sizes: DataFrame) -> DataFrame:
     )
 
 
-def sizes_of(docs: DataFrame) -> DataFrame:
+def sizes_of(docs: DataFrame, seed: str = SEED) -> DataFrame:
     """``doc_id, source, size, bits``: all that the mix needs of a document."""
     return docs.select(
         "doc_id",
         "source",
         word_count(docs["text"]).alias("size"),
-        random_bits(docs["doc_id"], docs["text"]).alias("bits"),
+        random_bits(docs["doc_id"], docs["text"], seed).alias("bits"),
     )
 
 
+def _share(size: Column, typical: Column) -> Column:
+    """``h`` in thousandths: a whole number, so that sums do not depend on their order."""
+    return F.floor(size * 1000 / (size + typical)).cast("long")
+
+
 def _plans(sizes: DataFrame) -> DataFrame:
-    """Sources with whole copies, inclusion probability and the words to sample."""
+    """Sources with whole copies, the fraction to sample, its words, and what inclusion depends on."""
     ratio = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)
-    return (
+    targets = (
         source_targets(sizes)
         .withColumn("ratio", ratio)
         .withColumn("whole", F.floor("ratio"))
-        .withColumn("inclusion", F.col("ratio") - F.col("whole"))
+        .withColumn("fraction", F.col("ratio") - F.col("whole"))
         .withColumn("wanted", F.col("target") - F.col("whole") * F.col("source_size"))
     )
+    size = F.col("size")
+    typical = F.floor(F.sum(size * size) / F.greatest(F.sum("size"), F.lit(1))).cast("long") + 1
+    typicals = sizes.groupBy(F.col("source").alias("t")).agg(typical.alias("typical"))
+    targets = targets.join(typicals, F.col("source").eqNullSafe(F.col("t"))).drop("t")
+    known = sizes.join(typicals, F.col("source").eqNullSafe(F.col("t")))
+    spent = F.sum(size * _share(size, F.col("typical"))) / F.greatest(F.sum("size"), F.lit(1))
+    means = known.groupBy(F.col("source").alias("t")).agg(spent.alias("mean_share"))
+    return targets.join(means, F.col("source").eqNullSafe(F.col("t"))).drop("t")
+
+
+def inclusion() -> Column:
+    """Inclusion probability of a row of ``size`` with its source's plan."""
+    f = F.col("fraction")
+    tilt = F.least(F.lit(TILT), F.lit(1.0) / f - 1.0)
+    apart = (F.col("mean_share") - _share(F.col("size"), F.col("typical"))) / 1000.0
+    return F.when(f > 0, f * (1.0 + tilt * apart)).otherwise(0.0)
+
+
+def _ranked(rows: DataFrame, plans: DataFrame) -> DataFrame:
+    """Rows of ``source, size, bits`` with their place in the Pareto order as ``bits``.
+
+    Random odds over inclusion odds are ``q``; its place is ``q / (1 + q)``, in 52 bits.
+    """
+    scale = float(1 << RANDOM_BITS)
+    u = (F.col("bits") + 0.5) / scale
+    p = inclusion()
+    ahead, behind = u * (1.0 - p), p * (1.0 - u)
+    place = F.when(p > 0, F.floor(ahead / (ahead + behind) * scale)).otherwise(scale - 1)
+    used = ("fraction", "mean_share", "typical")
+    facts = plans.select(F.col("source").alias("s"), *used)
+    joined = rows.join(facts, F.col("source").eqNullSafe(F.col("s")))
+    return joined.withColumn("bits", place.cast("long")).drop("s", *used)
 
 
 def _cell(level: int) -> Column:
@@ -104,11 +150,7 @@ def _cell(level: int) -> Column:
 
 
 def _narrow(rows: DataFrame, plans: DataFrame, level: int) -> DataFrame:
-    """Plans with the histogram cell in which each source's sample ends.
-
-    Within a source all inclusion odds are equal, so the Pareto order is the order of the random
-    odds, and that of the random bits; cells are ranges of these.
-    """
+    """Plans with the histogram cell in which each source's sample ends; cells are ranges of places."""
     inside = rows if level == 1 else rows.join(
         plans.select(F.col("source").alias("s"), "cell"),
         F.col("source").eqNullSafe(F.col("s")) & (_cell(level - 1) == F.col("cell")),
@@ -135,7 +177,7 @@ def _narrow(rows: DataFrame, plans: DataFrame, level: int) -> DataFrame:
 
 
 def _cuts(sizes: DataFrame, plans: DataFrame) -> DataFrame:
-    """Plans with the last random bits and size that enter the sample of each source."""
+    """Plans with the last place and size that enter the sample of each source."""
     plans = plans.withColumn("before", F.lit(0).cast("long"))
     plans = _narrow(sizes, plans, 1)
     plans = _narrow(sizes, plans, 2)
@@ -157,20 +199,24 @@ def _cuts(sizes: DataFrame, plans: DataFrame) -> DataFrame:
     return plans.join(cuts, F.col("source").eqNullSafe(F.col("c")), "left").drop("c")
 
 
-def _learn(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """The stored sizes of all documents and the stored cuts of all sources."""
-    sizes, _ = materialize(sizes_of(docs), "mix-sizes")
-    plans, _ = materialize(_plans(sizes), "mix-plans")
-    cuts, _ = materialize(_cuts(sizes, plans), "mix-cuts")
-    return sizes, cuts
+def _learn(docs: DataFrame, seed: str) -> tuple[DataFrame, DataFrame]:
+    """Stored sizes and places of all documents, and the stored cuts of all sources."""
+    spark = docs.sparkSession
+    sizes, sizes_path = materialize(sizes_of(docs, seed), "mix-sizes")
+    plans, plans_path = materialize(_plans(sizes), "mix-plans")
+    places, _ = materialize(_ranked(sizes, plans), "mix-places")
+    cuts, _ = materialize(_cuts(places, plans), "mix-cuts")
+    discard(spark, sizes_path)
+    discard(spark, plans_path)
+    return places, cuts
 
 
 def _with_copies(rows: DataFrame, cuts: DataFrame) -> DataFrame:
-    """Rows of ``source, size, bits`` with their source's figures and their ``copies``."""
+    """Rows of ``source, size`` and place ``bits`` with their source's figures and their ``copies``."""
     joined = rows.join(
         cuts.withColumnRenamed("source", "s"), F.col("source").eqNullSafe(F.col("s"))
     )
-    sampled = (F.col("inclusion") > 0) & (
+    sampled = (F.col("fraction") > 0) & (
         (_cell(2) < F.col("cell"))
         | (
             (_cell(2) == F.col("cell"))
@@ -180,25 +226,24 @@ def _with_copies(rows: DataFrame, cuts: DataFrame) -> DataFrame:
     return joined.withColumn("copies", (F.col("whole") + sampled.cast("long")).cast("long"))
 
 
-def mix_sources(docs: DataFrame) -> DataFrame:
+def mix_sources(docs: DataFrame, seed: str = SEED) -> DataFrame:
     """``doc_id, size, source_size, target, taken``: the words that the mix takes of each row."""
     taken = (F.col("copies") * F.col("size")).alias("taken")
-    return _with_copies(*_learn(docs)).select("doc_id", "size", "source_size", "target", taken)
+    return _with_copies(*_learn(docs, seed)).select("doc_id", "size", "source_size", "target", taken)
 
 
-def mix(docs: DataFrame) -> DataFrame:
+def mix(docs: DataFrame, seed: str = SEED) -> DataFrame:
     """The mixed documents: each row as often as the mix takes it, columns unchanged.
 
     A document without words is never taken.
     """
-    _, cuts = _learn(docs)
+    _, cuts = _learn(docs, seed)
     rows = docs.select(
         F.struct("*").alias("d"),
         docs["source"].alias("source"),
         word_count(docs["text"]).alias("size"),
-        random_bits(docs["doc_id"], docs["text"]).alias("bits"),
+        random_bits(docs["doc_id"], docs["text"], seed).alias("bits"),
     )
-    chosen = _with_copies(rows, cuts).where("copies > 0 AND size > 0")
-    own = [F.col(f"d.`{c.replace('`', '``')}`") for c in docs.columns]
+    chosen = _with_copies(_ranked(rows, cuts), cuts).where("copies > 0 AND size > 0")
     copies = F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))).alias("nth")
-    return chosen.select("d", copies).select(*own)
+    return chosen.select("d", copies).select(*own_columns(docs))

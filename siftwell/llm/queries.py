@@ -76,21 +76,41 @@ def op4_quality(spark, folder):
     plans AS (
       SELECT *, CASE WHEN source_size > 0 THEN target / source_size ELSE 0::DOUBLE END AS ratio
       FROM targets),
+    typicals AS (
+      SELECT source, CAST(floor(CAST(sum(size * size) AS DOUBLE) / greatest(sum(size), 1)) AS BIGINT) + 1
+        AS typical FROM sizes GROUP BY source),
+    shares AS (
+      SELECT s.*, CAST(floor(CAST(size * 1000 AS DOUBLE) / (size + typical)) AS BIGINT) AS share
+      FROM sizes s JOIN typicals t ON s.source IS NOT DISTINCT FROM t.source),
+    means AS (
+      SELECT source, CAST(sum(size * share) AS DOUBLE) / greatest(sum(size), 1) AS mean_share
+      FROM shares GROUP BY source),
+    chances AS (
+      SELECT s.*, target, ratio, floor(ratio) AS whole, p.source_size,
+        (CAST(bits AS DOUBLE) + 0.5::DOUBLE) / 4503599627370496::DOUBLE AS u,
+        CASE WHEN ratio > floor(ratio) THEN (ratio - floor(ratio)) * (1::DOUBLE
+          + least(0.5::DOUBLE, 1::DOUBLE / (ratio - floor(ratio)) - 1::DOUBLE)
+          * ((mean_share - share) / 1000::DOUBLE)) ELSE 0::DOUBLE END AS chance
+      FROM shares s JOIN plans p ON s.source IS NOT DISTINCT FROM p.source
+      JOIN means m ON s.source IS NOT DISTINCT FROM m.source),
+    places AS (
+      SELECT *, CASE WHEN chance > 0 THEN
+        floor(u * (1 - chance) / (u * (1 - chance) + chance * (1 - u)) * 4503599627370496::DOUBLE)
+        ELSE 4503599627370495::DOUBLE END AS place
+      FROM chances),
     steps AS (
-      SELECT s.source, bits, size, sum(size) AS words,
-        sum(sum(size)) OVER (PARTITION BY s.source ORDER BY bits, size) AS upto,
-        any_value(target - floor(ratio) * source_size) AS wanted
-      FROM sizes s JOIN plans p ON s.source IS NOT DISTINCT FROM p.source
-      GROUP BY s.source, bits, size),
+      SELECT source, place, size, sum(size) AS words,
+        sum(sum(size)) OVER (PARTITION BY source ORDER BY place, size) AS upto,
+        any_value(target - whole * source_size) AS wanted
+      FROM places GROUP BY source, place, size),
     sampled AS (
-      SELECT source, bits, size FROM steps
+      SELECT source, place, size FROM steps
       WHERE words > 0 AND abs(upto - wanted) <= abs(upto - words - wanted))
-    SELECT s.doc_id, s.size, p.source_size, p.target,
-      CAST(s.size * (floor(p.ratio) + CASE WHEN p.ratio > floor(p.ratio) AND c.size IS NOT NULL
+    SELECT s.doc_id, s.size, s.source_size, s.target,
+      CAST(s.size * (whole + CASE WHEN ratio > whole AND c.size IS NOT NULL
         THEN 1 ELSE 0 END) AS BIGINT) AS taken
-    FROM sizes s JOIN plans p ON s.source IS NOT DISTINCT FROM p.source
-    LEFT JOIN sampled c ON c.source IS NOT DISTINCT FROM s.source
-      AND c.bits = s.bits AND c.size = s.size""",
+    FROM places s LEFT JOIN sampled c ON c.source IS NOT DISTINCT FROM s.source
+      AND c.place = s.place AND c.size = s.size""",
 )
 def op5_mixing(spark, folder):
     return mix_sources(table(spark, folder, "documents"))

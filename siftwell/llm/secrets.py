@@ -7,7 +7,7 @@ are joined by interval within a scope, which is the paragraph around a part, ``R
 to either side at most. A weak secret is reported when an identifier lies in its scope, a weak
 identifier when a secret does, an endpoint when both do; base spans count as parts too. The join
 is by binary search over the sorted parts of one document, so a document with many parts costs no
-more than sorting them.
+more than sorting them. Every rule reads a text in time linear in its length.
 
 Offsets are code points, ends are exclusive. Edge cases: a null or empty text has no spans (the
 hash is that of the empty string); a weak candidate that overlaps a base span is not reported, the
@@ -54,13 +54,14 @@ WEAK_SECRETS = (
     ),
     re.compile(r"(?<![A-Za-z0-9+/_-])([A-Za-z0-9+/]{40})(?![A-Za-z0-9+/=_-])", re.ASCII),
 )
-WEAK_ENDPOINTS = (
-    re.compile(r"""\b([A-Za-z][A-Za-z0-9+.-]*://[^\s"'<>]+)""", re.ASCII),
-    re.compile(
-        r"""(?i:host(?:name)?|endpoint|server)["']?\x20*[:=]\x20*["']?([A-Za-z0-9.-]{4,}(?::[0-9]+)?)""",
-        re.ASCII,
-    ),
+WEAK_HOST = re.compile(
+    r"""(?i:host(?:name)?|endpoint|server)["']?\x20*[:=]\x20*["']?([A-Za-z0-9.-]{4,}(?::[0-9]+)?)""",
+    re.ASCII,
 )
+# What follows the scheme of an address, and a scheme read backwards from there.
+ADDRESS = re.compile(r"""://[^\s"'<>]+""", re.ASCII)
+SCHEME = re.compile(r"[A-Za-z0-9+.-]*", re.ASCII)
+SCHEME_START = re.compile(r"\b[A-Za-z]", re.ASCII)
 BLANK_LINE = re.compile(r"\n[ \t\r]*\n")
 
 Span = tuple[int, int]
@@ -79,6 +80,32 @@ def base_spans(text: str) -> dict[str, list[Span]]:
     return {"assign": assigned, "access": access, "hex": [m.span() for m in HEX.finditer(text)]}
 
 
+def addresses(text: str) -> list[Span]:
+    """Addresses with their scheme, each character read a bounded number of times.
+
+    Searching for schemes first would read a long dotted run from each of its words to its end.
+    """
+    found: list[Span] = []
+    done, at = 0, text.find("://")
+    while at >= 0:
+        rest = ADDRESS.match(text, at)
+        back, step = at, 64
+        while back > done:
+            piece = text[max(done, back - step) : back]
+            run = len(SCHEME.match(piece[::-1])[0])
+            back -= run
+            if run < len(piece):
+                break
+            step *= 2
+        start = SCHEME_START.search(text, back, at)
+        done = at + 3
+        if rest and start:
+            found.append((start.start(), rest.end()))
+            done = rest.end()
+        at = text.find("://", done)
+    return found
+
+
 class Intervals:
     """Spans ordered by start, to ask whether one lies within limits."""
 
@@ -133,7 +160,7 @@ def linked_spans(text: str, base: dict[str, list[Span]]) -> dict[str, list[Span]
         high = breaks[at] if at < len(breaks) else len(text)
         return max(low, span[0] - REACH), min(high, span[1] + REACH)
 
-    places = {m.span(1) for rule in WEAK_ENDPOINTS for m in rule.finditer(text)}
+    places = {*addresses(text), *(m.span(1) for m in WEAK_HOST.finditer(text))}
     places = sorted(_clear_of(places, taken + names + keys))
     return {
         "id": [s for s in names if secrets.within(*scope(s))],

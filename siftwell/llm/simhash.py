@@ -69,20 +69,20 @@ def majority_bits(hashes: np.ndarray) -> int:
     return int(np.packbits(2 * counts > len(hashes), bitorder="little").view(np.int64)[0])
 
 
-def _print_batch(batch: pa.RecordBatch) -> pa.RecordBatch:
-    texts = text_bytes(batch["text"])
-    return pa.record_batch(
-        {
-            "doc_id": batch["doc_id"].cast(pa.int64()),
-            "fp": pa.array([majority_bits(shingle_hashes(t)) for t in texts], pa.int64()),
-            "sha": pa.array([hashlib.sha256(t).hexdigest() for t in texts], pa.string()),
-        }
-    )
+def fingerprints(docs: DataFrame, words: int = WORDS) -> DataFrame:
+    """``doc_id, fp, sha`` of every document; ``sha`` is the SHA-256 of its text."""
 
+    def run(batch: pa.RecordBatch) -> pa.RecordBatch:
+        texts = text_bytes(batch["text"])
+        return pa.record_batch(
+            {
+                "doc_id": batch["doc_id"].cast(pa.int64()),
+                "fp": pa.array([majority_bits(shingle_hashes(t, words)) for t in texts], pa.int64()),
+                "sha": pa.array([hashlib.sha256(t).hexdigest() for t in texts], pa.string()),
+            }
+        )
 
-def fingerprints(docs: DataFrame) -> DataFrame:
-    """``doc_id, fp, sha`` of every document; ``sha`` is the SHA-256 of its text."""
-    return map_rows(plain_texts(docs), _print_batch, "doc_id long, fp long, sha string")
+    return map_rows(plain_texts(docs), run, "doc_id long, fp long, sha string")
 
 
 def block_masks(radius: int) -> list[int]:
@@ -227,12 +227,12 @@ def _hex(fp: Column) -> Column:
     return F.lpad(F.lower(F.hex(fp)), BITS // 4, "0")
 
 
-def _members(docs: DataFrame, radius: int) -> tuple[DataFrame, DataFrame]:
+def _members(docs: DataFrame, radius: int, words: int) -> tuple[DataFrame, DataFrame]:
     """Stored prints, and ``fp, first, label`` of every distinct fingerprint.
 
     ``first`` is the print of the smallest identifier: ``none, doc_id, fp, sha``.
     """
-    prints, _ = materialize(fingerprints(docs), "fingerprints")
+    prints, _ = materialize(fingerprints(docs, words), "fingerprints")
     first = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "fp", "sha")
     owners, _ = materialize(prints.groupBy("fp").agg(F.min(first).alias("first")), "owners")
     labels = components(fingerprint_links(owners.select("fp"), radius))
@@ -241,9 +241,9 @@ def _members(docs: DataFrame, radius: int) -> tuple[DataFrame, DataFrame]:
     )
 
 
-def simhash_groups(docs: DataFrame, radius: int = RADIUS) -> DataFrame:
+def simhash_groups(docs: DataFrame, radius: int = RADIUS, words: int = WORDS) -> DataFrame:
     """One row per document: ``doc_id, fingerprint, component_id``."""
-    prints, members = _members(docs, radius)
+    prints, members = _members(docs, radius, words)
     lowest = members.groupBy("label").agg(F.min("first").alias("lowest"))
     of_print = members.join(lowest, "label").select(
         "fp", F.col("lowest.doc_id").alias("component_id")
@@ -252,13 +252,13 @@ def simhash_groups(docs: DataFrame, radius: int = RADIUS) -> DataFrame:
     return prints.join(of_print, "fp").select("doc_id", fingerprint, "component_id")
 
 
-def drop_near_duplicates(docs: DataFrame, radius: int = RADIUS) -> DataFrame:
+def drop_near_duplicates(docs: DataFrame, radius: int = RADIUS, words: int = WORDS) -> DataFrame:
     """One document of each component, the one of smallest ``doc_id``; all columns kept.
 
     Where rows share that identifier, the smallest fingerprint and then the smallest hash of the
     text decides.
     """
-    _, members = _members(docs, radius)
+    _, members = _members(docs, radius, words)
     first = F.min("first").alias("first")
     keepers = members.groupBy("label").agg(first).select(
         F.col("first.doc_id").alias("keep_id"), F.col("first.sha").alias("text_sha256")

@@ -37,7 +37,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from siftwell.llm.frames import map_rows, plain_texts
-from siftwell.sources.workspace import materialize
+from siftwell.sources.workspace import discard, materialize
 
 #: Labelled rows that the model is learnt on, at most; also the bound of what reaches the driver.
 SAMPLE = 20_000
@@ -204,16 +204,17 @@ def choose_terms(training: DataFrame) -> dict[int, int]:
     found = map_rows(training, run, schema).dropDuplicates(["doc_id"])
     # Bucket -1 is in every text.
     each = found.select("label", F.explode(F.concat("buckets", F.array(F.lit(-1)))).alias("bucket"))
-    counts = each.groupBy("bucket").agg(F.sum("label").alias("toxic"), F.count("*").alias("n"))
-    table = counts.where(F.col("n") >= LEAST_TEXTS).toArrow().to_pandas()
-    every = table["bucket"] == -1
-    rate = float(table["toxic"][every].sum() / max(1, table["n"][every].sum()))
-    table = table[~every]
+    counted = each.groupBy("bucket").agg(F.sum("label").alias("toxic"), F.count("*").alias("n"))
+    counts, path = materialize(counted, "terms")
+    every = counts.where("bucket = -1").first()
+    rate = every["toxic"] / every["n"] if every else 0.0
     # The number of toxic texts among n, against what the common rate gives.
-    spread = np.sqrt(table["n"] * rate * (1 - rate) + 0.25)
-    table["errors"] = (table["toxic"] - table["n"] * rate).abs() / spread
-    best = table[table["errors"] >= LEAST_ERRORS].sort_values(["errors", "bucket"], ascending=[False, True])
-    return {int(b): k for k, b in enumerate(best["bucket"][:TERMS])}
+    spread = F.sqrt(F.col("n") * rate * (1 - rate) + 0.25)
+    errors = F.abs(F.col("toxic") - F.col("n") * rate) / spread
+    differ = counts.where((F.col("bucket") >= 0) & (F.col("n") >= LEAST_TEXTS)).where(errors >= LEAST_ERRORS)
+    best = differ.orderBy(errors.desc(), "bucket").limit(TERMS).select("bucket").collect()
+    discard(training.sparkSession, path)
+    return {r["bucket"]: k for k, r in enumerate(best)}
 
 
 def fit_toxicity(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Machine:
@@ -228,12 +229,12 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Ma
             {
                 "doc_id": batch["doc_id"],
                 "at": pa.array([ids for ids, _ in rows], pa.list_(pa.int32())),
-                "value": pa.array([values for _, values in rows], pa.list_(pa.float64())),
+                "value": pa.array([values for _, values in rows], pa.list_(pa.float32())),
                 "label": batch["label"],
             }
         )
 
-    schema = "doc_id long, at array<int>, value array<double>, label int"
+    schema = "doc_id long, at array<int>, value array<float>, label int"
     found = map_rows(training, run, schema).dropDuplicates(["doc_id"])
     table = found.toArrow().sort_by("doc_id")
     rows = list(zip(table["at"].to_pylist(), table["value"].to_pylist()))

@@ -233,6 +233,46 @@ def test_trees_fit_and_flatten():
     assert np.allclose(trees.predict(rows[:50]), [walk(r) for r in rows[:50]])
 
 
+def test_weighted_samples_of_long_texts_are_unbiased():
+    rng = np.random.default_rng(7)
+    found = []
+    for _ in range(60):
+        terms = rng.integers(0, 1 << 64, 20_000, dtype=np.uint64)
+        ones = np.ones(len(terms), np.int64)
+        found.append(fingerprint.likeness(*(fingerprint.signature(terms, w * ones) for w in (1, 2))))
+    assert abs(np.mean(found) - 0.5) < 0.02
+
+
+def test_inclusion_follows_its_probabilities(spark):
+    from pyspark.sql import functions as F
+
+    from siftwell.llm import mixing
+
+    rng = random.Random(3)
+    sizes = [rng.choice((2, 5, 40, 200)) for _ in range(4000)]
+    rows = [(k, " ".join(["w"] * n) + f" {k}", "aaabbc"[k % 6]) for k, n in enumerate(sizes)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string").cache()
+    sizes_of = mixing.sizes_of(docs)
+    plans = mixing._plans(sizes_of).withColumnRenamed("source", "s")
+    chances = {
+        (r.source, r.size): (r.whole, r.p)
+        for r in sizes_of.join(plans, F.col("source") == F.col("s"))
+        .select("source", "size", "whole", mixing.inclusion().alias("p"))
+        .distinct()
+        .collect()
+    }
+    assert len({p for _, p in chances.values()}) == 9 and all(0 <= p <= 1 for _, p in chances.values())
+    drawn, entered = Counter(), Counter()
+    for seed in range(10):
+        result = mixing.mix_sources(docs, f"seed {seed}").select("doc_id", "size", "taken").collect()
+        for r in result:
+            key = "aaabbc"[r.doc_id % 6], r.size
+            drawn[key] += 1
+            entered[key] += r.taken // r.size - chances[key][0]
+    for key, (_, p) in chances.items():
+        assert abs(entered[key] / drawn[key] - p) < 4 * (p * (1 - p) / drawn[key]) ** 0.5 + 0.01, key
+
+
 def test_mix_meets_targets(spark):
     rows = QUERIES["op5_mixing"](spark, FOLDER).collect()
     sources = {r.doc_id: r.source for r in spark.read.parquet(f"{FOLDER}/documents.parquet").collect()}

@@ -99,3 +99,27 @@ def test_chat_edges(spark):
     assert by[None] == [("user", "relabel"), ("assistant", "insert")]
     assert "< |x|>" in "".join(r.rendered for r in found if r.conv_id == 3)
     assert format_chats(turns.where(F.lit(False))).count() == 0
+
+
+def test_long_chat_and_empty_encode(spark, awkward):
+    turns = [(1, k, ("user", "assistant")[k % 2], "word " * 4000, 1, 1) for k in range(60)]
+    schema = "conv_id long, turn long, role string, text string, part int, n int"
+    found = format_chats(spark.createDataFrame(turns, schema)).collect()
+    assert len(found) == 60 and {r.action for r in found} == {"keep"}
+    empty = encode_documents(awkward.limit(0))
+    assert empty.count() == 0 and empty.columns == encode_documents(awkward).columns
+
+
+def test_pipeline_of_no_documents(spark, awkward, tmp_path):
+    import corpus_pipeline
+
+    awkward.limit(0).write.parquet(str(tmp_path / "documents.parquet"))
+    _labels(spark).write.parquet(str(tmp_path / "labels.parquet"))
+    found = corpus_pipeline.run(spark, str(tmp_path))
+    assert found.count() == 0 and {"doc_id", "text", "ids"} <= set(found.columns)
+
+
+def test_rows_that_differ_in_maps_only(spark):
+    rows = [(1, "a b", {"k": 2}), (1, "a b", {"k": 1}), (None, "c", None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, m map<string,int>")
+    assert sorted(r.m["k"] if r.m else 0 for r in drop_exact_duplicates(docs).collect()) == [0, 1]

@@ -35,3 +35,25 @@ def test_secrets_of_any_length(name, value):
 def test_base_spans_are_not_reported_again():
     assert linked("user=bob DB_PASSWORD=correcthorsebattery") == {"id": ["bob"], "secret": [], "endpoint": []}
     assert linked("user=bob pwd=short")["secret"] == []
+
+
+def test_long_dotted_runs_take_linear_time():
+    import time
+
+    lead = "user=abc pwd=secret1 "
+    started = time.perf_counter()
+    for text in (lead + "a." * 2_500_000, lead + "a." * 1_000_000 + "://x " * 10, lead + "1a.://" * 800_000):
+        spans = secrets.base_spans(text)
+        secrets.linked_spans(text, spans)
+    assert time.perf_counter() - started < 20
+
+
+def test_addresses_equal_the_plain_rule():
+    import random
+    import re
+
+    rule = re.compile(r"""\b([A-Za-z][A-Za-z0-9+.-]*://[^\s"'<>]+)""", re.ASCII)
+    rng = random.Random(9)
+    for _ in range(3000):
+        text = "".join(rng.choice(["a", "b1", ".", "+", "://", " ", "_", "9", "é", "/", ":"]) for _ in range(25))
+        assert secrets.addresses(text) == [m.span(1) for m in rule.finditer(text)], text
