@@ -3,6 +3,13 @@
 ``STAGES`` lists names and functions; each function takes the session, the documents so far and the
 folder of the tables, and returns a frame that is written as Parquet and read again for the next.
 All stages but the last return the columns of documents.
+
+Edge cases: null and empty texts are the empty text, which the classifier scores like any other
+and which the mix never takes; a null ``doc_id`` is kept like any other; rows equal in all columns
+count as one from the exact stage on; of equal or near texts with the same ``doc_id`` the lowest by
+the remaining columns stays; very long texts are read whole; extra columns are carried along,
+whatever their names, but for those that the encoding replaces; empty ``documents`` give an empty
+result of the same columns.
 """
 
 from __future__ import annotations
@@ -11,9 +18,9 @@ from pyspark.sql import DataFrame, SparkSession
 
 from siftwell.llm.exact_dedup import drop_exact_duplicates
 from siftwell.llm.mixing import mix
-from siftwell.llm.near_copies import drop_near_copies
 from siftwell.llm.pieces import encode_documents
 from siftwell.llm.quality import drop_low_quality
+from siftwell.llm.simhash import RADIUS, WORDS, drop_near_duplicates
 from siftwell.sources.workspace import materialize
 
 
@@ -28,8 +35,8 @@ def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies, by five-word shingles of similarity 0.8 or more."""
-    return drop_near_copies(docs)
+    """One document of each group whose fingerprints of three-word shingles link within three bits."""
+    return drop_near_duplicates(docs, RADIUS, WORDS)
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
