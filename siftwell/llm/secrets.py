@@ -88,7 +88,6 @@ def addresses(text: str) -> list[Span]:
     found: list[Span] = []
     done, at = 0, text.find("://")
     while at >= 0:
-        rest = ADDRESS.match(text, at)
         back, step = at, 64
         while back > done:
             piece = text[max(done, back - step) : back]
@@ -99,7 +98,8 @@ def addresses(text: str) -> list[Span]:
             step *= 2
         start = SCHEME_START.search(text, back, at)
         done = at + 3
-        if rest and start:
+        # What follows is read only where a scheme was found, and then never again.
+        if start and (rest := ADDRESS.match(text, at)):
             found.append((start.start(), rest.end()))
             done = rest.end()
         at = text.find("://", done)
