@@ -22,10 +22,12 @@ from siftwell.operators.nulls import (
 from siftwell.operators.outliers import OutlierDetector, OutlierModel
 from siftwell.operators.profile import ProfileResult, profile
 from siftwell.operators.score import quality_score
+from siftwell.operators.states import column_states, profile_states
 from siftwell.plans.config import RunConfig
 from siftwell.plans.quality_run import QualityRun, QualityRunModel
 from siftwell.sources import (
     cast_columns,
+    cast_failures,
     read_text_csv,
     write_csv,
     write_parquet,
@@ -47,6 +49,8 @@ __all__ = [
     "RunConfig",
     "TableCleaner",
     "cast_columns",
+    "cast_failures",
+    "column_states",
     "domain_reports",
     "drop_duplicate_rows",
     "drop_sparse_columns",
@@ -57,6 +61,7 @@ __all__ = [
     "normalize_nulls",
     "null_audit",
     "profile",
+    "profile_states",
     "quality_score",
     "read_text_csv",
     "sparse_columns",

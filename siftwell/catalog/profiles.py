@@ -17,6 +17,8 @@ from siftwell.functions.frequency import distinct_counts, value_frequencies
 from siftwell.operators.analytics import group_counts, hour_histogram, top_k, totals
 from siftwell.operators.contract import validate
 from siftwell.operators.profile import profile
+from siftwell.operators.states import column_states, profile_states
+from siftwell.sources import discard, work_path, write_parquet
 
 TYPES = {
     "o_orderkey": "LongType()",
@@ -265,6 +267,39 @@ def column_profile_top_values(spark, folder):
     return rows.select("column_name", (F.col("pos") + 1).alias("rank"), "top.value", "top.count")
 
 
+@query(
+    "profile_states_merged",
+    f"WITH {DIRTY_ORDERS} SELECT col_id, column_name, data_type, row_count, null_count, completeness_pct, "
+    f"min, max, min_text, max_text, mean, stddev FROM ({PROFILE})",
+)
+def profile_states_merged(spark, folder):
+    """States of two parts of a table, stored apart; together they are the profile of the whole."""
+    orders = dirty_orders(spark, folder)
+    paths = []
+    for part in (0, 1):
+        states = column_states(orders.where(F.col("o_orderkey") % 2 == part))
+        paths.append(work_path(spark, "states"))
+        write_parquet(states, paths[-1])
+    rows = pin(profile_states(spark.read.parquet(*paths), orders.schema.fields))
+    for path in paths:
+        discard(spark, path)
+    return rows.drop("distinct_count", "quantiles")
+
+
+@query(
+    "profile_integers_by_words",
+    per_column_sql(
+        ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber"],
+        "SELECT '{c}' AS column_name, count(DISTINCT {c}) AS distinct_count FROM lineitem",
+    ),
+)
+def profile_integers_by_words(spark, folder):
+    """Exact distinct counts of integers from words of bits."""
+    lines = table(spark, folder, "lineitem")
+    found = profile(lines.select("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber")).columns
+    return found.select("column_name", "distinct_count")
+
+
 TEXT_KEY = "CASE WHEN strlen({c}) > 120 THEN left({c}, 64) || sha256({c}) ELSE {c} END"
 
 

@@ -13,6 +13,7 @@ from siftwell.operators.cleaning import TableCleaner
 from siftwell.operators.nulls import normalize_nulls, null_audit
 from siftwell.sources import (
     cast_columns,
+    cast_failures,
     read_text_csv,
     work_path,
     write_csv,
@@ -88,3 +89,59 @@ def report_json_roundtrip(spark, folder):
     path = work_path(spark, "null-audit")
     write_report(report, path)
     return spark.read.schema(report.schema).json(path)
+
+
+def _broken_csv(spark, folder):
+    """Orders as CSV lines; prices with a stray letter, days that do not exist, missing and extra fields."""
+    every = lambda n: F.col("o_orderkey") % n == 0
+    price = F.concat(F.col("o_totalprice").cast("string"), F.when(every(10), "x").otherwise(""))
+    day = F.when(every(12), "2024-02-31").when(every(5), "").otherwise("2024-02-28")
+    line = F.concat_ws(",", F.col("o_orderkey").cast("string"), "o_orderstatus", price, day)
+    line = F.when(every(21), F.concat_ws(",", F.col("o_orderkey").cast("string"), "o_orderstatus")).when(
+        every(22), F.concat(line, F.lit(",more"))
+    ).otherwise(line)
+    path = work_path(spark, "broken-csv")
+    table(spark, folder, "orders").select(line.alias("value")).write.text(path)
+    return path
+
+
+BROKEN_TYPES = {"key": "bigint", "price": "double", "day": "date"}
+BROKEN_COLUMNS = ["key", "status", "price", "day"]
+BROKEN = """lines AS (
+  SELECT o_orderkey AS key, CASE WHEN o_orderkey % 21 = 0 THEN NULL
+      ELSE CAST(o_totalprice AS VARCHAR) || CASE WHEN o_orderkey % 10 = 0 THEN 'x' ELSE '' END END AS price,
+    CASE WHEN o_orderkey % 21 = 0 THEN NULL WHEN o_orderkey % 12 = 0 THEN '2024-02-31'
+      WHEN o_orderkey % 5 = 0 THEN NULL ELSE '2024-02-28' END AS day,
+    o_orderkey % 21 = 0 OR o_orderkey % 22 = 0 AS broken
+  FROM orders)"""
+
+
+@query(
+    "csv_cast_failures",
+    f"""WITH {BROKEN}
+    SELECT 'key' AS column_name, 'bigint' AS data_type, count(*) AS value_count, 0 AS failed_count FROM lines
+    UNION ALL SELECT 'price', 'double', count(price), count(*) FILTER (price LIKE '%x') FROM lines
+    UNION ALL SELECT 'day', 'date', count(day), count(*) FILTER (day = '2024-02-31') FROM lines""",
+)
+def csv_cast_failures(spark, folder):
+    """Values that a cast of the scanned text cannot read, by column."""
+    rows = read_text_csv(spark, _broken_csv(spark, folder), "line", BROKEN_COLUMNS)
+    return cast_failures(rows, BROKEN_TYPES).drop("least_failed")
+
+
+@query(
+    "csv_corrupt_records",
+    f"WITH {BROKEN} SELECT key, CASE WHEN broken THEN key END AS line_key FROM lines",
+)
+def csv_corrupt_records(spark, folder):
+    """Records with too few or too many fields keep their line; the others have none."""
+    rows = read_text_csv(spark, _broken_csv(spark, folder), "line", BROKEN_COLUMNS)
+    line_key = F.split_part("line", F.lit(","), F.lit(1)).cast("bigint")
+    return rows.select(F.col("key").cast("bigint"), line_key.alias("line_key"))
+
+
+@query("sink_balanced_roundtrip", f"WITH {FILLED_ORDERS} SELECT * FROM clean")
+def sink_balanced_roundtrip(spark, folder):
+    path = work_path(spark, "cleaned-balanced")
+    write_parquet(_cleaned(spark, folder), path, file_bytes=1 << 20)
+    return spark.read.parquet(path)

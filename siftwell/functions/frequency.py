@@ -185,6 +185,46 @@ def distinct_counts(freq: DataFrame) -> DataFrame:
     return freq.groupBy("col_id").agg(F.count_if(F.col("freq") > 0).alias("distinct_count"))
 
 
+def counts_by_words(field: T.StructField) -> bool:
+    """Whether distinct values of a column that is not ranked are counted by words of bits."""
+    return isinstance(field.dataType, T.IntegralType)
+
+
+def word_counts(df: DataFrame, fields: Sequence[T.StructField], only: Sequence[int]) -> DataFrame:
+    """``(col_id, distinct_count)`` of integer columns, without shuffling single values.
+
+    A value is a bit in a word of 64 neighbouring values; tasks send the words they met. Of a dense
+    column that is one row for up to 64 values, of a scattered one no more than its values.
+    """
+    if not only:
+        return df.sparkSession.createDataFrame([], "col_id int, distinct_count bigint")
+    cells = ", ".join(f"{i}, CAST({sql_name(fields[i].name)} AS BIGINT)" for i in only)
+    words = (
+        df.selectExpr(f"stack({len(only)}, {cells}) AS (col_id, num)")
+        .where(F.col("num").isNotNull())
+        .groupBy(F.coalesce("col_id", F.lit(-1)).alias("col_id"), F.expr("shiftright(num, 6)").alias("word"))
+        .agg(F.expr("bit_or(shiftleft(1L, CAST(num & 63L AS INT)))").alias("bits"))
+    )
+    return words.groupBy("col_id").agg(F.sum(F.bit_count("bits")).cast("bigint").alias("distinct_count"))
+
+
+def hll_size(relative_error: float) -> int:
+    """Logarithm of the registers of HyperLogLog sketches with a standard error."""
+    if not relative_error >= LEAST_SKETCH_ERROR:
+        raise ValueError(
+            f"no sketch has a standard error of {relative_error}; the least is "
+            f"{LEAST_SKETCH_ERROR:.2g}, count exactly below it"
+        )
+    return max(4, math.ceil(math.log2((1.04 / relative_error) ** 2)))
+
+
+def hll_value(field: T.StructField) -> str:
+    """SQL of what a sketch gets of a value: equal values have equal hashes, null stays null."""
+    value = sql_name(field.name)
+    plain = _json if isinstance(field.dataType, (T.MapType, T.VariantType)) else _without_minus_zero
+    return f"CASE WHEN {value} IS NOT NULL THEN xxhash64({plain(value, field.dataType)}) END"
+
+
 def approx_distinct_counts(
     df: DataFrame, fields: Sequence[T.StructField], relative_error: float
 ) -> DataFrame:
@@ -193,24 +233,11 @@ def approx_distinct_counts(
     ``relative_error`` is the standard error, at least ``LEAST_SKETCH_ERROR``. Sketches are merged
     in two levels, so that no task merges those of all tasks.
     """
-    if not relative_error >= LEAST_SKETCH_ERROR:
-        raise ValueError(
-            f"no sketch has a standard error of {relative_error}; the least is "
-            f"{LEAST_SKETCH_ERROR:.2g}, count exactly below it"
-        )
-    log_k = max(4, math.ceil(math.log2((1.04 / relative_error) ** 2)))
+    log_k = hll_size(relative_error)
     parts = []
     for start in range(0, len(fields), COLUMNS_PER_PASS):
         chunk = range(start, min(start + COLUMNS_PER_PASS, len(fields)))
-        sketches = []
-        for i in chunk:
-            value = sql_name(fields[i].name)
-            if isinstance(fields[i].dataType, (T.MapType, T.VariantType)):
-                value = _json(value, fields[i].dataType)
-            else:
-                value = _without_minus_zero(value, fields[i].dataType)
-            hashed = f"CASE WHEN {sql_name(fields[i].name)} IS NOT NULL THEN xxhash64({value}) END"
-            sketches.append(F.expr(f"hll_sketch_agg({hashed}, {log_k}) AS s{i}"))
+        sketches = [F.expr(f"hll_sketch_agg({hll_value(fields[i])}, {log_k}) AS s{i}") for i in chunk]
         merged = stacked_sketches(df.groupBy(merge_group()).agg(*sketches), chunk)
         parts.append(merged.groupBy("col_id").agg(F.expr("hll_union_agg(sketch)").alias("sketch")))
     every = reduce(DataFrame.unionByName, parts)

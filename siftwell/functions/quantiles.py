@@ -14,7 +14,7 @@ from __future__ import annotations
 
 import decimal
 import math
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Window
@@ -66,7 +66,7 @@ def sql_number(value: Number | None, dtype: T.DataType) -> str:
     return sql_double(value)
 
 
-def _ranked(name: str, dtype: T.DataType) -> str:
+def ranked_value(name: str, dtype: T.DataType) -> str:
     """SQL of a column in the type it is compared in, with NaN as null: neither takes a rank."""
     if is_whole(dtype):
         return f"CAST({sql_name(name)} AS BIGINT)"
@@ -152,7 +152,7 @@ class _Search:
     @property
     def inside(self) -> str:
         """SQL of the value if it lies strictly inside the bracket, else null."""
-        value = _ranked(self.column, self.dtype)
+        value = ranked_value(self.column, self.dtype)
         tests = [f"{value} IS NOT NULL"]
         if self.lo is not None:
             tests.append(f"{value} > {self.literal(self.lo)}")
@@ -190,8 +190,30 @@ class _Search:
         return self.empty or self.answer is not None
 
 
-def _propose(df: DataFrame, searches: list[_Search]) -> list[tuple[Number, Number] | None]:
+def sketched_ranks(probabilities: Sequence[float], relative_error: float) -> tuple[list[float], float]:
+    """Ranks, and their error, that :func:`quantiles` wants of sketches made elsewhere."""
+    if is_exact(relative_error):
+        ends = [(max(0.0, p - BRACKET_MARGIN), min(1.0, p + BRACKET_MARGIN)) for p in probabilities]
+        return [r for pair in ends for r in pair], BRACKET_MARGIN
+    return list(probabilities), relative_error
+
+
+def is_exact(relative_error: float) -> bool:
+    return relative_error == 0 or sketch_size(relative_error) is None
+
+
+def _propose(
+    df: DataFrame, searches: list[_Search], sketched: Mapping[str, list[Number]]
+) -> list[tuple[Number, Number] | None]:
     first = searches[0].inner is None
+    if first and all(s.column in sketched for s in searches):
+        brackets, at = [], {}
+        for s in searches:
+            i = at[s.column] = at.get(s.column, -1) + 1
+            ends = sketched[s.column][2 * i : 2 * i + 2]
+            s.empty = not ends
+            brackets.append((s.bound(ends[0]), s.bound(ends[1])) if ends else None)
+        return brackets
     if first:
         # All probabilities of a column share the column's sketch.
         names = list(dict.fromkeys(s.column for s in searches))
@@ -277,13 +299,16 @@ def _rank_inside(df: DataFrame, searches: list[_Search]) -> None:
 
 
 def exact_quantiles(
-    df: DataFrame, fields: Sequence[T.StructField], probabilities: Sequence[float]
+    df: DataFrame,
+    fields: Sequence[T.StructField],
+    probabilities: Sequence[float],
+    sketched: Mapping[str, list[Number]],
 ) -> dict[str, list[Number]]:
     searches = [_Search(f.name, f.dataType, p, fraction=p) for f in fields for p in probabilities]
     needed = df.select(*[col(f.name) for f in fields])
     pending = searches
     while pending:
-        brackets = _propose(needed, pending)
+        brackets = _propose(needed, pending, sketched)
         active = [(s, b) for s, b in zip(pending, brackets) if not s.empty]
         for start in range(0, len(active), SEARCHES_PER_PASS):
             chunk = active[start : start + SEARCHES_PER_PASS]
@@ -310,9 +335,13 @@ def quantiles(
     columns: Sequence[str],
     probabilities: Sequence[float],
     relative_error: float = 0.01,
+    sketched: Mapping[str, list[Number]] | None = None,
 ) -> dict[str, list[Number]]:
     """Quantiles per numeric column; ``[]`` for all-null columns.
 
+    ``sketched`` may hold, for each column, what sketches of the same table gave for the ranks of
+    :func:`sketched_ranks` (``[]`` without values); that saves a scan.
+
     The ``p`` quantile is the smallest value whose share of rows at or below it is at least
     ``p``. Nulls and NaN take no rank. ``relative_error=0`` is exact, as is any error that is
     too small for a sketch. Results are elements of the data in the column's own type (integers as
@@ -325,12 +354,15 @@ def quantiles(
     if relative_error < 0:
         raise ValueError("relative_error must not be negative")
     types = {f.name: f.dataType for f in df.schema.fields}
-    if relative_error == 0 or sketch_size(relative_error) is None:
-        return exact_quantiles(df, [T.StructField(c, types[c]) for c in columns], probabilities)
+    known = sketched if sketched and all(c in sketched for c in columns) else {}
+    if is_exact(relative_error):
+        return exact_quantiles(df, [T.StructField(c, types[c]) for c in columns], probabilities, known)
+    if known:
+        return {c: known[c] for c in columns}
     values = [
         f"CAST({sql_name(c)} AS DOUBLE)"
         if isinstance(types[c], T.DecimalType)
-        else _ranked(c, types[c])
+        else ranked_value(c, types[c])
         for c in columns
     ]
     whole = [is_whole(types[c]) for c in columns]

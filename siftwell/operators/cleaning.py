@@ -6,7 +6,7 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from typing import Any
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from siftwell.functions.columns import col, find_fields
@@ -32,8 +32,12 @@ class CleaningModel:
         """All steps but the deduplication: no shuffle."""
         return self.imputation.transform(self.cleaner.usable_rows(self.normalized(df), self.kept_columns))
 
-    def transform(self, df: DataFrame) -> DataFrame:
-        return drop_duplicate_rows(self.prepared(df), self.cleaner.keys, self.cleaner.order_by)
+    def transform(self, df: DataFrame, seen: Observation | None = None) -> DataFrame:
+        """The cleaned table; ``seen`` observes ``row_count``, the rows before deduplication."""
+        rows = self.prepared(df)
+        if seen is not None:
+            rows = rows.observe(seen, F.count(F.lit(1)).alias("row_count"))
+        return drop_duplicate_rows(rows, self.cleaner.keys, self.cleaner.order_by)
 
     def null_audit_before(self, df: DataFrame) -> DataFrame:
         return null_audit(self.normalized(df))
@@ -101,11 +105,13 @@ class TableCleaner:
         null_counts: Mapping[str, int] | None = None,
         row_count: int | None = None,
         modes: Mapping[str, Column | None] | None = None,
+        sketched: Mapping[str, list] | None = None,
     ) -> CleaningModel:
         """Learn dropped columns and fill values.
 
-        ``null_counts``, ``row_count`` (after marker normalisation) and ``modes`` may be handed
-        in. Modes are ignored when sparse rows are dropped, as they must be taken afterwards.
+        ``null_counts``, ``row_count`` (after marker normalisation), ``modes`` and ``sketched``
+        medians may be handed in. The last two are ignored when sparse rows are dropped, as they
+        must be taken afterwards.
         """
         imputer = Imputer(self.strategies, self.fill_values, self.relative_error)
         normalized = normalize_nulls(df, self.null_markers, self.nan_is_null)
@@ -122,9 +128,9 @@ class TableCleaner:
         kept = tuple(c for c in df.columns if c not in dropped)
         usable = self.usable_rows(normalized, kept)
         if self.drop_row_threshold is not None:
-            null_counts, modes = count_nulls(usable), None
+            null_counts, modes, sketched = count_nulls(usable), None, None
         return CleaningModel(
-            self, row_count, kept, dropped, imputer.fit(usable, null_counts, modes)
+            self, row_count, kept, dropped, imputer.fit(usable, null_counts, modes, sketched)
         )
 
     def fit_transform(self, df: DataFrame) -> DataFrame:

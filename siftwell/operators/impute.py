@@ -86,8 +86,9 @@ class Imputer:
 
     ``strategies`` maps columns to one of :data:`STRATEGIES`; other columns take the median if
     numeric, else the mode. ``fill_values`` holds the constants. Columns without nulls are left
-    alone. Statistics of all columns come from at most three jobs: one aggregate, one
-    frequency table, one set of quantile sketches.
+    alone. Statistics of all columns come from one aggregate, one frequency table and one set of
+    quantile sketches; exact medians (``relative_error=0``) add an aggregate and, for each type of
+    number, a ranking of few rows.
     """
 
     strategies: Mapping[str, str] | None = None
@@ -111,10 +112,12 @@ class Imputer:
         df: DataFrame,
         null_counts: Mapping[str, int] | None = None,
         modes: Mapping[str, Column | None] | None = None,
+        sketched: Mapping[str, list] | None = None,
     ) -> ImputeModel:
         """Compute fill values.
 
-        ``null_counts`` and ``modes`` may be handed in by a caller that already has them.
+        ``null_counts``, ``modes`` and what sketches gave for the medians (``sketched``, see
+        :func:`siftwell.functions.quantiles.quantiles`) may be handed in by a caller that has them.
         """
         strategy = self.strategy_of(df)
         if null_counts is None:
@@ -128,7 +131,7 @@ class Imputer:
 
         found: dict[str, Column | None] = {}
         found.update(self._means(df, [f for f in wanting("mean") if f.name in numeric]))
-        found.update(self._medians(df, [f for f in wanting("median") if f.name in numeric]))
+        found.update(self._medians(df, [f for f in wanting("median") if f.name in numeric], sketched))
         given = modes or {}
         found.update({f.name: given[f.name] for f in wanting("mode") if f.name in given})
         found.update(find_modes(df, [f for f in wanting("mode") if f.name not in given]))
@@ -164,8 +167,8 @@ class Imputer:
             for i, f in enumerate(fields)
         }
 
-    def _medians(self, df: DataFrame, fields: list[T.StructField]) -> dict[str, Column | None]:
-        found = quantiles(df, [f.name for f in fields], [0.5], self.relative_error)
+    def _medians(self, df: DataFrame, fields: list[T.StructField], sketched) -> dict[str, Column | None]:
+        found = quantiles(df, [f.name for f in fields], [0.5], self.relative_error, sketched)
         return {
             f.name: _number(found[f.name][0], f.dataType) if found[f.name] else None
             for f in fields

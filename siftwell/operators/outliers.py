@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -29,6 +29,10 @@ BOUNDS_SCHEMA = (
     "column_name string, method string, lower_bound double, upper_bound double, "
     "degenerate boolean, status string"
 )
+SUMMARY_SCHEMA = (
+    "column_name string, method string, action string, lower_bound double, upper_bound double, "
+    "outlier_count bigint, degenerate boolean, status string"
+)
 
 
 @dataclass(frozen=True)
@@ -72,11 +76,15 @@ class OutlierModel:
     def checked(self) -> list[Fence]:
         return [f for f in self.fences if f.lower is not None]
 
-    def _kept(self) -> Column:
+    @property
+    def kept_sql(self) -> str:
         """Rows that ``remove`` keeps: no checked value may be an outlier or, by default, null."""
         keep = str(self.keep_nulls).lower()
         tests = [f"coalesce(NOT {f.is_outlier}, {keep})" for f in self.checked]
-        return F.expr(" AND ".join(tests or ["true"]))
+        return " AND ".join(tests or ["true"])
+
+    def _kept(self) -> Column:
+        return F.expr(self.kept_sql)
 
     def transform(self, df: DataFrame) -> DataFrame:
         """Apply the action: one projection or one filter, lazy, no shuffle."""
@@ -101,24 +109,45 @@ class OutlierModel:
         ]
         return literal_rows(spark, records, BOUNDS_SCHEMA)
 
+    def _record(self, fence: Fence, count: str) -> str:
+        return (
+            f"struct({sql_text(fence.column)} AS column_name, '{self.method}' AS method, "
+            f"'{self.action}' AS action, round({sql_double(fence.lower)}, 4) AS lower_bound, "
+            f"round({sql_double(fence.upper)}, 4) AS upper_bound, CAST({count} AS BIGINT) AS outlier_count, "
+            f"{fence.limits})"
+        )
+
     def summary(self, df: DataFrame) -> DataFrame:
         """``outlier_summary`` report: rounded fences and outlier counts, from one aggregate."""
         if not self.fences:
-            return df.sparkSession.createDataFrame(
-                [],
-                "column_name string, method string, action string, lower_bound double, "
-                "upper_bound double, outlier_count bigint, degenerate boolean, status string",
-            )
-        records = []
-        for f in self.fences:
-            count = "CAST(NULL AS BIGINT)" if f.lower is None else f"count_if({f.is_outlier})"
-            records.append(
-                f"struct({sql_text(f.column)} AS column_name, '{self.method}' AS method, "
-                f"'{self.action}' AS action, round({sql_double(f.lower)}, 4) AS lower_bound, "
-                f"round({sql_double(f.upper)}, 4) AS upper_bound, {count} AS outlier_count, "
-                f"{f.limits})"
-            )
-        return one_row_per_column(df, records)
+            return df.sparkSession.createDataFrame([], SUMMARY_SCHEMA)
+        counts = ["NULL" if f.lower is None else f"count_if({f.is_outlier})" for f in self.fences]
+        return one_row_per_column(df, [self._record(f, c) for f, c in zip(self.fences, counts)])
+
+    def counted_summary(self, spark: SparkSession, counts: Mapping[str, int]) -> DataFrame:
+        """The same report from outlier counts by column that are known already."""
+        known = [F.expr(self._record(f, str(counts.get(f.column, "NULL")))) for f in self.fences]
+        return literal_rows(spark, known, SUMMARY_SCHEMA)
+
+    def outcome(self, df: DataFrame) -> list[tuple[str, str, str]]:
+        """Name, SQL over ``df`` and outlier test (SQL or empty) of every column of the result.
+
+        After ``remove``, values of removed rows are null.
+        """
+        fences = {f.column: f for f in self.checked}
+        test = {c: f.is_outlier for c, f in fences.items()}
+        kept = self.kept_sql
+        out = []
+        for name in df.columns:
+            value = sql_name(name)
+            if self.action == "cap" and name in fences:
+                value = fences[name].clipped
+            if self.action == "remove":
+                value = f"CASE WHEN {kept} THEN {value} END"
+            out.append((name, value, test.get(name, "")))
+        if self.action == "flag":
+            out += [(f.column + FLAG_SUFFIX, f.is_outlier, "") for f in self.checked]
+        return out
 
     def removal_counts(self, df: DataFrame) -> DataFrame:
         """One row: rows before, after and removed by the ``remove`` action."""

@@ -18,11 +18,13 @@ from siftwell.functions.columns import (
 )
 from siftwell.functions.frequency import (
     approx_distinct_counts,
+    counts_by_words,
     distinct_counts,
     top_values,
     value_frequencies,
     value_text,
     with_full_texts,
+    word_counts,
 )
 from siftwell.operators.contract import Contract, validate
 from siftwell.operators.nulls import percent
@@ -31,41 +33,49 @@ from siftwell.operators.score import quality_score
 TOP_VALUES = 3
 
 
+def stats_record(
+    i: int, f: T.StructField, value: str, rows: str = "count(*)", more: Sequence[str] = ()
+) -> str:
+    """SQL of the aggregate struct of a column: counts, range and moments of ``value``.
+
+    ``min_text`` and ``max_text`` have all digits of integers and decimals. ``rows`` is SQL of the
+    number of rows, ``more`` further fields.
+    """
+    moment = lambda f_: f"CAST({f_}({value}) AS DOUBLE)"
+    if not is_numeric(f.dataType):
+        moment = lambda f_: "CAST(NULL AS DOUBLE)"
+    # Doubles hold no more than 15 digits of these.
+    exact = lambda f_: f"CAST({f_}({value}) AS STRING)"
+    if not isinstance(f.dataType, (T.IntegralType, T.DecimalType)):
+        exact = lambda f_: "CAST(NULL AS STRING)"
+    record = [
+        f"{i} AS col_id",
+        f"{sql_text(f.name)} AS column_name",
+        f"{sql_text(str(f.dataType))} AS data_type",
+        f"{str(f.nullable).lower()} AS nullable",
+        f"{rows} AS row_count",
+        f"{rows} - count({value}) AS null_count",
+        f"{moment('min')} AS min",
+        f"{moment('max')} AS max",
+        f"{exact('min')} AS min_text",
+        f"{exact('max')} AS max_text",
+        f"{moment('avg')} AS mean",
+        f"{moment('stddev_samp')} AS stddev",
+        *more,
+    ]
+    return f"struct({', '.join(record)})"
+
+
 def column_stats(df: DataFrame, usable: Mapping[str, str] | None = None) -> DataFrame:
     """Counts, range and moments of every column from one aggregate, one row per column.
 
-    ``min_text`` and ``max_text`` have all digits of integers and decimals.
-
     ``usable`` adds ``usable_count``, the non-null count of another form (SQL) of each column,
     such as the one without null markers.
     """
     records = []
     for i, f in enumerate(df.schema.fields):
-        value = sql_name(f.name)
-        moment = lambda f_: f"CAST({f_}({value}) AS DOUBLE)"
-        if not is_numeric(f.dataType):
-            moment = lambda f_: "CAST(NULL AS DOUBLE)"
-        # Doubles hold no more than 15 digits of these.
-        exact = lambda f_: f"CAST({f_}({value}) AS STRING)"
-        if not isinstance(f.dataType, (T.IntegralType, T.DecimalType)):
-            exact = lambda f_: "CAST(NULL AS STRING)"
-        record = [
-            f"{i} AS col_id",
-            f"{sql_text(f.name)} AS column_name",
-            f"{sql_text(str(f.dataType))} AS data_type",
-            f"{str(f.nullable).lower()} AS nullable",
-            "count(*) AS row_count",
-            f"count(*) - count({value}) AS null_count",
-            f"{moment('min')} AS min",
-            f"{moment('max')} AS max",
-            f"{exact('min')} AS min_text",
-            f"{exact('max')} AS max_text",
-            f"{moment('avg')} AS mean",
-            f"{moment('stddev_samp')} AS stddev",
-        ]
-        if usable is not None:
-            record.append(f"count({usable[f.name]}) AS usable_count")
-        records.append(f"struct({', '.join(record)})")
+        more = [] if usable is None else [f"count({usable[f.name]}) AS usable_count"]
+        records.append(stats_record(i, f, sql_name(f.name), more=more))
     return one_row_per_column(df, records)
 
 
@@ -154,9 +164,12 @@ def profile(
     distinct: str = "exact",
     approx_rsd: float = 0.05,
     uniqueness: str = "nonempty",
+    stats: DataFrame | None = None,
 ) -> ProfileResult:
     """Profile a table in few scans whatever its width; every report stays lazy.
 
+    ``stats`` may hold the rows of :func:`column_stats` of this table, if they are known.
+
     ``distinct="approx"`` estimates distinct counts by HyperLogLog with a standard error of
     ``approx_rsd``. Then only the values of non-numeric columns are shuffled, for the top values.
     """
@@ -166,21 +179,24 @@ def profile(
     other = [i for i, f in enumerate(fields) if not is_numeric(f.dataType)]
     if distinct == "approx":
         counts = approx_distinct_counts(df, fields, approx_rsd)
-        counted, ranked = [fields[i] for i in other], range(len(other))
+        counted = other
     else:
-        counted, ranked = fields, other
+        by_words = [i for i, f in enumerate(fields) if counts_by_words(f)]
+        counts = word_counts(df, fields, by_words)
+        counted = [i for i in range(len(fields)) if i not in by_words]
     if counted:
-        freq = value_frequencies(df, counted)
+        freq = value_frequencies(df, fields, counted)
         if distinct == "exact":
-            counts = distinct_counts(freq)
-        chosen = top_values(freq, TOP_VALUES, only=ranked)
-        top = top_value_rows(with_full_texts(chosen, df, counted), counted)
+            own = distinct_counts(freq)
+            counts = own.unionByName(counts) if by_words else own
+        chosen = top_values(freq, TOP_VALUES, only=other)
+        top = top_value_rows(with_full_texts(chosen, df, fields), fields)
     else:
         top = df.sparkSession.createDataFrame(
             [], "column_name string, rank int, value string, count bigint"
         )
     return ProfileResult(
-        columns=build_columns(column_stats(df), counts, top),
+        columns=build_columns(column_stats(df) if stats is None else stats, counts, top),
         top_values=top,
         issues=validate(df, Contract.of(contract)),
         shape=df.agg(F.count("*").alias("total_rows")).withColumn(

@@ -1,16 +1,26 @@
 """Profile, clean, treat outliers and profile again.
 
-The number of passes over the data does not depend on the number of columns:
-
-1. one aggregate over the raw table: profile statistics, contract null checks and the null
-   counts that remain after marker normalisation;
-2. one frequency table over the raw table: distinct counts, top values, and the modes for
-   imputation (ranked apart from the null markers);
-3. one set of sketches for the medians that imputation needs;
-4. the cleaned table is written to the shared folder (the deduplication shuffle happens here);
-5. one set of sketches (or one aggregate) for the outlier fences;
-6. one aggregate for outlier counts, one for the statistics of the result;
-7. one frequency table over the result.
+The number of passes over the data does not depend on the number of columns. The raw table is read
+three times:
+
+1. one aggregate: profile statistics, null counts that remain after marker normalisation, the
+   sketches for the medians that imputation needs and, where they are estimated, for distinct
+   counts;
+2. one frequency table: distinct counts, top values, and the modes for imputation (ranked apart
+   from the null markers); integers that are not ranked are counted by words of bits, which reads
+   their columns apart;
+3. the cleaned table is written to the shared folder (the deduplication shuffle happens here, and
+   the rows that enter it are counted on the way).
+
+So is the cleaned one:
+
+4. one set of sketches, or one aggregate, for the outlier fences;
+5. one aggregate: outlier and removal counts, remaining nulls, and the statistics of the result;
+6. one frequency table over the result, as in 2.
+
+Exact quantiles (``relative_error=0``) add a check and a ranking to passes 1 and 4; dropped sparse
+rows, after which medians and modes must be taken, add a count of nulls, sketches and frequencies;
+estimated distinct counts add their sketches to pass 6.
 """
 
 from __future__ import annotations
@@ -20,27 +30,29 @@ from collections.abc import Mapping
 from dataclasses import dataclass, field
 from typing import Any
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation, Row
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from siftwell.functions.columns import is_float, is_numeric, pin
+from siftwell.functions.columns import is_float, is_numeric, one_row_per_column, pin, sql_name
 from siftwell.functions.frequency import (
     KEYS,
-    approx_distinct_counts,
+    counts_by_words,
     decode_row,
     distinct_counts,
     top_values,
     value_frequencies,
     value_text,
     with_full_texts,
+    word_counts,
 )
+from siftwell.functions.quantiles import sketched_ranks
 from siftwell.operators.cleaning import CleaningModel
 from siftwell.operators.contract import Contract, validate
+from siftwell.operators.impute import Imputer
 from siftwell.operators.nulls import (
     DEFAULT_NULL_MARKERS,
     markers_for,
-    null_audit,
     percent,
     without_markers,
 )
@@ -52,8 +64,10 @@ from siftwell.operators.profile import (
     column_stats,
     pinned_profile,
     profile,
+    stats_record,
     top_value_rows,
 )
+from siftwell.operators.states import as_stats, column_states, merged, sketched_quantiles
 from siftwell.plans.config import RunConfig
 from siftwell.sources.sinks import write_reports
 from siftwell.sources.workspace import discard, materialize
@@ -150,16 +164,20 @@ class QualityRun:
             null_counts={r["column_name"]: r["row_count"] - r["usable_count"] for r in counted},
             row_count=counted[0]["row_count"],
             modes=modes,
+            sketched=self._sketched(counted),
         )
 
-        cleaned, work_table = cleaning.transform(df), None
+        seen = Observation() if config.materialize else None
+        cleaned, work_table = cleaning.transform(df, seen), None
         if config.materialize:
             cleaned, work_table = materialize(cleaned, "cleaned")
         try:
             outliers = detector.fit(cleaned)
             result = outliers.transform(cleaned)
-            after = self._profile_after(result)
-            reports = self._reports(df, stats, cleaning, outliers, cleaned, before, after)
+            counts = self._counts_after(cleaned, result, outliers)
+            after = self._profile_after(result, counts)
+            rows_in = seen.get["row_count"] if seen else cleaning.prepared(df).count()
+            reports = self._reports(df, stats, cleaning, rows_in, outliers, counts, before, after)
             for phase, folder in (
                 ("pre", config.pre_profile_output),
                 ("post", config.post_profile_output),
@@ -184,12 +202,34 @@ class QualityRun:
         return list(DEFAULT_NULL_MARKERS if given is None else given)
 
     def _stats(self, df: DataFrame) -> DataFrame:
-        """Pass 1."""
+        """Pass 1, one row per column; with sketched quantiles and estimated distinct counts."""
         usable = {
             f.name: without_markers(f, self._markers(), self.config.nan_is_null)
             for f in df.schema.fields
         }
-        return pin(column_stats(df, usable))
+        strategy = Imputer(self.config.imputation_strategies).strategy_of(df)
+        medians = {
+            f.name for f in df.schema.fields if is_numeric(f.dataType) and strategy[f.name] == "median"
+        }
+        if self.config.drop_row_threshold is not None:
+            medians = set()
+        rsd = self.config.approx_rsd if self.config.distinct == "approx" else None
+        if not medians and rsd is None:
+            return pin(column_stats(df, usable))
+        ranks, error = sketched_ranks([0.5], self.config.relative_error)
+        states = merged(column_states(df, usable, medians, error, rsd), df.schema.fields, error, rsd)
+        estimated = F.expr("hll_sketch_estimate(hll)") if rsd else F.lit(None).cast("bigint")
+        found = states.select("*", estimated.alias("distinct_count"), *sketched_quantiles(ranks))
+        sketched = F.col("column_name").isin(list(medians)).alias("sketched")
+        extra = ("distinct_count", "whole_q", "real_q", sketched)
+        return pin(as_stats(found, *extra))
+
+    @staticmethod
+    def _sketched(stats: list[Row]) -> dict[str, list]:
+        """What the sketches of pass 1 gave, by column."""
+        if not stats or "sketched" not in stats[0]:
+            return {}
+        return {r["column_name"]: r["whole_q"] or r["real_q"] or [] for r in stats if r["sketched"]}
 
     def _is_missing(self, fields: list[T.StructField]) -> Column:
         """Whether a frequency row's value counts as missing once markers are normalised."""
@@ -215,15 +255,16 @@ class QualityRun:
         wanted = sorted(set(other) | self._numeric_modes(df))
         # With estimated distinct counts, only columns whose values are ranked are shuffled.
         approx = self.config.distinct == "approx"
-        counted = wanted if approx else range(len(fields))
+        by_words = [i for i, f in enumerate(fields) if counts_by_words(f) and i not in wanted]
+        counted = wanted if approx else [i for i in range(len(fields)) if i not in by_words]
         freq = value_frequencies(df, fields, counted)
         ranked = top_values(
             freq.withColumn("missing", self._is_missing(fields)), TOP_VALUES, wanted, ["missing"]
         )
         ranked = with_full_texts(ranked, df, fields)
-        counts = (
-            approx_distinct_counts(df, fields, self.config.approx_rsd) if approx else distinct_counts(freq)
-        )
+        counts = stats if approx else distinct_counts(freq)
+        if by_words and not approx:
+            counts = counts.unionByName(word_counts(df, fields, by_words))
         found = pin(
             ranked.select(*KEYS, "freq", "missing", "rank", F.lit(None).cast("bigint").alias("distinct_count"))
             .unionByName(counts.select("col_id", "distinct_count"), allowMissingColumns=True)
@@ -240,16 +281,36 @@ class QualityRun:
         contract = Contract.of(self.config.expected_schema)
         nulls = {r["column_name"]: r["null_count"] for r in stats.collect()}
         issues = validate(df, contract, nulls)
-        columns = pin(build_columns(stats, distinct, top))
+        columns = pin(build_columns(stats.drop("distinct_count"), distinct, top))
         return pinned_profile(columns, issues, self.config.uniqueness), modes
 
-    def _profile_after(self, result: DataFrame) -> ProfileResult:
+    def _counts_after(self, cleaned: DataFrame, result: DataFrame, outliers: OutlierModel) -> DataFrame:
+        """Pass 5: statistics of the result, outlier counts, and nulls and rows before removals."""
+        fields = {f.name: f for f in result.schema.fields}
+        own = set(cleaned.columns)
+        removes = outliers.action == "remove"
+        rows = f"count_if({outliers.kept_sql})" if removes else "count(*)"
+        records = []
+        for i, (name, value, test) in enumerate(outliers.outcome(cleaned)):
+            nulls = f"count(*) - count({sql_name(name)})" if name in own else "CAST(NULL AS BIGINT)"
+            more = [
+                f"{f'count_if({test})' if test else 'CAST(NULL AS BIGINT)'} AS outlier_count",
+                f"{nulls} AS nulls_before",
+                "count(*) AS rows_before",
+            ]
+            records.append(stats_record(i, fields[name], value, rows, more))
+        return pin(one_row_per_column(cleaned, records))
+
+    def _profile_after(self, result: DataFrame, counts: DataFrame) -> ProfileResult:
         found = profile(
-            result, distinct=self.config.distinct, approx_rsd=self.config.approx_rsd
+            result,
+            distinct=self.config.distinct,
+            approx_rsd=self.config.approx_rsd,
+            stats=counts.drop("outlier_count", "nulls_before", "rows_before"),
         )
         columns = pin(found.columns)
         contract = Contract.of(self.config.expected_schema if self.config.validate_after else None)
-        nulls = {r["column_name"]: r["null_count"] for r in columns.collect()}
+        nulls = {r["column_name"]: r["null_count"] for r in counts.collect()}
         return pinned_profile(columns, validate(result, contract, nulls), self.config.uniqueness)
 
     def _numeric_modes(self, df: DataFrame) -> set[int]:
@@ -257,27 +318,23 @@ class QualityRun:
         named = {c for c, s in strategies.items() if s == "mode"}
         return {i for i, f in enumerate(df.schema.fields) if f.name in named and is_numeric(f.dataType)}
 
-    def _reports(self, df, stats, cleaning, outliers, cleaned, before, after):
+    def _reports(self, df, stats, cleaning, rows_in, outliers, counts, before, after):
         audit_before = stats.selectExpr(
             "column_name",
             "row_count - usable_count AS null_count",
             f"{percent('row_count - usable_count', 'row_count')} AS null_pct",
             "row_count",
         )
-        removed = 0
-        if outliers.action == "remove":
-            audit_after = pin(null_audit(cleaned))
-            removed = outliers.removal_counts(cleaned).first()["rows_removed"]
-        else:
-            # Flags and caps leave rows and nulls as they are.
-            audit_after = after.columns.where(F.col("column_name").isin(cleaned.columns)).select(
-                "column_name", "null_count", "null_pct", "row_count"
-            )
-        audited = audit_after.collect()
-        rows_after = audited[0]["row_count"] if audited else 0
-        rows_in = cleaning.row_count
-        if self.config.drop_row_threshold is not None:
-            rows_in = cleaning.prepared(df).count()
+        audit_after = counts.where(F.col("nulls_before").isNotNull()).selectExpr(
+            "column_name",
+            "nulls_before AS null_count",
+            f"{percent('nulls_before', 'rows_before')} AS null_pct",
+            "rows_before AS row_count",
+        )
+        counted = counts.collect()
+        rows_after = counted[0]["rows_before"] if counted else 0
+        removed = rows_after - counted[0]["row_count"] if counted else 0
+        found = {r["column_name"]: r["outlier_count"] for r in counted if r["outlier_count"] is not None}
 
         # One local row to select literals from, without a job.
         one = df.sparkSession.sql("VALUES (0)")
@@ -302,7 +359,7 @@ class QualityRun:
             "imputation_plan": cleaning.imputation_plan(df),
             "cleaning_summary": summary,
             "null_audit_after": audit_after,
-            "outlier_summary": pin(outliers.summary(cleaned)),
+            "outlier_summary": pin(outliers.counted_summary(df.sparkSession, found)),
             "post_column_profile": after.columns,
             "post_schema_issues": after.issues,
             "post_quality_score": post_score,
