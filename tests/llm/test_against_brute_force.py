@@ -470,6 +470,91 @@ def test_lm_probabilities_add_up_to_one(spark):
     assert counts.where(f"n >= {least}").count() <= 40
 
 
+def test_lm_counts_and_scores_equal_plain_python(spark, texts):
+    """Counts, gates, mixing, refinement and learning within a document, bit by bit."""
+    lm = mixing_lm
+    docs = spark.read.parquet(f"{FOLDER}/documents.parquet").where("doc_id < 60")
+    _, model, _ = lm.fit(docs, 500)
+    code, limit = model.code, lm.LIMIT
+    mask = (1 << 64) - 1
+
+    def mix(v):
+        v = ((v ^ (v >> 30)) * 0xBF58476D1CE4E5B9) & mask
+        v = ((v ^ (v >> 27)) * 0x94D049BB133111EB) & mask
+        return v ^ (v >> 31)
+
+    def bits(codes):
+        """``(token, node, bit, slots)`` of every bit of a document."""
+        for k, c in enumerate(codes):
+            one = codes[k - 1] if k > 0 else -1
+            two = codes[k - 2] if k > 1 else -1
+            common = next((x for x in reversed(codes[:k]) if x < lm.COMMON), -1)
+            base = 1 << 40
+            around = [mix(x & mask) for x in (one + base, one + two * base, common + 3 * base)]
+            for at in range(code.start[c], code.start[c] + code.length[c]):
+                node = int(code.node[at])
+                spread = (node * 0x9E3779B97F4A7C15) & mask
+                slots = [((h ^ spread) * 0xD6E8FEB86659FD93 & mask) >> (64 - lm.SLOT_BITS) for h in around]
+                yield k, node, int(code.bit[at]), slots
+
+    rows = {d: [int(c) for c in code.codes(lm.tokens(t.encode()))] for d, t in texts.items() if d < 60}
+    counts = [Counter() for _ in range(lm.CONTEXTS)]
+    for d, codes in rows.items():
+        if zlib.crc32(str(d).encode()) % 7 != 2:
+            for _, _, bit, slots in bits(codes):
+                for c, slot in enumerate(slots):
+                    counts[c][slot, bit] += 1
+
+    def odds_of(zeros, ones):
+        odds = math.log((ones + lm.PRIOR) / (zeros + lm.PRIOR))
+        return round(max(-limit, min(limit, odds)) / float(lm.STEP)) * float(lm.STEP)
+
+    def level(n):
+        return (n > 0) + (n > 4) + (n > 64)
+
+    weights = model.mixer.weights.astype(float)
+    table = model.mixer.ones / model.mixer.seen
+
+    def log2(codes):
+        total, shift, curve, gathered = 0.0, [0.0] * lm.INPUTS, [200.0] * lm.INPUTS, []
+        last = 0
+        for k, node, bit, slots in bits(codes):
+            if k // lm.STRETCH != last:
+                last = k // lm.STRETCH
+                for i in range(lm.INPUTS):
+                    curve[i] += sum(chance * (1 - chance) * x[i] ** 2 for x, chance, _ in gathered)
+                    shift[i] += 0.2 * sum((b - chance) * x[i] for x, chance, b in gathered) / curve[i]
+                gathered = []
+            pairs = [(counts[c][slot, 0], counts[c][slot, 1]) for c, slot in enumerate(slots)]
+            x = [float(code.stretch[node]), *(odds_of(*pair) for pair in pairs)]
+            gate = int(code.gates[node]) + level(sum(pairs[0]))
+            odds = sum((weights[gate][i] + shift[i]) * x[i] for i in range(lm.INPUTS))
+            odds = max(-limit, min(limit, odds))
+            chance = 1 / (1 + math.exp(-odds))
+            place = (odds + limit) * (lm.STEPS - 1) / (2 * limit)
+            low = min(int(place), lm.STEPS - 2)
+            row = table[gate // lm.LEVELS]
+            known = row[low] + (row[low + 1] - row[low]) * (place - low)
+            one = (known + chance) / 2
+            total += math.log2(one if bit else 1 - one)
+            gathered.append((x, chance, bit))
+        return total
+
+    some = sorted(rows, key=lambda d: len(rows[d]))[:40]
+    found = model.log2([np.array(rows[d], np.int32) for d in some])
+    for d, value in zip(some, found):
+        # Half steps may round either way between 32 and 64 bits.
+        assert math.isclose(value, log2(rows[d]), rel_tol=3e-3, abs_tol=0.05), d
+
+
+def test_lm_scores_do_not_depend_on_layout(spark):
+    docs = spark.read.parquet(f"{FOLDER}/documents.parquet")
+    scores = [
+        sorted((r.doc_id, r.score) for r in mixing_lm.lm_scores(docs.repartition(n)).collect()) for n in (1, 24)
+    ]
+    assert scores[0] == scores[1]
+
+
 def test_pipeline(spark, tmp_path):
     import corpus_pipeline
 
