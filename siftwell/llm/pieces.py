@@ -12,8 +12,10 @@ it, that is if merging the two pieces' text yields just these two. Exactly one s
 each position, and it is the model's own encoding.
 
 No piece of the usual models has the space mark inside, behind other characters; then every such
-place is a boundary of all paths, and the stretches between are encoded once and remembered (a
-bounded number of them). Models with other pieces are searched in one stretch.
+place is a boundary of all paths, and the committed ids of a stretch between two of them are
+remembered (a bounded number), to be used again where it returns. Models with other pieces are
+searched in one stretch. In a merge model the new stretches of many texts, of whatever length, are
+searched side by side: one streaming search each, a vector operation for all.
 
 Edge cases: null and empty texts have no ids and decode to the empty text; characters without a
 piece become byte pieces, or the unknown id in models without these; decoding gives back the text
@@ -43,11 +45,10 @@ UNKNOWN_PENALTY = 10.0
 NONE = -1
 #: Stretches remembered in each of two generations; those in use move to the younger one.
 REMEMBERED = 100_000
-#: Longest stretch that is remembered, and that is searched without a window.
+#: Longest stretch that is remembered.
 SHORT = 64
-#: Texts that are encoded at once, and stretches from which on these are searched side by side.
+#: Texts that are encoded at once.
 ROWS = 500
-MANY = 200
 #: Stretches that one such search takes.
 SIDE_BY_SIDE = 16_384
 #: Slots of the table that finds pieces by hash, and of the one that remembers pairs.
@@ -97,6 +98,50 @@ class PieceTable:
         return found
 
 
+class _Paths:
+    """Committed ids of many lanes, in steps of a vector for all lanes that still have some."""
+
+    def __init__(self, lanes: int):
+        self.counts = np.zeros(lanes, np.int64)
+        self.lanes: list[np.ndarray] = []
+        self.places: list[np.ndarray] = []
+        self.ids: list[np.ndarray] = []
+
+    def add(self, lanes, last, back, top, done) -> None:
+        """Follow paths from the rows ``top`` back to the rows ``done``."""
+        at, steps = top.copy(), []
+        while (live := np.nonzero(at > done)[0]).size:
+            own = lanes[live]
+            steps.append((own, last[at[live], own]))
+            at[live] = back[at[live], own]
+        length = np.zeros(len(self.counts), np.int64)
+        for own, _ in steps:
+            length[own] += 1
+        after = self.counts + length
+        for back_by, (own, ids) in enumerate(steps, 1):
+            self.lanes.append(own)
+            self.places.append(after[own] - back_by)
+            self.ids.append(ids)
+        self.counts = after
+
+    def _flat(self) -> tuple[np.ndarray, np.ndarray]:
+        starts = np.cumsum(self.counts) - self.counts
+        flat = np.empty(int(self.counts.sum()), np.int32)
+        for own, places, ids in zip(self.lanes, self.places, self.ids):
+            flat[starts[own] + places] = ids
+        return flat, starts
+
+    def lists(self) -> list[bytes]:
+        flat, starts = self._flat()
+        content, ends = flat.tobytes(), (4 * (starts + self.counts)).tolist()
+        return [content[a:b] for a, b in zip((4 * starts).tolist(), ends)]
+
+    def gaps(self) -> list[int]:
+        """Lanes with a character that has no piece."""
+        found = [own[ids == NONE] for own, ids in zip(self.lanes, self.ids)]
+        return np.unique(np.concatenate([np.empty(0, np.int64), *found])).tolist()
+
+
 class Vocabulary:
     """Pieces, scores and byte pieces of a model file's content."""
 
@@ -170,11 +215,6 @@ class Vocabulary:
         self.table_of_pieces = PieceTable(self.pieces)
         self.pair_keys = np.full(1 << PAIR_BITS, -1, np.int64)
         self.pair_values = np.zeros(1 << PAIR_BITS, bool)
-        #: Length of the longest piece that ends with three characters.
-        self.reach: dict[str, int] = {}
-        for piece in self.pieces:
-            tail = piece[-3:]
-            self.reach[tail] = max(self.reach.get(tail, 0), len(piece))
 
     def _last_merge(self, text: str) -> tuple[str, str] | None:
         """Merge adjacent parts, best rank first and leftmost of ties; the last two parts, if one is left."""
@@ -268,46 +308,9 @@ class Vocabulary:
             end = back[end]
         return found[::-1]
 
-    def search_short(self, text: str) -> list[tuple[int, str]]:
-        """The same as ``search``, of a short text in a merge model: the window holds all of it."""
-        get, reach, pairs, size = self.pieces.get, self.reach.get, self.pairs.get, len(self.scores)
-        last, back = [NONE], [0]
-        for end in range(1, len(text) + 1):
-            arrived, began = NONE, end - 1
-            # Pieces of one or two characters are not found by their last three.
-            longest = reach(text[end - 3 : end], 2) if end > 2 else end
-            for j in range(end - longest if longest < end else 0, end):
-                piece = get(text[j:end])
-                if piece is None:
-                    continue
-                before = last[j]
-                if before == NONE:
-                    arrived, began = piece, j
-                    break
-                follows = pairs(before * size + piece)
-                if follows or (follows is None and self.may_follow(before, piece)):
-                    arrived, began = piece, j
-                    break
-            last.append(arrived)
-            back.append(began)
-        return self._path(text, 0, last, back, len(text))
-
-    def stretch_ids(self, text: str) -> bytes:
-        found = self.known.get(text)
-        if found is None:
-            found = self.older.get(text)
-            if found is None:
-                found = np.array(self._searched_ids(text), np.int32).tobytes()
-            if len(text) <= SHORT:
-                if len(self.known) >= REMEMBERED:
-                    self.known, self.older = {}, self.known
-                self.known[text] = found
-        return found
-
     def _searched_ids(self, text: str) -> list[int]:
         ids: list[int] = []
-        short = self.kind == "bpe" and len(text) <= SHORT
-        for piece, part in self.search_short(text) if short else self.search(text):
+        for piece, part in self.search(text):
             if piece != NONE:
                 ids.append(piece)
             elif self.raw:
@@ -334,25 +337,56 @@ class Vocabulary:
         return found
 
     def search_many(self, texts: Sequence[str]) -> dict[str, bytes]:
-        """The search of many short texts side by side, in a merge model: their ids as bytes.
+        """The search of many texts side by side, in a merge model: their ids as bytes.
 
-        Texts are given in order of length.
+        Texts are given in order of length. Each is a lane; all lanes share one window of twice the
+        longest piece. When it is full, the ids before each lane's boundary are committed and the
+        window moves on; it grows only where the paths of a lane have not met yet.
         """
         texts = texts[::-1]
         sizes = np.array([len(t) for t in texts])
-        n, most = len(texts), int(sizes[0])
-        codes = np.zeros((n, most), np.uint64)
-        codes[np.arange(most) < sizes[:, None]] = code_points(texts)
-        sums = np.zeros((most + 1, n), np.uint64)
-        for k in range(most):
-            sums[k + 1] = sums[k] * HASH_BASE + codes[:, k] + np.uint64(1)
-        last = np.full((most + 1, n), NONE, np.int32)
-        back = np.repeat(np.arange(-1, most, dtype=np.int32)[:, None], n, axis=1)
+        codes, begins = code_points(texts).astype(np.uint64) + np.uint64(1), np.cumsum(sizes) - sizes
+        n, most, longest = len(texts), int(sizes[0]), self.longest
         power = self.table_of_pieces.power
+        paths = _Paths(n)
+        span, base, ended = 2 * longest, 0, n
+        sums = np.zeros((span + 1, n), np.uint64)
+        last = np.full((span + 1, n), NONE, np.int32)
+        back = np.zeros((span + 1, n), np.int32)
+        #: Row of the window up to which the ids of each lane are committed.
+        done = np.zeros(n, np.int64)
         for end in range(1, most + 1):
+            row = end - base
+            if row > span:
+                # Lanes that ended in this window go first, as far as their end.
+                live = int(np.searchsorted(-sizes, -end, side="right"))
+                over = np.arange(live, ended)
+                paths.add(over, last, back, sizes[over] - base, done[over])
+                ended = live
+                met = self._met(back[:, :live], row - 1)
+                paths.add(np.arange(live), last, back, met, done[:live])
+                done[:live] = met
+                # Rows below the boundary and out of reach are not read again.
+                move = min(row - 1 - longest, int(met.min(initial=span)))
+                if move > 0:
+                    kept = row - move
+                    for rows in (sums, last, back):
+                        rows[:kept] = rows[move:row].copy()
+                    back[:kept] = np.maximum(back[:kept] - move, 0)
+                    done -= move
+                    base += move
+                    row = end - base
+                if row > span:
+                    span += longest
+                    sums, last, back = (
+                        np.concatenate([rows, np.zeros((longest, n), rows.dtype)]) for rows in (sums, last, back)
+                    )
             lanes = np.arange(np.searchsorted(-sizes, -end, side="right"))
-            for j in range(max(0, end - self.longest), end):
-                piece = self.table_of_pieces.find(sums[end].take(lanes) - sums[j].take(lanes) * power[end - j])
+            here = codes[begins[lanes] + end - 1]
+            sums[row, lanes] = sums[row - 1, lanes] * HASH_BASE + here
+            last[row], back[row] = NONE, row - 1
+            for j in range(max(0, row - longest), row):
+                piece = self.table_of_pieces.find(sums[row].take(lanes) - sums[j].take(lanes) * power[row - j])
                 hit = np.nonzero(piece != NONE)[0]
                 if not len(hit):
                     continue
@@ -361,48 +395,57 @@ class Vocabulary:
                 fits = before == NONE
                 asked = np.nonzero(~fits)[0]
                 fits[asked] = self.follow(before[asked], piece[asked])
-                last[end][own[fits]], back[end][own[fits]] = piece[fits], j
+                last[row][own[fits]], back[row][own[fits]] = piece[fits], j
                 if fits.any():
                     rest = np.ones(len(lanes), bool)
                     rest[hit[fits]] = False
                     lanes = lanes[rest]
                     if not len(lanes):
                         break
-        steps, used, at, lane = [], [], sizes.copy(), np.arange(n)
-        while (live := at > 0).any():
-            steps.append(np.where(live, last[at, lane], NONE))
-            used.append(live)
-            at = np.where(live, back[at, lane], 0)
-        width = len(steps)
-        ids = np.array(steps[::-1], np.int32).T
-        counts = np.sum(used, axis=0)
-        gaps = (ids == NONE) & (np.arange(width) >= width - counts[:, None])
-        content = np.ascontiguousarray(ids).tobytes()
-        row = 4 * width
-        found = {
-            text: content[row * k + row - 4 * count : row * k + row]
-            for k, (text, count) in enumerate(zip(texts, counts.tolist()))
-        }
-        for k in np.nonzero(gaps.any(axis=1))[0]:
+        over = np.arange(ended)
+        paths.add(over, last, back, sizes[over] - base, done[over])
+        found = dict(zip(texts, paths.lists()))
+        for k in paths.gaps():
+            # Characters without a piece become bytes, or unknown.
             found[texts[k]] = np.array(self._searched_ids(texts[k]), np.int32).tobytes()
         return found
 
+    def _met(self, back: np.ndarray, end: int) -> np.ndarray:
+        """For each lane the last row that the paths of all rows within reach share."""
+        at = np.repeat(np.arange(end - self.longest + 1, end + 1)[:, None], back.shape[1], axis=1)
+        lanes = np.arange(back.shape[1])
+        while len(lanes):
+            lowest = at[:, lanes].min(axis=0)
+            above = at[:, lanes] > lowest
+            if not above.any():
+                break
+            lanes, above = lanes[above.any(axis=0)], above[:, above.any(axis=0)]
+            part = at[:, lanes]
+            at[:, lanes] = np.where(above, back[part, lanes], part)
+        return at[0].astype(np.int64)
+
     def encode_many(self, texts: list[str]) -> list[np.ndarray]:
         lists = [self.stretch.findall(self.normalize(text)) for text in texts]
+        known, older = self.known, self.older
+        new = {s for stretches in lists for s in stretches if s not in known}
+        if len(known) + len(new) > REMEMBERED:
+            older, known = known, {}
+            self.known, self.older = known, older
+            new = {s for stretches in lists for s in stretches}
+        again = [s for s in new if s in older]
+        known.update((s, older[s]) for s in again)
+        new.difference_update(again)
+        found: dict[str, bytes] = {}
         if self.kind == "bpe":
-            known, older = self.known, self.older
-            new = {s for stretches in lists for s in stretches if s not in known and len(s) <= SHORT}
-            if len(known) + len(new) > REMEMBERED:
-                older, known = known, {}
-                self.known, self.older = known, older
-                new = {s for stretches in lists for s in stretches if len(s) <= SHORT}
-            again = [s for s in new if s in older]
-            known.update((s, older[s]) for s in again)
-            new.difference_update(again)
-            if len(new) >= MANY:
-                for some in batched(sorted(new, key=len), SIDE_BY_SIDE):
-                    known.update(self.search_many(some))
-        ids = [b"".join(map(self.stretch_ids, stretches)) for stretches in lists]
+            for some in batched(sorted(new, key=len), SIDE_BY_SIDE):
+                found.update(self.search_many(some))
+        else:
+            found.update((s, np.array(self._searched_ids(s), np.int32).tobytes()) for s in new)
+        known.update(found)
+        ids = [b"".join(map(known.__getitem__, stretches)) for stretches in lists]
+        for s in found:
+            if len(s) > SHORT:
+                del known[s]
         return [np.frombuffer(x, np.int32) for x in ids]
 
     def encode(self, text: str) -> np.ndarray:

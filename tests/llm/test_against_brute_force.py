@@ -118,7 +118,26 @@ def test_side_by_side_search_equals_the_library(vocabulary):
     texts = [" ".join(rng.choices(words, k=80)) for _ in range(60)]
     fresh = pieces.Vocabulary(pieces.model_content(), "bpe")
     assert [x.tolist() for x in fresh.encode_many(texts)] == library.encode(texts)
-    assert len(fresh.known) > pieces.MANY
+    assert len(fresh.known) > 200
+
+
+def test_window_stays_bounded_and_commits_within_a_stretch(vocabulary, monkeypatch):
+    rng = random.Random(11)
+    long = ["".join(rng.choices("aeinorst", k=n)) for n in (5, 31, 32, 33, 700, 700, 4000)]
+    rows, commits = [], []
+    add = pieces._Paths.add
+
+    def watched(self, lanes, last, back, top, done):
+        rows.append(len(last))
+        commits.append(len(lanes))
+        add(self, lanes, last, back, top, done)
+
+    monkeypatch.setattr(pieces._Paths, "add", watched)
+    found = vocabulary.search_many(sorted(long, key=len))
+    assert all(
+        np.frombuffer(found[t], np.int32).tolist() == vocabulary._searched_ids(t) for t in long
+    )
+    assert max(rows) <= 6 * vocabulary.longest and sum(map(bool, commits)) > 100
 
 
 def test_unigram_search_finds_the_best_sum():
