@@ -509,11 +509,11 @@ def test_lm_counts_and_scores_equal_plain_python(spark, texts):
             two = codes[k - 2] if k > 1 else -1
             common = next((x for x in reversed(codes[:k]) if x < lm.COMMON), -1)
             base = 1 << 40
-            around = [mix(x & mask) for x in (one + base, one + two * base, common + 3 * base)]
+            around = [mix(x & mask) >> 32 for x in (one + base, one + two * base, common + 3 * base)]
             for at in range(code.start[c], code.start[c] + code.length[c]):
                 node = int(code.node[at])
-                spread = (node * 0x9E3779B97F4A7C15) & mask
-                slots = [((h ^ spread) * 0xD6E8FEB86659FD93 & mask) >> (64 - lm.SLOT_BITS) for h in around]
+                spread = (node * 0x9E3779B1) & 0xFFFFFFFF
+                slots = [((h ^ spread) * 0x85EBCA6B & 0xFFFFFFFF) >> (32 - lm.SLOT_BITS) for h in around]
                 yield k, node, int(code.bit[at]), slots
 
     rows = {d: [int(c) for c in code.codes(lm.tokens(t.encode()))] for d, t in texts.items() if d < 60}
