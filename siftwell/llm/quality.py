@@ -11,7 +11,8 @@ without a shuffle.
 
 Edge cases: a null text is the empty text, whose statistics are zeros, and gets a score like any
 other; rows of a null ``doc_id`` are scored, never trained on and never held out; of several
-labels of a document the majority counts, ties as 1, null labels not at all; without any label
+labels of a document the majority counts, ties as 1, null labels not at all; of several texts with
+one identifier the one of lowest digest is trained on; without any label
 every score is 0.5, with labels of one class the model is that class's smoothed rate; equal texts
 get equal scores; an empty table gives an empty result; other columns are ignored or, in
 ``drop_low_quality``, kept.
@@ -19,6 +20,7 @@ get equal scores; an empty table gives an empty result; other columns are ignore
 
 from __future__ import annotations
 
+import hashlib
 from collections import Counter
 from dataclasses import dataclass
 
@@ -188,9 +190,15 @@ def held_out(doc_id: Column) -> Column:
 
 
 def _sample_batch(batch: pa.RecordBatch) -> pa.RecordBatch:
-    rows = statistics_matrix(text_bytes(batch["text"]))
+    texts = text_bytes(batch["text"])
+    rows = statistics_matrix(texts)
     return pa.record_batch(
-        {"row": pa.array(list(rows), pa.list_(pa.float32())), "label": batch["label"]}
+        {
+            "doc_id": batch["doc_id"].cast(pa.int64()),
+            "digest": pa.array([hashlib.sha256(t).digest() for t in texts], pa.binary()),
+            "row": pa.array(list(rows), pa.list_(pa.float32())),
+            "label": batch["label"],
+        }
     )
 
 
@@ -205,8 +213,11 @@ def fit_quality(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Tre
     chosen = known.join(docs.select("doc_id"), "doc_id", "left_semi")
     chosen = chosen.orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
     texts = plain_texts(docs).join(F.broadcast(chosen), "doc_id")
-    found = map_rows(texts.select("text", "label"), _sample_batch, "row array<float>, label int")
-    table = found.orderBy("row", "label").limit(4 * sample).toArrow()
+    schema = "doc_id long, digest binary, row array<float>, label int"
+    found = map_rows(texts.select("doc_id", "text", "label"), _sample_batch, schema)
+    # Where rows repeat an identifier, the text of the lowest digest stands for it.
+    first = found.groupBy("doc_id").agg(F.min(F.struct("digest", "row", "label")).alias("first"))
+    table = first.select("first.row", "first.label").orderBy("row", "label").toArrow()
     rows = np.array(table["row"].to_pylist(), np.float32).reshape(-1, STATISTICS)
     return fit_trees(rows, table["label"].to_numpy().astype(np.float64))
 

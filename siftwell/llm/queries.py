@@ -127,11 +127,29 @@ def op6_exact_dedup(spark, folder):
     return exact_groups(table(spark, folder, "documents"))
 
 
-@query("op7_substring_dedup")
+@query(
+    "op7_substring_dedup",
+    r"""WITH texts AS (
+      SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words FROM documents),
+    places AS (SELECT doc_id, words, unnest(range(1, len(words) - 11)) AS i FROM texts WHERE len(words) > 12),
+    windows AS (SELECT doc_id, i, array_to_string(words[i:i + 12], ' ') AS content FROM places),
+    owners AS (SELECT content, min(doc_id) AS first_id FROM windows GROUP BY content HAVING count(*) > 1),
+    hits AS (SELECT doc_id, i FROM windows JOIN owners USING (content) WHERE first_id < doc_id),
+    gone AS (SELECT DISTINCT doc_id, i + k AS place FROM hits, range(13) AS steps(k)),
+    each AS (
+      SELECT doc_id, unnest(words) AS word, unnest(range(1, len(words) + 1)) AS place FROM texts),
+    kept AS (
+      SELECT e.doc_id, count(*) AS n_kept, string_agg(word, ' ' ORDER BY e.place) AS kept_text
+      FROM each e LEFT JOIN gone g ON g.doc_id = e.doc_id AND g.place = e.place
+      WHERE g.place IS NULL GROUP BY e.doc_id)
+    SELECT t.doc_id, len(words) AS n_words, len(words) - coalesce(n_kept, 0) AS n_removed,
+      sha256(coalesce(kept_text, '')) AS kept_sha256
+    FROM texts t LEFT JOIN kept k ON k.doc_id = t.doc_id""",
+)
 def op7_substring_dedup(spark, folder):
     kept = remove_repeats(table(spark, folder, "documents"))
     kept_sha256 = F.sha2("kept_text", 256).alias("kept_sha256")
-    return kept.select("doc_id", "n_words", "n_removed", "repeats", kept_sha256)
+    return kept.select("doc_id", "n_words", "n_removed", kept_sha256)
 
 
 @query("op8_secrets")
