@@ -300,6 +300,50 @@ def profile_integers_by_words(spark, folder):
     return found.select("column_name", "distinct_count")
 
 
+LINE_TOPS = ["l_returnflag", "l_linestatus", "l_shipdate"]
+
+
+@query(
+    "top_values_nominated",
+    f"WITH {DIRTY_EVENTS} "
+    + " UNION ALL ".join(top_sql(c, "dirty") for c in ["event_type", "is_high", "event_date", "clock"]),
+)
+def top_values_nominated(spark, folder):
+    """Top values from nominated values that are counted exactly and certified."""
+    return profile(dirty_events(spark, folder), distinct="approx", top="nominated").top_values
+
+
+@query(
+    "top_values_nominated_lines",
+    " UNION ALL ".join(top_sql(c, "lineitem") for c in LINE_TOPS),
+)
+def top_values_nominated_lines(spark, folder):
+    """Narrow columns are known whole; dates of similar counts are counted as ever."""
+    return profile(table(spark, folder, "lineitem"), distinct="approx", top="nominated").top_values
+
+
+@query(
+    "top_values_nominated_unique",
+    " UNION ALL ".join(top_sql(c, "customer") for c in ["c_name", "c_mktsegment"]),
+)
+def top_values_nominated_unique(spark, folder):
+    """Names occur once each: no shuffle carries them, and the least are the top values."""
+    return profile(table(spark, folder, "customer"), distinct="approx", top="nominated").top_values
+
+
+@query(
+    "profile_distinct_nominated",
+    per_column_sql(
+        ["c_custkey", "c_name", "c_nationkey", "c_acctbal", "c_mktsegment"],
+        "SELECT '{c}' AS column_name, count(DISTINCT {c}) AS distinct_count FROM customer",
+    ),
+)
+def profile_distinct_nominated(spark, folder):
+    """Exact distinct counts, of which certified and unique columns are known from the top values."""
+    columns = profile(table(spark, folder, "customer"), top="nominated").columns
+    return columns.select("column_name", "distinct_count")
+
+
 TEXT_KEY = "CASE WHEN strlen({c}) > 120 THEN left({c}, 64) || sha256({c}) ELSE {c} END"
 
 

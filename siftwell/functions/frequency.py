@@ -151,13 +151,10 @@ def decode_row(row: Row, dtype: T.DataType) -> Column:
     return decode(F.lit(row["num"]), F.lit(row["real"]), F.lit(row["txt"]), dtype)
 
 
-def value_frequencies(
+def stacked_values(
     df: DataFrame, fields: Sequence[T.StructField], only: Sequence[int] | None = None
 ) -> DataFrame:
-    """``(col_id, num, real, txt, freq)``: how often each non-null value occurs.
-
-    ``col_id`` is the position in ``fields``; ``only`` names the positions to count.
-    """
+    """``(col_id, num, real, txt)``: a row for each non-null value of the columns."""
     nothing = [f"CAST(NULL AS {t})" for t in ("BIGINT", "DOUBLE", "STRING")]
     counted = list(range(len(fields)) if only is None else only)
     cells: list[str] = []
@@ -171,11 +168,19 @@ def value_frequencies(
         # Known not to be null, or joins on it would add a filter and spoil the shared shuffle.
         .withColumn("col_id", F.coalesce("col_id", F.lit(-1)))
         .where(F.col("num").isNotNull() | F.col("real").isNotNull() | F.col("txt").isNotNull())
-        .groupBy(*KEYS)
-        .agg(F.count("*").alias("freq"))
     )
 
 
+def value_frequencies(
+    df: DataFrame, fields: Sequence[T.StructField], only: Sequence[int] | None = None
+) -> DataFrame:
+    """``(col_id, num, real, txt, freq)``: how often each non-null value occurs.
+
+    ``col_id`` is the position in ``fields``; ``only`` names the positions to count.
+    """
+    return stacked_values(df, fields, only).groupBy(*KEYS).agg(F.count("*").alias("freq"))
+
+
 def distinct_counts(freq: DataFrame) -> DataFrame:
     """``(col_id, distinct_count)``, the distinct non-null values per column.
 

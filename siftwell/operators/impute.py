@@ -26,6 +26,7 @@ from siftwell.functions.frequency import (
     value_frequencies,
     with_full_texts,
 )
+from siftwell.functions.heavy import settled_top_values
 from siftwell.functions.quantiles import quantiles
 from siftwell.operators.nulls import null_audit
 
@@ -88,12 +89,14 @@ class Imputer:
     numeric, else the mode. ``fill_values`` holds the constants. Columns without nulls are left
     alone. Statistics of all columns come from one aggregate, one frequency table and one set of
     quantile sketches; exact medians (``relative_error=0``) add an aggregate and, for each type of
-    number, a ranking of few rows.
+    number, a ranking of few rows. ``nominate_modes`` finds the same modes by the passes of
+    :mod:`siftwell.functions.heavy`, for columns of very many values.
     """
 
     strategies: Mapping[str, str] | None = None
     fill_values: Mapping[str, Any] | None = None
     relative_error: float = 0.01
+    nominate_modes: bool = False
 
     def __post_init__(self):
         unknown = {s for s in (self.strategies or {}).values() if s not in STRATEGIES}
@@ -134,7 +137,7 @@ class Imputer:
         found.update(self._medians(df, [f for f in wanting("median") if f.name in numeric], sketched))
         given = modes or {}
         found.update({f.name: given[f.name] for f in wanting("mode") if f.name in given})
-        found.update(find_modes(df, [f for f in wanting("mode") if f.name not in given]))
+        found.update(find_modes(df, [f for f in wanting("mode") if f.name not in given], self.nominate_modes))
         constants, bad = self._constants(df, wanting("constant"))
         found.update(constants)
 
@@ -210,11 +213,17 @@ def count_nulls(df: DataFrame) -> dict[str, int]:
     return {r["column_name"]: r["null_count"] for r in null_audit(df).collect()}
 
 
-def find_modes(df: DataFrame, fields: list[T.StructField]) -> dict[str, Column | None]:
+def find_modes(
+    df: DataFrame, fields: list[T.StructField], nominate: bool = False
+) -> dict[str, Column | None]:
     """Most frequent value per column as a typed literal, lowest on ties, None if all null."""
     if not fields:
         return {}
-    top = with_full_texts(top_values(value_frequencies(df, fields), 1), df, fields).collect()
+    if nominate:
+        ranked = settled_top_values(df, fields, range(len(fields)), 1)
+    else:
+        ranked = top_values(value_frequencies(df, fields), 1)
+    top = with_full_texts(ranked, df, fields).collect()
     modes: dict[str, Column | None] = {f.name: None for f in fields}
     for row in top:
         f = fields[row["col_id"]]

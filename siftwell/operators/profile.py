@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -26,6 +27,7 @@ from siftwell.functions.frequency import (
     with_full_texts,
     word_counts,
 )
+from siftwell.functions.heavy import settle
 from siftwell.operators.contract import Contract, validate
 from siftwell.operators.nulls import percent
 from siftwell.operators.score import quality_score
@@ -165,6 +167,7 @@ def profile(
     approx_rsd: float = 0.05,
     uniqueness: str = "nonempty",
     stats: DataFrame | None = None,
+    top: str = "counted",
 ) -> ProfileResult:
     """Profile a table in few scans whatever its width; every report stays lazy.
 
@@ -172,32 +175,47 @@ def profile(
 
     ``distinct="approx"`` estimates distinct counts by HyperLogLog with a standard error of
     ``approx_rsd``. Then only the values of non-numeric columns are shuffled, for the top values.
+
+    ``top="nominated"`` first runs the passes of :mod:`siftwell.functions.heavy`, which find the same
+    top values of skewed, narrow and unique columns without shuffling values. It costs two scans, a
+    third where a column may be unique, and pays where most columns have very many values.
     """
     if distinct not in ("exact", "approx"):
         raise ValueError("distinct must be 'exact' or 'approx'")
+    if top not in ("counted", "nominated"):
+        raise ValueError("top must be 'counted' or 'nominated'")
     fields = df.schema.fields
     other = [i for i, f in enumerate(fields) if not is_numeric(f.dataType)]
+    settled = settle(df, fields, other, TOP_VALUES) if top == "nominated" else None
+    ranked = other if settled is None else settled.left
     if distinct == "approx":
         counts = approx_distinct_counts(df, fields, approx_rsd)
-        counted = other
+        counted = ranked
     else:
+        known = {} if settled is None else settled.distinct
         by_words = [i for i, f in enumerate(fields) if counts_by_words(f)]
         counts = word_counts(df, fields, by_words)
-        counted = [i for i in range(len(fields)) if i not in by_words]
+        if known:
+            rows = df.sparkSession.createDataFrame(list(known.items()), "col_id int, distinct_count bigint")
+            counts = counts.unionByName(rows)
+        counted = [i for i in range(len(fields)) if i not in by_words and i not in known]
+    chosen = [] if settled is None else [top_values(settled.freq, TOP_VALUES)]
     if counted:
         freq = value_frequencies(df, fields, counted)
         if distinct == "exact":
             own = distinct_counts(freq)
-            counts = own.unionByName(counts) if by_words else own
-        chosen = top_values(freq, TOP_VALUES, only=other)
-        top = top_value_rows(with_full_texts(chosen, df, fields), fields)
+            counts = own.unionByName(counts) if by_words or known else own
+        chosen.append(top_values(freq, TOP_VALUES, only=ranked))
+    if chosen:
+        texts = with_full_texts(reduce(DataFrame.unionByName, chosen), df, fields)
+        top_rows = top_value_rows(texts, fields)
     else:
-        top = df.sparkSession.createDataFrame(
+        top_rows = df.sparkSession.createDataFrame(
             [], "column_name string, rank int, value string, count bigint"
         )
     return ProfileResult(
-        columns=build_columns(column_stats(df) if stats is None else stats, counts, top),
-        top_values=top,
+        columns=build_columns(column_stats(df) if stats is None else stats, counts, top_rows),
+        top_values=top_rows,
         issues=validate(df, Contract.of(contract)),
         shape=df.agg(F.count("*").alias("total_rows")).withColumn(
             "total_columns", F.lit(len(fields)).cast("bigint")
