@@ -9,7 +9,7 @@ from siftwell.operators.analytics import (
 )
 from siftwell.operators.cleaning import CleaningModel, TableCleaner
 from siftwell.operators.contract import Contract, validate
-from siftwell.operators.dedup import drop_duplicate_rows, duplicate_count
+from siftwell.operators.dedup import drop_duplicate_rows, drop_duplicate_rows_late, duplicate_count
 from siftwell.operators.impute import Imputer, ImputeModel
 from siftwell.operators.nulls import (
     DEFAULT_NULL_MARKERS,
@@ -53,6 +53,7 @@ __all__ = [
     "column_states",
     "domain_reports",
     "drop_duplicate_rows",
+    "drop_duplicate_rows_late",
     "drop_sparse_columns",
     "drop_sparse_rows",
     "duplicate_count",

@@ -17,7 +17,11 @@ from siftwell.catalog.inputs import (
 )
 from siftwell.catalog.registry import query
 from siftwell.operators.cleaning import TableCleaner
-from siftwell.operators.dedup import drop_duplicate_rows, duplicate_count
+from siftwell.operators.dedup import (
+    drop_duplicate_rows,
+    drop_duplicate_rows_late,
+    duplicate_count,
+)
 from siftwell.operators.impute import Imputer
 from siftwell.operators.nulls import (
     drop_sparse_columns,
@@ -283,6 +287,36 @@ def dedup_documents_text(spark, folder):
     return drop_duplicate_rows(table(spark, folder, "documents"), ["text"], ["doc_id"])
 
 
+@query("dedup_full_row_late", f"WITH {DIRTY_ORDERS} SELECT DISTINCT * FROM dirty")
+def dedup_full_row_late(spark, folder):
+    """Only rows whose hash occurs again are shuffled."""
+    return drop_duplicate_rows_late(dirty_orders(spark, folder))
+
+
+@query(
+    "dedup_documents_text_late",
+    """SELECT * EXCLUDE (n) FROM (
+      SELECT *, row_number() OVER (PARTITION BY text ORDER BY doc_id) AS n FROM documents)
+    WHERE n = 1""",
+)
+def dedup_documents_text_late(spark, folder):
+    """Documents without a copy pass through where they are read."""
+    return drop_duplicate_rows_late(table(spark, folder, "documents"), ["text"], ["doc_id"])
+
+
+@query(
+    "dedup_lines_by_key_late",
+    """SELECT * EXCLUDE (n) FROM (
+      SELECT *, row_number() OVER (PARTITION BY l_orderkey, l_linenumber, l_shipdate
+        ORDER BY l_extendedprice, l_partkey, l_suppkey, l_quantity, l_discount, l_tax) AS n FROM lineitem)
+    WHERE n = 1""",
+)
+def dedup_lines_by_key_late(spark, folder):
+    keys = ["l_orderkey", "l_linenumber", "l_shipdate"]
+    order = ["l_extendedprice", "l_partkey", "l_suppkey", "l_quantity", "l_discount", "l_tax"]
+    return drop_duplicate_rows_late(table(spark, folder, "lineitem"), keys, order)
+
+
 @query(
     "duplicate_count",
     f"""WITH {DIRTY_ORDERS}

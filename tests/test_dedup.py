@@ -1,7 +1,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from siftwell import TableCleaner, drop_duplicate_rows, duplicate_count
+from siftwell import TableCleaner, drop_duplicate_rows, drop_duplicate_rows_late, duplicate_count
 
 
 def test_whole_rows(column):
@@ -87,3 +87,54 @@ def test_cleaned_table_has_no_nulls_and_cleaning_again_changes_nothing(spark):
     assert once.where("n is null or s is null").count() == 0
     again = cleaner.fit_transform(once)
     assert sorted(map(tuple, again.collect())) == sorted(map(tuple, once.collect()))
+
+
+def _rows(frame):
+    return sorted(map(str, frame.collect()))
+
+
+def _wide(spark, rows=2000):
+    key = F.col("id")
+    return spark.range(rows, numPartitions=4).select(
+        F.when(key % 3 == 0, 0).when(key % 100 == 1, key - 1).otherwise(key).alias("k"),
+        F.when(key % 50 == 2, None).otherwise(F.concat(F.lit("s"), key % 7)).alias("k.2"),
+        F.hash("id").alias("v"),
+        F.sha2(key.cast("string"), 512).alias("payload"),
+    )
+
+
+@pytest.mark.parametrize("keys", [["k"], ["k", "k.2"], ["K.2"], None])
+@pytest.mark.parametrize("most", [1 << 20, 3])
+def test_late_form_keeps_the_same_rows(spark, keys, most):
+    frame = _wide(spark)
+    frame = frame.unionByName(frame.where("v % 40 = 0"))
+    order = ["v"] if keys else None
+    late = drop_duplicate_rows_late(frame, keys, order, most)
+    assert _rows(late) == _rows(drop_duplicate_rows(frame, keys, order))
+    assert late.columns == frame.columns
+
+
+def test_late_form_shuffles_repeated_keys_only(spark, tmp_path):
+    _wide(spark).where("k <> 0 OR v % 2 = 0").write.parquet(str(tmp_path / "t"))
+    frame = spark.read.parquet(str(tmp_path / "t"))
+    late = drop_duplicate_rows_late(frame, ["k"], ["v"])
+    plan = late._jdf.queryExecution().executedPlan().toString()
+    # One side passes through, the other is limited to a row a key and task, then exchanged.
+    assert (plan.count("LeftAnti"), plan.count("LeftSemi")) == (1, 1)
+    assert plan.count("Exchange hashpartitioning") == 1 and plan.count("WindowGroupLimit") == 2
+
+
+def test_late_form_without_repeats_returns_the_table(spark):
+    frame = spark.range(100).withColumn("v", F.hash("id"))
+    plan = drop_duplicate_rows_late(frame, ["id"])._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "Join" not in plan
+    assert drop_duplicate_rows_late(spark.createDataFrame([], "a int, b string")).count() == 0
+
+
+def test_late_form_compares_like_the_plain_one(spark):
+    """NaN equals NaN, zeros of either sign are equal, so are maps of the same entries and nulls."""
+    nan = float("nan")
+    numbers = spark.createDataFrame([(nan, 1), (nan, 2), (0.0, 3), (-0.0, 4), (None, 5), (None, 6)], "k double, v int")
+    assert sorted(r["v"] for r in drop_duplicate_rows_late(numbers, ["k"], ["v"]).collect()) == [1, 3, 5]
+    maps = spark.sql("SELECT map('a', 1, 'b', 2) AS m UNION ALL SELECT map('b', 2, 'a', 1) UNION ALL SELECT NULL")
+    assert drop_duplicate_rows_late(maps).count() == 2
