@@ -344,6 +344,12 @@ def clean_table(spark, folder):
     return _cleaner().fit_transform(dirty_orders(spark, folder))
 
 
+@query("clean_table_late", f"WITH {FILLED_ORDERS} SELECT * FROM clean")
+def clean_table_late(spark, folder):
+    """The same table, with modes from nominated values and only repeated keys shuffled."""
+    return _cleaner(late_dedup=True, nominate_modes=True).fit_transform(dirty_orders(spark, folder))
+
+
 @query(
     "cleaning_summary",
     f"""WITH {NORMAL_ORDERS},

@@ -331,6 +331,27 @@ def top_values_nominated_unique(spark, folder):
     return profile(table(spark, folder, "customer"), distinct="approx", top="nominated").top_values
 
 
+LOCATED = """WITH located AS (
+  SELECT source || '/' || doc_id AS locator, lang, source, left(text, 24) AS opening, n_chars FROM documents)
+"""
+
+
+@query(
+    "top_values_nominated_documents",
+    LOCATED + " UNION ALL ".join(top_sql(c, "located") for c in ["locator", "lang", "source", "opening"]),
+)
+def top_values_nominated_documents(spark, folder):
+    """A unique column, two narrow ones, and the openings of texts, of which many repeat."""
+    located = table(spark, folder, "documents").select(
+        F.concat("source", F.lit("/"), "doc_id").alias("locator"),
+        "lang",
+        "source",
+        F.substring("text", 1, 24).alias("opening"),
+        "n_chars",
+    )
+    return profile(located, distinct="approx", top="nominated").top_values
+
+
 @query(
     "profile_distinct_nominated",
     per_column_sql(

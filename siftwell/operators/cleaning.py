@@ -10,14 +10,17 @@ from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from siftwell.functions.columns import col, find_fields
-from siftwell.operators.dedup import drop_duplicate_rows, rows_and_keys
+from siftwell.operators.dedup import drop_duplicate_rows, drop_duplicate_rows_late, rows_and_keys
 from siftwell.operators.impute import Imputer, ImputeModel, count_nulls
 from siftwell.operators.nulls import drop_sparse_rows, normalize_nulls, null_audit
 
 
 @dataclass(frozen=True)
 class CleaningModel:
-    """Everything learned by :class:`TableCleaner`, as literals. ``transform`` is lazy."""
+    """Everything learned by :class:`TableCleaner`, as literals. ``transform`` is lazy.
+
+    Only with ``late_dedup`` it first runs a pass over the keys.
+    """
 
     cleaner: TableCleaner
     row_count: int
@@ -37,6 +40,8 @@ class CleaningModel:
         rows = self.prepared(df)
         if seen is not None:
             rows = rows.observe(seen, F.count(F.lit(1)).alias("row_count"))
+        elif self.cleaner.late_dedup:
+            return drop_duplicate_rows_late(rows, self.cleaner.keys, self.cleaner.order_by)
         return drop_duplicate_rows(rows, self.cleaner.keys, self.cleaner.order_by)
 
     def null_audit_before(self, df: DataFrame) -> DataFrame:
@@ -80,7 +85,9 @@ class TableCleaner:
     ``null_markers``: None for the default list, empty to switch off. ``drop_col_threshold``:
     null fraction above which a column goes (deduplication keys stay). ``drop_row_threshold``:
     most null cells a row may have, None to keep all. ``keys`` / ``order_by``: see
-    :func:`siftwell.operators.dedup.drop_duplicate_rows`.
+    :func:`siftwell.operators.dedup.drop_duplicate_rows`. ``late_dedup`` shuffles rows with repeated
+    keys only (observed rows need a single scan and so the plain form), ``nominate_modes`` finds modes
+    without shuffling values; both give the same rows.
     """
 
     null_markers: Sequence[str] | None = None
@@ -92,6 +99,8 @@ class TableCleaner:
     order_by: Sequence[str | Column] | None = None
     relative_error: float = 0.01
     nan_is_null: bool = False
+    late_dedup: bool = False
+    nominate_modes: bool = False
 
     def usable_rows(self, normalized: DataFrame, kept: Sequence[str]) -> DataFrame:
         kept_columns = normalized.select(*[col(c) for c in kept])
@@ -113,7 +122,7 @@ class TableCleaner:
         medians may be handed in. The last two are ignored when sparse rows are dropped, as they
         must be taken afterwards.
         """
-        imputer = Imputer(self.strategies, self.fill_values, self.relative_error)
+        imputer = Imputer(self.strategies, self.fill_values, self.relative_error, self.nominate_modes)
         normalized = normalize_nulls(df, self.null_markers, self.nan_is_null)
         if null_counts is None or row_count is None:
             audit = null_audit(normalized).collect()
