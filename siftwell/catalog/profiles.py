@@ -382,6 +382,30 @@ def profile_documents_top_values(spark, folder):
     return profile(table(spark, folder, "documents")).top_values
 
 
+LONG = """WITH long AS (
+  SELECT repeat('A common header. ', CAST(5 + doc_id % 3 * 40 AS INT)) || text AS noted, source FROM documents)
+"""
+
+
+@query(
+    "top_values_of_long_ties",
+    LONG + " UNION ALL ".join(top_sql(c, "long") for c in ["noted", "source"]),
+)
+def top_values_of_long_ties(spark, folder):
+    """Texts that differ after hundreds of characters, ordered by value all the same."""
+    header = F.expr("repeat('A common header. ', CAST(5 + doc_id % 3 * 40 AS INT))")
+    noted = table(spark, folder, "documents").select(F.concat(header, "text").alias("noted"), "source")
+    return profile(noted, long_ties="value").top_values
+
+
+@query(
+    "profile_documents_top_values_by_value",
+    " UNION ALL ".join(top_sql(c, "documents") for c in ["text", "lang", "source"]),
+)
+def profile_documents_top_values_by_value(spark, folder):
+    return profile(table(spark, folder, "documents"), long_ties="value").top_values
+
+
 @query(
     "profile_nested",
     """WITH nested AS (

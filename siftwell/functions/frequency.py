@@ -94,7 +94,7 @@ def full_text(value: str, dtype: T.DataType) -> str:
     return f"CAST({value} AS STRING)"
 
 
-def _key_text(text: str) -> str:
+def key_text(text: str) -> str:
     """SQL of the key of a text: itself, or its start and digest."""
     key = f"concat(substring({text}, 1, {START_CHARACTERS}), sha2({text}, 256))"
     return f"CASE WHEN octet_length({text}) > {LONG_BYTES} THEN {key} ELSE {text} END"
@@ -124,7 +124,7 @@ def encode(value: str, dtype: T.DataType) -> tuple[str | None, str | None, str |
     if isinstance(dtype, T.DecimalType):
         # The text is exact, the double in front of it makes ties order by size.
         return None, f"CAST({value} AS DOUBLE)", f"CAST({value} AS STRING)"
-    return None, None, _key_text(full_text(value, dtype))
+    return None, None, key_text(full_text(value, dtype))
 
 
 def decode(num: Column, real: Column, txt: Column, dtype: T.DataType) -> Column:
@@ -254,7 +254,8 @@ def top_values(
 ) -> DataFrame:
     """The ``k`` most frequent values per column, ties by value ascending, with ``rank``.
 
-    Long texts are ordered by their first characters, then by digest.
+    Long texts are ordered by their first characters, then by digest (see
+    :mod:`siftwell.functions.long_ties` for an order by value).
 
     Spark limits each task to ``k`` rows per column before the shuffle (``WindowGroupLimit``),
     so a column with billions of distinct values sends only ``k`` rows per task. ``only`` names
@@ -283,7 +284,7 @@ def with_full_texts(rows: DataFrame, df: DataFrame, fields: Sequence[T.StructFie
         text = full_text(sql_name(fields[i].name), fields[i].dataType)
         cells.append(f"{i}, {text}")
     texts = df.selectExpr(f"stack({len(ids)}, {', '.join(cells)}) AS (id, full)")
-    texts = texts.where(is_long(F.col("full"))).withColumn("key", F.expr(_key_text("full")))
+    texts = texts.where(is_long(F.col("full"))).withColumn("key", F.expr(key_text("full")))
     # At most as many rows as the report has.
     wanted = rows.where(is_long(F.col("txt"))).select(F.col("col_id").alias("w_id"), F.col("txt").alias("w_txt"))
     found = (

@@ -28,6 +28,7 @@ from siftwell.functions.frequency import (
     word_counts,
 )
 from siftwell.functions.heavy import settle
+from siftwell.functions.long_ties import ranked_by_value
 from siftwell.operators.contract import Contract, validate
 from siftwell.operators.nulls import percent
 from siftwell.operators.score import quality_score
@@ -168,6 +169,7 @@ def profile(
     uniqueness: str = "nonempty",
     stats: DataFrame | None = None,
     top: str = "counted",
+    long_ties: str = "digest",
 ) -> ProfileResult:
     """Profile a table in few scans whatever its width; every report stays lazy.
 
@@ -179,14 +181,20 @@ def profile(
     ``top="nominated"`` first runs the passes of :mod:`siftwell.functions.heavy`, which find the same
     top values of skewed, narrow and unique columns without shuffling values. It costs two scans, a
     third where a column may be unique, and pays where most columns have very many values.
+
+    ``long_ties="value"`` orders top values by value at any length. It finds the top values at once, and
+    reads the table again where long texts of equal count and equal start compete.
     """
     if distinct not in ("exact", "approx"):
         raise ValueError("distinct must be 'exact' or 'approx'")
     if top not in ("counted", "nominated"):
         raise ValueError("top must be 'counted' or 'nominated'")
+    if long_ties not in ("digest", "value"):
+        raise ValueError("long_ties must be 'digest' or 'value'")
+    places = TOP_VALUES + (long_ties == "value")
     fields = df.schema.fields
     other = [i for i, f in enumerate(fields) if not is_numeric(f.dataType)]
-    settled = settle(df, fields, other, TOP_VALUES) if top == "nominated" else None
+    settled = settle(df, fields, other, places) if top == "nominated" else None
     ranked = other if settled is None else settled.left
     if distinct == "approx":
         counts = approx_distinct_counts(df, fields, approx_rsd)
@@ -199,16 +207,18 @@ def profile(
             rows = df.sparkSession.createDataFrame(list(known.items()), "col_id int, distinct_count bigint")
             counts = counts.unionByName(rows)
         counted = [i for i in range(len(fields)) if i not in by_words and i not in known]
-    chosen = [] if settled is None else [top_values(settled.freq, TOP_VALUES)]
+    chosen = [] if settled is None else [top_values(settled.freq, places)]
     if counted:
         freq = value_frequencies(df, fields, counted)
         if distinct == "exact":
             own = distinct_counts(freq)
             counts = own.unionByName(counts) if by_words or known else own
-        chosen.append(top_values(freq, TOP_VALUES, only=ranked))
+        chosen.append(top_values(freq, places, only=ranked))
     if chosen:
-        texts = with_full_texts(reduce(DataFrame.unionByName, chosen), df, fields)
-        top_rows = top_value_rows(texts, fields)
+        best = reduce(DataFrame.unionByName, chosen)
+        if long_ties == "value":
+            best = ranked_by_value(best, TOP_VALUES, df, fields)
+        top_rows = top_value_rows(with_full_texts(best, df, fields), fields)
     else:
         top_rows = df.sparkSession.createDataFrame(
             [], "column_name string, rank int, value string, count bigint"
