@@ -9,15 +9,16 @@ node and the number of counts behind the first context. A final table refines th
 probability by what followed such values before. Rare words are spelt out by their share of all
 rare words after the escape, so probabilities add up to one, with one share for all unseen words.
 
-Counts come first: every bit of every training row is counted, and the counts of all tasks are
-summed. Then the mixer learns online, on ``LEARNT`` training rows of lowest hash at most, each
-predicted by the summed counts without its own (of a long row, without those of its piece); its few
-hundred weights and the refining table need no more, and neither they nor the counts depend on how
-rows are dealt to tasks. While scoring, the mixer goes on learning within a document, from one
-stretch of ``STRETCH`` tokens to the next, and forgets this after it; so a score depends on the
-document and the model alone. Log odds of counts are scored in ``LEVELS_OF_ODDS`` steps, a byte each.
-
-Word counts, totals and bit counts cover all training rows. Bounded by parameters are the tree
+The training rows are read once, in ``BATCHES`` dealt by hash. Every bit of a batch is predicted by
+the counts and the weights of the batches before it, then all of its bits are counted, and the mixer
+takes one Newton step on the batch's slopes, with the curvature of all batches so far. So every
+training row is counted and learnt from, by a model that has not seen it. Slopes and curvatures are
+summed as integers, so that neither weights nor counts depend on how rows are dealt to tasks. While
+scoring, the mixer goes on learning within a document, from one stretch of ``STRETCH`` tokens to the
+next, and forgets this after it; so a score depends on the document and the model alone. Log odds
+are in ``LEVELS_OF_ODDS`` steps, a byte each.
+
+Words, bits, weights and the refining table cover all training rows. Bounded by parameters are the tree
 (``FREQUENT`` words) and the tables (``SLOTS`` a context); both are broadcast. Counts of rare words
 stay in Spark and are joined.
 
@@ -31,8 +32,8 @@ from __future__ import annotations
 
 import hashlib
 import heapq
-from collections import Counter
 from collections.abc import Iterable, Iterator
+from functools import cached_property, partial
 from itertools import chain
 
 import numpy as np
@@ -53,20 +54,23 @@ CONTEXTS = 3
 RANGES = 128
 COMMON = 1024
 STRETCH = 64
-#: Training rows that the mixer's weights are learnt from, and tokens that it learns from at once.
-LEARNT, PIECE = 2048, 1 << 13
+#: Training rows are dealt into so many shares by hash; where each batch of shares ends.
+SHARES, BATCHES = 16, (4, 8, 16)
 #: Tokens that are counted at once, and that a task counts at least before it sends its tables on.
-COUNTED_AT_ONCE, TOKENS_PER_TASK = 1 << 17, 1 << 22
+COUNTED_AT_ONCE, TOKENS_PER_TASK = 1 << 13, 1 << 22
 #: Documents and bytes that are read at once, and documents of similar length scored side by side.
-ROWS, BYTES, SIDE_BY_SIDE = 2000, 1 << 24, 64
-#: Distinct words counted before a task sends its counts on.
-COUNTED = 300_000
+ROWS, BYTES, SIDE_BY_SIDE = 2000, 1 << 24, 32
 DEPTHS, LEVEL_BITS, STEPS = 8, 2, 33
 LEVELS = 1 << LEVEL_BITS
 GATES = DEPTHS * LEVELS
 INPUTS = CONTEXTS + 1
+#: Marks the mixer's sums among the counts by context.
+LEARNT = -1
 PRIOR = 0.4
 LIMIT = 8.0
+#: Errors and their variances are summed in units of 1 / UNIT; a weight's prior precision; rows of
+#: one product of exact sums.
+UNIT, RIDGE, ROWS_SUMMED = 1 << 14, 100.0, 1 << 13
 LEVELS_OF_ODDS = 255
 STEP = np.float32(2 * LIMIT / (LEVELS_OF_ODDS - 1))
 END = b""
@@ -85,25 +89,44 @@ def tokens(text: bytes) -> list[bytes]:
     return [*text.lower().split(), END]
 
 
+def split_words(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """The words of some texts in a row, and which text each is from."""
+    # Splits at the same six characters as ``bytes.split``; outer spaces leave empty parts.
+    split = pc.ascii_split_whitespace(pc.ascii_lower(texts))
+    words = split.flatten().cast(pa.binary())
+    owner = np.repeat(np.arange(len(texts)), pc.list_value_length(split).to_numpy(zero_copy_only=False))
+    full = pc.greater(pc.binary_length(words), 0)
+    if not pc.all(full, min_count=0).as_py():
+        words, owner = words.filter(full), owner[full.to_numpy(zero_copy_only=False)]
+    return words, owner
+
+
 def _count_words(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    counts: Counter[bytes] = Counter()
+    """Counts of about ``BYTES`` of text at a time."""
+    held: list[pa.Array] = []
+    texts = size = 0
 
     def packed() -> pa.RecordBatch:
-        batch = pa.record_batch(
+        counts = pc.value_counts(pa.chunked_array(held, pa.binary()))
+        word, n = counts.field("values"), counts.field("counts").cast(pa.int64())
+        return pa.record_batch(
             {
-                "word": pa.array(list(counts), pa.binary()),
-                "n": pa.array(list(counts.values()), pa.int64()),
+                "word": pa.concat_arrays([word, pa.array([END], pa.binary())]),
+                "n": pa.concat_arrays([n, pa.array([texts], pa.int64())]),
             }
         )
-        counts.clear()
-        return batch
 
-    for batch in batches:
-        for text in text_bytes(batch["text"]):
-            counts.update(tokens(text))
-            if len(counts) >= COUNTED:
-                yield packed()
-    yield packed()
+    for part in chain.from_iterable(map(_parts, batches)):
+        words, _ = split_words(part["text"])
+        held.append(words)
+        texts += part.num_rows
+        size += words.nbytes
+        if size >= BYTES:
+            yield packed()
+            held.clear()
+            texts = size = 0
+    if texts:
+        yield packed()
 
 
 def word_counts(docs: DataFrame) -> DataFrame:
@@ -149,19 +172,31 @@ class Code:
             depth[node] = depth[parent[node]] + 1
         self.length = depth[:n].astype(np.int32)
         self.start = np.concatenate([[0], np.cumsum(self.length)[:-1]]).astype(np.int64)
-        self.node = np.zeros(int(self.length.sum()), np.int32)
-        self.bit = np.zeros(len(self.node), np.uint8)
+        node = np.zeros(int(self.length.sum()), np.uint32 if n <= 1 << 20 else np.uint64)
+        bit = np.zeros(len(node), node.dtype)
         at, left = np.arange(n), np.arange(n)
         for back in range(1, int(self.length.max(initial=0)) + 1):
             left = left[self.length[left] >= back]
             here = self.start[left] + self.length[left] - back
-            self.bit[here] = side[at[left]]
+            bit[here] = side[at[left]]
             at[left] = parent[at[left]]
-            self.node[here] = at[left] - n
+            node[here] = at[left] - n
         #: First gate of each node, by its depth.
-        self.gates = np.minimum(depth[n:], DEPTHS - 1) * LEVELS
-        total = weight[n:]
-        self.stretch = np.log((ones + PRIOR) / (total - ones + PRIOR)).clip(-LIMIT, LIMIT).astype(np.float32)
+        depths = np.minimum(depth[n:], DEPTHS - 1)
+        self.gates = depths * LEVELS
+        odds = stretched(weight[n:] - ones, ones)
+        self.stretch = odds * STEP
+        #: Of each step of a path the node, its log odds, its depth and the bit, in one number.
+        known = odds.view(np.uint8).astype(node.dtype) << 4 | depths.astype(node.dtype) << 1
+        self.steps = node << 12 | known.take(node) | bit
+
+    @cached_property
+    def node(self) -> np.ndarray:
+        return (self.steps >> 12).astype(np.int32)
+
+    @cached_property
+    def bit(self) -> np.ndarray:
+        return (self.steps & 1).astype(np.uint8)
 
     def codes(self, found: list[bytes]) -> np.ndarray:
         """Codes of tokens; words that are not frequent have the last one, the escape."""
@@ -177,13 +212,7 @@ class Code:
     def codes_of(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray, pa.Array]:
         """Codes of the tokens of some texts in a row, how many each has, and the texts' words."""
         known = self._set()
-        # Splits at the same six characters as ``bytes.split``; outer spaces leave empty parts.
-        split = pc.ascii_split_whitespace(pc.ascii_lower(texts))
-        words = split.flatten().cast(pa.binary())
-        owner = np.repeat(np.arange(len(texts)), pc.list_value_length(split).to_numpy(zero_copy_only=False))
-        full = pc.greater(pc.binary_length(words), 0)
-        if not pc.all(full, min_count=0).as_py():
-            words, owner = words.filter(full), owner[full.to_numpy(zero_copy_only=False)]
+        words, owner = split_words(texts)
         lengths = np.bincount(owner, minlength=len(texts)).astype(np.int64) + 1
         codes = np.full(int(lengths.sum()), self.end, np.int32)
         found = pc.index_in(words, known).fill_null(len(self.words))
@@ -191,46 +220,42 @@ class Code:
         return codes, lengths, words
 
     def __getstate__(self) -> dict:
-        return {k: v for k, v in self.__dict__.items() if k != "set"}
+        return {k: v for k, v in self.__dict__.items() if k not in ("set", "node", "bit")}
 
 
 def context_hashes(codes: np.ndarray, first: np.ndarray) -> np.ndarray:
     """For each token a hash of each context; ``first`` is where the token's document begins."""
     at = np.arange(len(codes))
-    none = np.int64(-1)
     code = codes.astype(np.int64)
-    one = np.where(at - 1 >= first, code[at - 1], none)
-    two = np.where(at - 2 >= first, code[at - 2], none)
+    one = np.where(at - 1 >= first, code[np.maximum(at - 1, 0)], -1)
+    two = np.where(at - 2 >= first, code[np.maximum(at - 2, 0)], -1)
     seen = np.maximum.accumulate(np.where(codes < COMMON, at, -1))
     last = np.concatenate([[-1], seen[:-1]])
-    common = np.where(last >= first, code[np.maximum(last, 0)], none)
+    common = np.where(last >= first, code[np.maximum(last, 0)], -1)
     base = np.uint64(1 << 40)
-    one, two, common = (x.astype(np.uint64) for x in (one, two, common))
-    hashes = [mix64(one + base), mix64(one + two * base), mix64(common + base * np.uint64(3))]
+    known = mix64(np.arange(-1, COMMON).astype(np.uint64) + base * np.uint64(3))
+    one, two = one.astype(np.uint64), two.astype(np.uint64)
+    hashes = [mix64(one + base), mix64(one + two * base), known.take(common + 1)]
     return (np.stack(hashes) >> np.uint64(32)).astype(np.uint32)
 
 
 class Bits:
-    """The bits of some tokens: node, bit, table slots, token position."""
+    """The bits of some tokens: bit, first gate and log odds of the node, table slots, token position."""
 
     def __init__(self, code: Code, codes: np.ndarray, contexts: np.ndarray):
         self.length = length = code.length.take(codes)
         self.token = np.repeat(np.arange(len(codes)), length)
         begun = np.cumsum(length) - length
         path = np.arange(len(self.token)) + (code.start.take(codes) - begun).take(self.token)
-        self.node, self.bit = code.node.take(path), code.bit.take(path)
-        spread = self.node.view(np.uint32) * np.uint32(0x9E3779B1)
+        step = code.steps.take(path)
+        self.bit = (step & 1).astype(np.uint8)
+        self.gate = ((step >> 1) & (DEPTHS - 1)).astype(np.uint8) << np.uint8(LEVEL_BITS)
+        self.odds = (step >> 4).astype(np.uint8).view(np.int8)
+        spread = (step >> 12).astype(np.uint32) * np.uint32(0x9E3779B1)
         shift, odd = np.uint32(32 - SLOT_BITS), np.uint32(0x85EBCA6B)
         self.slots = [((c.take(self.token) ^ spread) * odd) >> shift for c in contexts]
 
 
-def add_ones(counts: np.ndarray, places: np.ndarray) -> None:
-    """Count each place; sorted first, so that memory is walked in order."""
-    ordered = np.sort(places)
-    first = np.nonzero(np.concatenate([[True], ordered[1:] != ordered[:-1]]))[0]
-    counts[ordered[first]] += np.diff(first, append=len(ordered)).astype(counts.dtype)
-
-
 def levels(n: np.ndarray) -> np.ndarray:
     """0 for no count, 1 for few, 2 for more, 3 for many."""
     return (n > 0).view(np.uint8) + (n > 4).view(np.uint8) + (n > 64).view(np.uint8)
@@ -247,42 +272,49 @@ def logistic(odds: np.ndarray) -> np.ndarray:
     return np.float32(1) / (np.float32(1) + np.exp(-odds))
 
 
+class Odds:
+    """Log odds of summed counts, in steps; those of the first context with the level beside them."""
+
+    def __init__(self, totals: np.ndarray):
+        self.tables = [stretched(zeros, ones) for zeros, ones in totals.transpose(0, 2, 1)]
+        level = levels(totals[0].sum(axis=1))
+        self.tables[0] = self.tables[0].astype(np.int16) << LEVEL_BITS | level
+
+    def of(self, bits: Bits) -> tuple[list[np.ndarray], np.ndarray]:
+        """For every bit the steps of all predictors, and the gate."""
+        first = self.tables[0].take(bits.slots[0])
+        gate = bits.gate | (first & (LEVELS - 1)).astype(np.uint8)
+        others = [table.take(slot) for table, slot in zip(self.tables[1:], bits.slots[1:])]
+        return [bits.odds, (first >> LEVEL_BITS).astype(np.int8), *others], gate
+
+
 class Mixer:
     """Gated weights, and the table that refines the mixed probability."""
 
     def __init__(self):
         start = [0.25] * INPUTS
         self.weights = np.tile(np.array(start, np.float32), (GATES, 1))
-        self.curve = np.ones((GATES, INPUTS))
+        self.curve = RIDGE * np.tile(np.eye(INPUTS), (GATES, 1, 1))
         #: Bits and ones seen for each depth and step of log odds, with a prior on the diagonal.
         self.seen = np.full((DEPTHS, STEPS), 4.0)
         self.ones = 4.0 / (1 + np.exp(-np.linspace(-LIMIT, LIMIT, STEPS))) * np.ones((DEPTHS, 1))
 
-    def gate(self, code: Code, bits: Bits, level: np.ndarray) -> np.ndarray:
-        return code.gates.take(bits.node) + level
-
-    def mixed(self, inputs: np.ndarray, gate: np.ndarray) -> np.ndarray:
+    def mixed(self, inputs: list[np.ndarray], gate: np.ndarray) -> np.ndarray:
         """Log odds of a 1; ``inputs`` has a row for each predictor."""
-        total = np.zeros(inputs.shape[1], np.float32)
+        total = np.zeros(len(gate), np.float32)
         for k, weights in enumerate(np.ascontiguousarray(self.weights.T)):
             total += weights.take(gate) * inputs[k]
         return total
 
-    def learn(self, inputs: np.ndarray, gate: np.ndarray, bit: np.ndarray) -> None:
-        """One step on a piece of text, each weight by its own curvature."""
-        odds = self.mixed(inputs, gate).clip(-LIMIT, LIMIT)
-        chance = logistic(odds)
-        error, spread = bit - chance, chance * (1 - chance)
-        for k in range(INPUTS):
-            slope = np.bincount(gate, error * inputs[k], GATES)
-            self.curve[:, k] += np.bincount(gate, spread * inputs[k] * inputs[k], GATES)
-            self.weights[:, k] += (0.15 * slope / (self.curve[:, k] + 100)).astype(np.float32)
-        # Older pieces count for less, so that steps do not die out.
-        self.curve *= 0.7
-        step = np.rint((odds + np.float32(LIMIT)) * np.float32((STEPS - 1) / (2 * LIMIT)))
-        key = (gate >> LEVEL_BITS) * STEPS + step.astype(np.int64)
-        self.seen += np.bincount(key, minlength=DEPTHS * STEPS).reshape(DEPTHS, STEPS)
-        self.ones += np.bincount(key, bit, DEPTHS * STEPS).reshape(DEPTHS, STEPS)
+    def learn(self, sums: np.ndarray) -> None:
+        """One Newton step on the sums of a batch."""
+        slopes, seen, ones = np.split(sums.astype(np.float64), Sums.CUTS)
+        slopes = slopes.reshape(GATES, INPUTS + 1, INPUTS) / UNIT
+        self.curve += slopes[:, :INPUTS] * float(STEP) ** 2
+        moved = np.linalg.solve(self.curve, slopes[:, INPUTS:].transpose(0, 2, 1) * float(STEP))
+        self.weights = (self.weights + moved[:, :, 0]).astype(np.float32)
+        self.seen += seen.reshape(DEPTHS, STEPS)
+        self.ones += ones.reshape(DEPTHS, STEPS)
 
     def refined(self, odds: np.ndarray, chance: np.ndarray, gate: np.ndarray) -> np.ndarray:
         """The mean of the mixed chance and what followed such values, between two steps."""
@@ -291,11 +323,55 @@ class Mixer:
         low = np.minimum(place.astype(np.int64), STEPS - 2)
         part = place - low.astype(np.float32)
         key = (gate >> LEVEL_BITS) * STEPS + low
-        below = table.take(key)
-        known = below + (table.take(key + 1) - below) * part
+        known = table.take(key) + np.diff(table).take(key) * part
         return (known + chance) * np.float32(0.5)
 
 
+class Sums:
+    """What a mixer learns from bits: exact sums, the same in any order."""
+
+    CUTS = np.cumsum([GATES * (INPUTS + 1) * INPUTS, DEPTHS * STEPS])
+
+    def __init__(self):
+        #: For each gate the curvature of each two weights, and last the slope of each.
+        self.slopes = np.zeros((GATES, INPUTS + 1, INPUTS), np.int64)
+        self.seen, self.ones = np.zeros((2, DEPTHS * STEPS), np.int64)
+
+    def add(self, mixer: Mixer, steps: list[np.ndarray], gate: np.ndarray, bit: np.ndarray) -> None:
+        # Sorted by gate, four steps of a byte at once.
+        order = np.argsort(gate, kind="stable")
+        sizes = np.bincount(gate.astype(np.intp), minlength=GATES)
+        beside = np.empty((len(bit), INPUTS), np.int8)
+        for k, values in enumerate(steps):
+            beside[:, k] = values
+        beside = beside.view(np.int32).ravel().take(order).view(np.int8).reshape(-1, INPUTS)
+        bit = bit.take(order)
+        right, odds = np.empty((INPUTS, len(bit))), np.zeros(len(bit), np.float32)
+        for k, weights in enumerate(mixer.weights.T):
+            right[k] = beside[:, k]
+            odds += np.repeat(weights * STEP, sizes) * beside[:, k]
+        np.clip(odds, -LIMIT, LIMIT, out=odds)
+        chance = logistic(odds)
+        step = np.rint((odds + np.float32(LIMIT)) * np.float32((STEPS - 1) / (2 * LIMIT)))
+        first = (np.arange(GATES) >> LEVEL_BITS) * STEPS
+        key = (np.repeat(first, sizes) + step.astype(np.intp)) * 2 + bit
+        both = np.bincount(key, minlength=2 * DEPTHS * STEPS).reshape(-1, 2)
+        self.seen += both.sum(axis=1)
+        self.ones += both[:, 1]
+        left = np.empty((INPUTS + 1, len(bit)))
+        np.multiply(right, np.rint(chance * (1 - chance) * np.float32(UNIT)), out=left[:INPUTS])
+        left[INPUTS] = np.rint((bit - chance) * np.float32(UNIT))
+        ends = np.cumsum(sizes).tolist()
+        for g, (begin, end) in enumerate(zip([0, *ends], ends)):
+            # Whole numbers far below 2^53: products of doubles are exact.
+            for at in range(begin, end, ROWS_SUMMED):
+                here = slice(at, min(at + ROWS_SUMMED, end))
+                self.slopes[g] += (left[:, here] @ right[:, here].T).astype(np.int64)
+
+    def packed(self) -> np.ndarray:
+        return np.concatenate([self.slopes.ravel(), self.seen, self.ones])
+
+
 def _positions(lengths: np.ndarray) -> np.ndarray:
     """For every token the place where its document begins."""
     return np.repeat(np.cumsum(lengths) - lengths, lengths)
@@ -317,71 +393,27 @@ def _parts(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         at = end
 
 
-def _count_bits(batches: Iterable[pa.RecordBatch], model) -> Iterator[pa.RecordBatch]:
-    """Counts of a task by context and range of slots."""
-    code: Code = model.value
-    counts = np.zeros((CONTEXTS, SLOTS, 2), np.int32)
-    seen = False
-    for batch in batches:
-        for part in _parts(batch):
-            codes, lengths, _ = code.codes_of(part["text"])
-            contexts = context_hashes(codes, _positions(lengths))
-            for piece, around in _pieces(codes, contexts, COUNTED_AT_ONCE):
-                bits = Bits(code, piece, around)
-                for c, slot in enumerate(bits.slots):
-                    add_ones(counts[c].reshape(-1), (slot << np.uint32(1)) | bits.bit)
-                seen = seen or len(bits.bit) > 0
-    if seen:
-        width = SLOTS // RANGES
-        for c in range(CONTEXTS):
-            for r in range(RANGES):
-                yield _row(c, r, packed_counts(counts[c, r * width : (r + 1) * width].ravel()))
-
-
-def _learn(batches: Iterable[pa.RecordBatch], model) -> Iterator[pa.RecordBatch]:
-    """The mixer that learnt from texts in the order given, each without its own counts."""
-    code, totals = model.value
-    mixer = Mixer()
-    held: list[np.ndarray] = []
-
-    def step() -> None:
-        codes = np.concatenate(held)
-        lengths = np.array([len(f) for f in held])
-        owner = np.repeat(np.arange(len(held)), lengths)
-        contexts = context_hashes(codes, _positions(lengths))
-        for at in range(0, len(codes), PIECE):
-            here = slice(at, at + PIECE)
-            bits = Bits(code, codes[here], contexts[:, here])
-            if not len(bits.bit):
-                continue
-            document = owner[here][bits.token]
-            inputs = np.empty((INPUTS, len(bits.bit)), np.float32)
-            inputs[0] = code.stretch.take(bits.node)
-            for c, slot in enumerate(bits.slots):
-                zeros, ones = totals[c, slot].T - own_counts(document, slot, bits.bit)
-                inputs[1 + c] = stretched(zeros, ones) * STEP
-                if c == 0:
-                    level = levels(zeros + ones)
-            mixer.learn(inputs, mixer.gate(code, bits, level), bits.bit)
-        held.clear()
-
+def _count_and_learn(batches: Iterable[pa.RecordBatch], shared, earlier) -> Iterator[pa.RecordBatch]:
+    """Counts of a task by context and range of slots, and the mixer's sums."""
+    code: Code = shared.value
+    odds, mixer = earlier.value
+    counts = np.zeros((CONTEXTS, 2 * SLOTS), np.int32)
+    sums = Sums()
     for part in chain.from_iterable(map(_parts, batches)):
         codes, lengths, _ = code.codes_of(part["text"])
-        for own in np.split(codes, np.cumsum(lengths)[:-1]):
-            held.append(own)
-            if sum(map(len, held)) >= PIECE:
-                step()
-    if held:
-        step()
-    learnt = [mixer.weights.astype(np.float64), mixer.seen, mixer.ones]
-    yield _row(-1, 0, np.concatenate([x.ravel() for x in learnt]))
-
-
-def own_counts(document: np.ndarray, slot: np.ndarray, bit: np.ndarray) -> np.ndarray:
-    """For each bit, how many zeros and ones of its document hit its slot."""
-    _, kind = np.unique(document * np.int64(SLOTS) + slot.astype(np.int64), return_inverse=True)
-    ones = np.bincount(kind, bit).astype(np.int64)
-    return np.stack([np.bincount(kind) - ones, ones])[:, kind]
+        contexts = context_hashes(codes, _positions(lengths))
+        for piece, around in _pieces(codes, contexts, COUNTED_AT_ONCE):
+            bits = Bits(code, piece, around)
+            if len(bits.bit):
+                sums.add(mixer, *odds.of(bits), bits.bit)
+            for c, slot in enumerate(bits.slots):
+                np.add.at(counts[c], (slot << np.uint32(1) | bits.bit).astype(np.intp), np.int32(1))
+    if sums.seen.any():
+        width = 2 * SLOTS // RANGES
+        for c in range(CONTEXTS):
+            for r in range(RANGES):
+                yield _row(c, r, packed_counts(counts[c, r * width : (r + 1) * width]))
+        yield _row(LEARNT, 0, sums.packed())
 
 
 def packed_counts(counts: np.ndarray) -> np.ndarray:
@@ -412,11 +444,14 @@ def _row(context: int, part: int, values: np.ndarray) -> pa.RecordBatch:
 
 
 def _sum_up(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Sums of the counts of each context and range."""
+    """Sums of the counts of each context and range, and of what the mixer learns from."""
     sums: dict[tuple[int, int], np.ndarray] = {}
     for batch in batches:
         for context, part, content in zip(*(batch[c].to_pylist() for c in ("context", "part", "bytes"))):
-            values = unpacked_counts(np.frombuffer(content, np.int32), 2 * SLOTS // RANGES)
+            if context == LEARNT:
+                values = np.frombuffer(content, np.int64)
+            else:
+                values = unpacked_counts(np.frombuffer(content, np.int32), 2 * SLOTS // RANGES)
             key = context, part
             if key not in sums:
                 sums[key] = values.astype(np.int64)
@@ -429,22 +464,8 @@ def _sum_up(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 class Model:
     """All that scoring broadcasts."""
 
-    def __init__(self, code: Code, totals: dict[str, int]):
-        self.code, self.totals, self.mixer = code, totals, Mixer()
-        self.tables = np.zeros((CONTEXTS, SLOTS), np.int8)
-        self.level = np.zeros(SLOTS, np.uint8)
-
-    def take_counts(self, totals: np.ndarray) -> None:
-        """Log odds and levels of the summed counts."""
-        for c in range(CONTEXTS):
-            self.tables[c] = stretched(totals[c, :, 0], totals[c, :, 1])
-        self.level = levels(totals[0].sum(axis=1))
-
-    def take_mixer(self, content: bytes) -> None:
-        cuts = np.cumsum([GATES * INPUTS, DEPTHS * STEPS])
-        weights, seen, ones = np.split(np.frombuffer(content, np.float64), cuts)
-        self.mixer.weights = weights.reshape(GATES, INPUTS).astype(np.float32)
-        self.mixer.seen, self.mixer.ones = seen.reshape(DEPTHS, STEPS), ones.reshape(DEPTHS, STEPS)
+    def __init__(self, code: Code, totals: dict[str, int], odds: Odds, mixer: Mixer):
+        self.code, self.totals, self.odds, self.mixer = code, totals, odds, mixer
 
     def log2(self, found: list[np.ndarray]) -> np.ndarray:
         """Base-2 log probability of each document's codes."""
@@ -468,11 +489,8 @@ class Model:
             each = np.bincount(np.repeat(np.arange(len(live)), sizes), bits.length, len(live))
             live, each = live[each > 0], each[each > 0].astype(np.int64)
             first = np.cumsum(each) - each
-            inputs = np.empty((INPUTS, len(bits.bit)), np.float32)
-            inputs[0] = self.code.stretch.take(bits.node)
-            for c, slot in enumerate(bits.slots):
-                np.multiply(self.tables[c].take(slot), STEP, out=inputs[1 + c])
-            gate = self.mixer.gate(self.code, bits, self.level.take(bits.slots[0]))
+            steps, gate = self.odds.of(bits)
+            inputs, gate = [s * STEP for s in steps], gate.astype(np.intp)
             odds = self.mixer.mixed(inputs, gate)
             if at:
                 for k in range(INPUTS):
@@ -480,10 +498,11 @@ class Model:
             np.clip(odds, -LIMIT, LIMIT, out=odds)
             chance = logistic(odds)
             one = self.mixer.refined(odds, chance, gate)
-            kept = np.log2(np.where(bits.bit, one, 1 - one))
+            bit = bits.bit.astype(np.float32)
+            kept = np.log2(np.abs(one - (1 - bit)))
             total[live] += np.add.reduceat(kept, first, dtype=np.float64)
             if (lengths > at + STRETCH).any():
-                error = bits.bit - chance
+                error = bit - chance
                 spread = chance * (1 - chance)
                 for k in range(INPUTS):
                     slope = np.add.reduceat(error * inputs[k], first)
@@ -508,27 +527,27 @@ def fit(docs: DataFrame, frequent: int = FREQUENT) -> tuple[DataFrame, Model, in
     words, numbers = table["word"].to_pylist(), table["n"].to_pylist()
     order = sorted(range(len(words)), key=lambda k: (-numbers[k], words[k]))
     code = Code([words[k] for k in order], [numbers[k] for k in order], row["rare_tokens"])
-    model = Model(code, row.asDict())
     shared = session.sparkContext.broadcast(code)
     schema = "context int, part int, bytes binary"
     training = _training(docs)
-    tasks = 1 + row["tokens"] // TOKENS_PER_TASK
-    counted = training.coalesce(tasks).mapInArrow(lambda b: _count_bits(b, shared), schema)
-    summed = counted.repartition("context", "part").mapInArrow(_sum_up, schema).toArrow()
-    totals, width = np.zeros((CONTEXTS, SLOTS, 2), np.int64), SLOTS // RANGES
-    for context, part, content in zip(*(summed[c].to_pylist() for c in ("context", "part", "bytes"))):
-        totals[context, part * width : (part + 1) * width] = np.frombuffer(content, np.int64).reshape(-1, 2)
-    model.take_counts(totals)
-    known = session.sparkContext.broadcast((code, totals))
-    hashed = training.withColumn("place", F.xxhash64("doc_id", "text"))
-    cut = hashed.select("place").orderBy("place").limit(LEARNT).agg(F.max("place")).first()[0]
-    if cut is not None:
-        # Only these rows move; sorted and cut in one, a task gets them in this order.
-        chosen = hashed.where(F.col("place") <= F.lit(cut))
-        lowest = chosen.orderBy("place", "doc_id", "text").limit(LEARNT).select("text")
-        (learnt,) = lowest.mapInArrow(lambda b: _learn(b, known), schema).collect()
-        model.take_mixer(learnt["bytes"])
-    known.unpersist()
+    share = F.pmod(F.xxhash64("doc_id", "text"), F.lit(SHARES))
+    totals, mixer = np.zeros((CONTEXTS, 2 * SLOTS), np.int64), Mixer()
+    width = 2 * SLOTS // RANGES
+    for begin, end in zip((0, *BATCHES), BATCHES):
+        batch = training.where((share >= begin) & (share < end))
+        tasks = 1 + row["tokens"] * (end - begin) // SHARES // TOKENS_PER_TASK
+        earlier = session.sparkContext.broadcast((Odds(totals.reshape(CONTEXTS, SLOTS, 2)), mixer))
+        task = partial(_count_and_learn, shared=shared, earlier=earlier)
+        counted = batch.coalesce(tasks).mapInArrow(task, schema)
+        summed = counted.repartition("context", "part").mapInArrow(_sum_up, schema).toArrow()
+        for context, part, content in zip(*(summed[c].to_pylist() for c in ("context", "part", "bytes"))):
+            values = np.frombuffer(content, np.int64)
+            if context == LEARNT:
+                mixer.learn(values)
+            else:
+                totals[context, part * width : (part + 1) * width] += values
+        earlier.unpersist()
+    model = Model(code, row.asDict(), Odds(totals.reshape(CONTEXTS, SLOTS, 2)), mixer)
     return counts, model, least
 
 
@@ -556,25 +575,18 @@ def _score(batches: Iterable[pa.RecordBatch], shared) -> Iterator[pa.RecordBatch
             base = np.add.reduceat(np.where(often, share.take(codes), 0.0), begins)
             known = np.add.reduceat(often.astype(np.int64), begins)
             found = np.split(codes, begins[1:])
+            rare = np.nonzero(~often)[0]
+            owner = np.repeat(np.arange(len(texts)), lengths)[rare]
             # The end is a token without a word.
-            has_word = np.ones(len(codes), bool)
-            has_word[begins + lengths - 1] = False
-            rare = np.nonzero(codes[has_word] == escape)[0]
-            owner = np.repeat(np.arange(len(texts)), lengths - 1)[rare]
-            spelt = words.take(pa.array(rare)).to_pylist()
-            cuts = np.searchsorted(owner, np.arange(len(texts) + 1)).tolist()
-            rare_words: list[bytes] = []
-            rare_counts: list[int] = []
-            ends = [0]
-            for a, b in zip(cuts, cuts[1:]):
-                others = Counter(spelt[a:b])
-                if code.end == escape:
-                    others[END] += 1
-                rare_words += others
-                rare_counts += others.values()
-                ends.append(len(rare_words))
+            is_end = rare == (begins + lengths - 1)[owner]
+            spelt = pa.concat_arrays([words, pa.array([END], pa.binary())])
+            spelt = spelt.take(pa.array(np.where(is_end, len(words), rare - owner)))
+            found_rare = pa.table({"owner": owner, "word": spelt}).group_by(["owner", "word"], use_threads=False)
+            kinds = found_rare.aggregate([([], "count_all")])
+            kinds = kinds.take(np.argsort(kinds["owner"].to_numpy(), kind="stable"))
+            ends = np.searchsorted(kinds["owner"].to_numpy(), np.arange(len(texts) + 1))
             pairs = pa.StructArray.from_arrays(
-                [pa.array(rare_words, pa.binary()), pa.array(rare_counts, pa.int64())], ["word", "n"]
+                [kinds["word"].combine_chunks(), kinds["count_all"].combine_chunks()], ["word", "n"]
             )
             yield pa.record_batch(
                 {

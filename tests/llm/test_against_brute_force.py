@@ -574,6 +574,42 @@ def test_lm_scores_do_not_depend_on_layout(spark):
     assert scores[0] == scores[1]
 
 
+def test_lm_learns_from_every_training_row(spark):
+    """Weights and refining table equal those of plain Newton steps over all rows, batch by batch."""
+    lm = mixing_lm
+    rows = [(k, " ".join(f"w{(k * j * j + j) % (5 + k % 7)}" for j in range(k % 9))) for k in range(4000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    _, model, _ = lm.fit(docs, 20)
+    code = model.code
+    dealt = docs.selectExpr("doc_id", f"pmod(xxhash64(doc_id, text), {lm.SHARES}) AS share").collect()
+    share = {r.doc_id: r.share for r in dealt if zlib.crc32(str(r.doc_id).encode()) % 7 != 2}
+    totals = np.zeros((lm.CONTEXTS, lm.SLOTS, 2), np.int64)
+    weights = np.full((lm.GATES, lm.INPUTS), 0.25)
+    curve = lm.RIDGE * np.tile(np.eye(lm.INPUTS), (lm.GATES, 1, 1))
+    learnt = 0
+    for begin, end in zip((0, *lm.BATCHES), lm.BATCHES):
+        slope, counted = np.zeros((lm.GATES, lm.INPUTS)), totals.copy()
+        for doc_id in (d for d, part in share.items() if begin <= part < end):
+            codes = code.codes(lm.tokens(rows[doc_id][1].encode()))
+            bits = lm.Bits(code, codes, lm.context_hashes(codes, np.zeros(len(codes), np.int64)))
+            learnt += len(bits.bit)
+            for k, bit in enumerate(bits.bit):
+                pairs = [totals[c, slots[k]] for c, slots in enumerate(bits.slots)]
+                odds = [lm.stretched(pair[:1], pair[1:])[0] for pair in pairs]
+                x = np.array([bits.odds[k], *odds]) * float(lm.STEP)
+                n = pairs[0].sum()
+                gate = int(bits.gate[k]) + (n > 0) + (n > 4) + (n > 64)
+                chance = 1 / (1 + math.exp(-max(-lm.LIMIT, min(lm.LIMIT, weights[gate] @ x))))
+                slope[gate] += (int(bit) - chance) * x
+                curve[gate] += chance * (1 - chance) * np.outer(x, x)
+                for c, slots in enumerate(bits.slots):
+                    counted[c, slots[k], bit] += 1
+        weights += np.linalg.solve(curve, slope[:, :, None])[:, :, 0]
+        totals = counted
+    assert model.mixer.seen.sum() - lm.Mixer().seen.sum() == learnt
+    assert np.allclose(model.mixer.weights, weights, atol=2e-3)
+
+
 def test_pipeline(spark, tmp_path):
     import corpus_pipeline
 
